@@ -64,6 +64,7 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
 
     Cutting text into grams multiplies it, so a small file read by one task would run on one core.
     A scan with enough partitions, which is any large one, is returned as it is, without a shuffle.
+    Meant for plain scans: asking a plan with shuffles for its partitions would run them.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:

@@ -145,7 +145,7 @@ def tune(
         return sums, sorted((row.fold, row.weighted_f1) for row in scores)
 
     with ThreadPool(min(parallelism, len(grid))) as pool:
-        results = pool.map(inheritable_thread_target(run), grid)
+        results = pool.map(inheritable_thread_target(prepared.sparkSession)(run), grid)
 
     averages = [sum(f1 for _, f1 in scores) / len(scores) for _, scores in results]
     winner = averages.index(max(averages))
