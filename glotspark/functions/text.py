@@ -21,7 +21,7 @@ def clean(text: Column, emoji: str = "range") -> Column:
         raise ValueError("emoji must be 'range' or 'supplementary'")
     emoji_class = P.EMOJI if emoji == "range" else P.EMOJI_SUPPLEMENTARY
     without_at = "|".join((P.ENTITY, P.LINK, P.HASHTAG, emoji_class))
-    whole = "|".join((P.ENTITY, P.RETWEET, P.EMAIL, P.MENTION, P.LINK, P.HASHTAG, emoji_class))
+    whole = P.SAFE_CLEAN_PATTERN.replace(P.EMOJI, emoji_class)
     return (
         F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, whole, ""))
         .when(

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glotspark import columns as C
-from glotspark.functions import CLEAN_PATTERN, clean
+from glotspark.functions import clean
+from glotspark.functions.patterns import SAFE_CLEAN_PATTERN
 
 
 class RegexReplacer(
@@ -61,7 +62,7 @@ class RegexReplacer(
 
 def text_cleaner() -> RegexReplacer:
     """The cleaning step as an ML stage, for pipelines that take raw text."""
-    return RegexReplacer(inputCol=C.TEXT, outputCol=C.FILTERED, pattern=CLEAN_PATTERN)
+    return RegexReplacer(inputCol=C.TEXT, outputCol=C.FILTERED, pattern=SAFE_CLEAN_PATTERN)
 
 
 def clean_text(df: DataFrame, emoji: str = "range") -> DataFrame:

@@ -14,12 +14,14 @@ each text where it lies: no shuffle. It needs a weight table of bounded size, wh
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,46 +123,57 @@ def save_gram_model(
     return model
 
 
-def _inline_scorer(spark: SparkSession, model: GramModel):
-    """A vectorized function ``text -> class``; arithmetic on whole Arrow batches."""
-    table = model.table(spark).toPandas()
+@functools.lru_cache(maxsize=8)
+def _broadcast_table(context: SparkContext, model: GramModel):
+    """``(lookup, tables)`` as a broadcast variable, or None where grams do not fit 64 bits.
+
+    ``lookup`` numbers the characters in use, from 1; a gram is its characters' numbers read as
+    digits in base ``len(letters) + 1``. Per gram length the tables hold the sorted codes and one
+    weight column per class, plus a column of ones that counts hits. A last row of zeros stands
+    for grams outside the table.
+    """
+    table = model.table(SparkSession.builder.getOrCreate()).toPandas()
     letters = np.array(sorted({ord(c) for gram in table.gram for c in gram}), dtype=np.uint32)
     base = len(letters) + 1
     if base ** max(model.sizes) >= 2**63:
         return None
     lookup = np.zeros(0x110000, dtype=np.uint32)
     lookup[letters] = np.arange(1, base, dtype=np.uint32)
-
     tables = []
-    for n in model.sizes:
+    for n in sorted(model.sizes):
         part = table[table.n == n]
         code = np.zeros(len(part), dtype=np.int64)
         for position in range(n):
-            ids = lookup[np.array([ord(gram[position]) for gram in part.gram], dtype=np.int64)]
-            code = code * base + ids
+            digits = lookup[np.array([ord(gram[position]) for gram in part.gram], dtype=np.int64)]
+            code = code * base + digits
         order = np.argsort(code)
         columns = [part[f"w{i}"].to_numpy(np.int64)[order] for i in range(len(model.classes))]
         columns.append(np.ones(len(part), dtype=np.int64))
-        # The last row stands for grams outside the table.
         columns = [np.append(column, 0).astype(np.int32) for column in columns]
         tables.append((n, code[order], columns))
+    return context.broadcast((base, lookup, tables))
 
-    shared = spark.sparkContext.broadcast((lookup, tables))
+
+def _inline_scorer(spark: SparkSession, model: GramModel):
+    """A vectorized function ``text -> class``; arithmetic on whole Arrow batches."""
+    shared = _broadcast_table(spark.sparkContext, model)
+    if shared is None:
+        return None
     intercepts = np.array(model.intercepts + (0,), dtype=np.int64)
     names = np.array(model.classes + (model.unknown,), dtype=object)
     has_unknown = model.unknown is not None
     direct_limit, chunk_chars = 1 << 22, 1 << 20
 
-    def score(texts, lookup, tables, slots):
+    def score(texts, base, lookup, tables, slots):
         joined = "".join(texts).encode("utf-32-le", "surrogatepass")
-        ids = lookup[np.frombuffer(joined, dtype=np.uint32)].astype(np.int64)
+        digits = lookup[np.frombuffer(joined, dtype=np.uint32)].astype(np.int64)
         ends = np.cumsum([len(text) for text in texts])
         starts = np.concatenate(([0], ends[:-1]))
         totals = np.tile(intercepts, (len(texts), 1))
-        code, length = ids, 1
+        code, length = digits, 1
         for (n, keys, columns), slot in zip(tables, slots):
             while length < n:
-                code = code[:-1] * base + ids[length:]
+                code = code[:-1] * base + digits[length:]
                 length += 1
             if not len(code) or not len(keys):
                 continue
@@ -170,9 +183,9 @@ def _inline_scorer(spark: SparkSession, model: GramModel):
                 row = np.searchsorted(keys, code)
                 row[row == len(keys)] = 0
                 row = np.where(keys[row] == code, row, len(keys))
-            last = len(code)
-            left = np.minimum(starts, last)
-            right = np.clip(ends - n + 1, left, last)
+            # Windows that reach into the next text are left out of the difference of sums.
+            left = np.minimum(starts, len(code))
+            right = np.clip(ends - n + 1, left, len(code))
             for position, column in enumerate(columns):
                 running = np.concatenate(([0], np.cumsum(column[row], dtype=np.int64)))
                 totals[:, position] += running[right] - running[left]
@@ -182,7 +195,7 @@ def _inline_scorer(spark: SparkSession, model: GramModel):
         return names[best]
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lookup, tables = shared.value
+        base, lookup, tables = shared.value
         slots = []
         for n, keys, _ in tables:
             slot = None
@@ -196,7 +209,8 @@ def _inline_scorer(spark: SparkSession, model: GramModel):
             for position, text in enumerate(texts):
                 size += len(text)
                 if size >= chunk_chars or position + 1 == len(texts):
-                    answers.append(score(texts[begin : position + 1], lookup, tables, slots))
+                    chunk = texts[begin : position + 1]
+                    answers.append(score(chunk, base, lookup, tables, slots))
                     begin, size = position + 1, 0
             yield pd.Series(np.concatenate(answers) if answers else [], dtype=object)
 

@@ -48,14 +48,6 @@ def build_profile(
     return counts.join(totals, ["lang", "n"]).select("lang", "n", "gram", "freq", "total")
 
 
-def languages_of(df: DataFrame, column: str) -> list[str]:
-    """The distinct values of a class column, which must be few."""
-    found = df.select(column).distinct().limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"{column} has more than {MAX_LANGUAGES} values")
-    return sorted(row[0] for row in found if row[0] is not None)
-
-
 def profile_weights(profile: DataFrame, eps: float = EPSILON) -> DataFrame:
     """``(class, n, gram, weight)`` of the guesser's score, in micro-nats."""
     weight = F.ln(F.col("freq") / F.col("total") + F.lit(eps)) - F.lit(math.log(eps))
@@ -67,13 +59,13 @@ def profile_weights(profile: DataFrame, eps: float = EPSILON) -> DataFrame:
 def fit_guesser(profile: DataFrame, eps: float = EPSILON, path: str | None = None) -> GramModel:
     """Turn a profile into a stored weight table that texts are scored against."""
     profile = materialize(profile, "profile")
-    sizes = sorted(row.n for row in profile.select("n").distinct().collect())
+    totals = profile.select("lang", "n").distinct().limit(MAX_LANGUAGES * len(SIZES) + 1).collect()
+    languages = sorted({row.lang for row in totals if row.lang is not None})
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"the profile has more than {MAX_LANGUAGES} languages")
+    sizes = sorted({row.n for row in totals})
     return save_gram_model(
-        profile_weights(profile, eps),
-        languages_of(profile, "lang"),
-        sizes,
-        unknown=C.UNKNOWN,
-        path=path,
+        profile_weights(profile, eps), languages, sizes, unknown=C.UNKNOWN, path=path
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glotspark.functions.storage import materialize
+
 PROFILE_SCHEMA = "freq map<string,bigint>, n_words array<bigint>, name string"
 
 # A language is written as several objects of about this many grams, so that a language with a
@@ -25,11 +27,15 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
 
 def write_profiles(profile: DataFrame, path: str) -> None:
     """Write a profile as JSON lines, one folder per language."""
+    profile = materialize(profile, "profile")
     largest = profile.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
     objects = -(-largest // GRAMS_PER_OBJECT) or 1
     sizes = profile.groupBy("lang").agg(
         F.array(
-            *[F.coalesce(F.max(F.when(F.col("n") == n, F.col("total"))), F.lit(0)) for n in (1, 2, 3)]
+            *[
+                F.coalesce(F.max(F.when(F.col("n") == n, F.col("total"))), F.lit(0))
+                for n in (1, 2, 3)
+            ]
         ).alias("n_words")
     )
     shards = (

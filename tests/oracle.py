@@ -13,6 +13,8 @@ TABLES = (
     " benchmark labels conversations"
 ).split()
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -43,6 +45,10 @@ def compare(spark, con, sf_dir: str, query, sql: str) -> str:
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
     if len(got) != len(want):
         return f"{len(got)} rows, expected {len(want)}"
+    kinds = {name: TYPES.get(kind, kind) for name, kind in frame.dtypes}
+    wanted = {column[0]: str(column[1]) for column in answer.description}
+    if kinds != wanted:
+        return f"types {kinds} != {wanted}"
     different = [(a, b) for a, b in zip(got, want) if a != b]
     if different:
         return f"{len(different)} of {len(got)} rows differ, first: {str(different[0])[:400]}"
