@@ -37,15 +37,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage, survives lost executors, and leaves a columnar table whose later readers
     fetch only the columns they need.
     """
     spark = df.sparkSession
-    path = path or new_path(spark, name)
-    df.write.parquet(path)
+    path = new_path(spark, name)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

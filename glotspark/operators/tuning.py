@@ -1,14 +1,16 @@
-"""Grid search with cross-validation that featurizes every text once.
+"""Grid search with cross-validation in two passes over the texts.
 
 A multinomial Naive Bayes model is a function of per-class feature sums and document counts. The
 sums per ``(fold, class)`` therefore hold the training set of every fold: leaving fold k out means
-leaving its rows out. Each grid point costs one aggregation and one scoring pass over its own
-vector column, instead of a full pipeline run per fold, per evaluation and for the refit.
+leaving its rows out. One pass sums the features of all grid points, a second one scores every text
+with the models that have not seen it. No feature vectors are stored: for short texts they are
+many times larger than the texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -16,12 +18,11 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayesModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import SparseVector
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from glotspark import columns as C
 from glotspark.functions.storage import materialize
@@ -48,6 +49,12 @@ GRID = tuple((n, features) for n in GRAM_SIZES for features in FEATURE_COUNTS)
 # index, and ln(weight + 1) is 0 to the last digit that matters.
 NO_WEIGHT = 1e-12
 
+# Partial sums are merged in this many slices per class and fold before the last merge.
+SLICES = 64
+
+# Bound of one task's sums: mean and weight per class, fold and feature of a pass.
+SUMS_BYTES = 256 * 1024 * 1024
+
 
 def fold_of(key: Column, folds: int = FOLDS) -> Column:
     """A fold that depends on nothing but the row, so retries and reruns agree."""
@@ -68,94 +75,131 @@ class Tuned:
     best: tuple[int, int]
 
 
-def feature_table(prepared: DataFrame, fold: Column, grid: Sequence[tuple[int, int]]) -> DataFrame:
-    """Write label, fold and one vector column per grid point; later passes read single columns."""
-    table = hashed_features(prepared.filter(F.col(C.LABEL).isNotNull()), grid).select(
-        C.LABEL, fold.alias("fold"), *[feature_column(n, size) for n, size in grid]
-    )
-    return materialize(table, "features")
-
+def class_sums(texts: DataFrame, grid: Sequence[tuple[int, int]]) -> DataFrame:
+    """``(fold, labelIndex, weight, features_...)``: document count and mean vectors per class.
 
-def class_sums(table: DataFrame, column: str) -> DataFrame:
-    """``(fold, labelIndex, weight, features)``: document count and mean vector per class."""
-    sums = table.groupBy("fold", C.LABEL_INDEX).agg(
+    Summed per task first, then over slices of tasks, then over slices: every task has a row for
+    every class, and no class is merged by a single task.
+    """
+    columns = [feature_column(n, size) for n, size in grid]
+    keys = ["fold", C.LABEL_INDEX]
+    sliced = hashed_features(texts, grid).withColumn(
+        "slice", F.pmod(F.spark_partition_id(), F.lit(SLICES))
+    )
+    partial = sliced.groupBy(*keys, "slice").agg(
         F.count("*").cast("double").alias("weight"),
-        Summarizer.mean(F.col(column)).alias(C.FEATURES),
+        *[Summarizer.mean(F.col(column)).alias(column) for column in columns],
+    )
+    sums = partial.groupBy(*keys).agg(
+        F.sum("weight").alias("weight"),
+        *[Summarizer.mean(F.col(column), F.col("weight")).alias(column) for column in columns],
     )
     return materialize(sums, "sums")
 
 
-def fit_from_sums(sums: DataFrame, classes: int, features: int) -> NaiveBayesModel:
+def passes(grid: Sequence[tuple[int, int]], groups: int) -> list[list[tuple[int, int]]]:
+    """Split the grid so that one task's sums for ``groups`` classes and folds stay bounded."""
+    split, used = [], SUMS_BYTES
+    for point in grid:
+        need = groups * point[1] * 24
+        if used + need > SUMS_BYTES:
+            split.append([])
+            used = 0
+        split[-1].append(point)
+        used += need
+    return split
+
+
+def fit_from_sums(sums: DataFrame, classes: int, point: tuple[int, int]) -> NaiveBayesModel:
     """The model that a fit on the summed documents would give, with all ``classes`` present."""
     spark = sums.sparkSession
+    rows = sums.select(C.LABEL_INDEX, "weight", F.col(feature_column(*point)).alias(C.FEATURES))
     seen = {int(row[0]) for row in sums.select(C.LABEL_INDEX).distinct().collect()}
-    schema = T.StructType(
-        [
-            T.StructField(C.LABEL_INDEX, T.DoubleType()),
-            T.StructField("weight", T.DoubleType()),
-            T.StructField(C.FEATURES, VectorUDT()),
-        ]
-    )
     missing = [
-        (float(index), NO_WEIGHT, SparseVector(features, {}))
+        (float(index), NO_WEIGHT, SparseVector(point[1], {}))
         for index in range(classes)
         if index not in seen
     ]
-    rows = sums.select(*schema.fieldNames())
     if missing:
-        rows = rows.union(spark.createDataFrame(missing, schema))
+        rows = rows.union(spark.createDataFrame(missing, rows.schema))
     return naive_bayes(weightCol="weight").fit(rows)
 
 
+def held_out_scores(
+    texts: DataFrame, models: Mapping[tuple[tuple[int, int], int], NaiveBayesModel]
+) -> DataFrame:
+    """``(n, features, fold, weighted_f1)``: each text scored by the models of its own fold."""
+    grid = sorted({point for point, _ in models})
+    scored = []
+    for k in sorted({fold for _, fold in models}):
+        rows = hashed_features(texts.filter(F.col("fold") == k), grid)
+        for point in grid:
+            model = models[point, k].copy()
+            model.setFeaturesCol(feature_column(*point)).setRawPredictionCol("")
+            model.setProbabilityCol("").setPredictionCol("guess_" + feature_column(*point))
+            rows = model.transform(rows)
+        guesses = F.array(
+            *[
+                F.struct(
+                    F.lit(n).alias("n"),
+                    F.lit(size).alias("features"),
+                    F.col("guess_" + feature_column(n, size)).alias(C.PREDICTION_INDEX),
+                )
+                for n, size in grid
+            ]
+        )
+        scored.append(rows.select("fold", C.LABEL_INDEX, F.inline(guesses)))
+    together = functools.reduce(DataFrame.union, scored)
+    keys = ["n", "features", "fold"]
+    return weighted_f1(confusion(together, C.LABEL_INDEX, C.PREDICTION_INDEX, keys), keys)
+
+
 def tune(
     prepared: DataFrame,
     fold: Column,
     grid: Sequence[tuple[int, int]] = GRID,
     folds: int = FOLDS,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> Tuned:
     """Cross-validate every grid point and refit the best one on all rows.
 
     ``prepared`` holds ``filteredText`` and ``label``. Equal averages go to the first grid point.
+    ``parallelism`` is the number of models fitted at a time, each from a handful of summed rows.
     """
-    table = feature_table(prepared, fold, grid)
-    indexer = fit_label_index(table.select(C.LABEL))
+    labeled = prepared.filter(F.col(C.LABEL).isNotNull())
+    texts = materialize(
+        labeled.select(C.LABEL, fold.alias("fold"), C.FILTERED), "labeled", partition_by="fold"
+    )
+    indexer = fit_label_index(texts.select(C.LABEL))
     labels = list(indexer.labels)
-    indexed = indexer.transform(table)
-
-    def run(point: tuple[int, int]):
-        n, size = point
-        column = feature_column(n, size)
-        sums = class_sums(indexed, column)
-        held_out = [
-            fit_from_sums(sums.filter(F.col("fold") != k), len(labels), size)
-            .transform(
-                indexed.filter(F.col("fold") == k).select(
-                    "fold", C.LABEL_INDEX, F.col(column).alias(C.FEATURES)
-                )
-            )
-            .select("fold", C.LABEL_INDEX, C.PREDICTION_INDEX)
-            for k in range(folds)
+    indexed = indexer.transform(texts)
+    held_out = range(folds)
+    sums = {}
+    for part in passes(grid, len(labels) * folds):
+        sums |= dict.fromkeys(part, class_sums(indexed, part))
+
+    def fit(job: tuple[tuple[int, int], int]) -> NaiveBayesModel:
+        point, k = job
+        return fit_from_sums(sums[point].filter(F.col("fold") != k), len(labels), point)
+
+    jobs = [(point, k) for point in grid for k in held_out]
+    with ThreadPool(parallelism) as pool:
+        fitted = pool.map(inheritable_thread_target(prepared.sparkSession)(fit), jobs)
+    scores = held_out_scores(indexed, dict(zip(jobs, fitted))).collect()
+    f1 = {((row.n, row.features), row.fold): row.weighted_f1 for row in scores}
+
+    tested = [[f1[point, k] for k in held_out if (point, k) in f1] for point in grid]
+    averages = [sum(values) / len(values) for values in tested]
+    best = grid[averages.index(max(averages))]
+    model = PipelineModel(
+        [
+            *feature_stages(*best),
+            fit_from_sums(sums[best], len(labels), best),
+            label_decoder(labels),
         ]
-        scored = held_out[0]
-        for other in held_out[1:]:
-            scored = scored.union(other)
-        confused = confusion(scored, C.LABEL_INDEX, C.PREDICTION_INDEX, ["fold"])
-        scores = weighted_f1(confused, ["fold"]).collect()
-        return sums, sorted((row.fold, row.weighted_f1) for row in scores)
-
-    with ThreadPool(min(parallelism, len(grid))) as pool:
-        results = pool.map(inheritable_thread_target(prepared.sparkSession)(run), grid)
-
-    averages = [sum(f1 for _, f1 in scores) / len(scores) for _, scores in results]
-    winner = averages.index(max(averages))
-    n, size = grid[winner]
-    fitted = fit_from_sums(results[winner][0], len(labels), size)
-    model = PipelineModel([*feature_stages(n, size), fitted, label_decoder(labels)])
-    metrics = [
-        (*point, k, f1) for point, (_, scores) in zip(grid, results) for k, f1 in scores
-    ]
-    return Tuned(model, labels, metrics, (n, size))
+    )
+    metrics = [(*point, k, f1[point, k]) for point, k in jobs if (point, k) in f1]
+    return Tuned(model, labels, metrics, best)
 
 
 def stock_cross_validator(

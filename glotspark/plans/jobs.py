@@ -27,7 +27,7 @@ def learn(
     folds: int = FOLDS,
     fold: Column | None = None,
     length: int = C.MIN_TEXT_LENGTH,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> Tuned:
     """Clean, filter and label ``texts``, search the grid, and fit the best model on all rows."""
     prepared = prepare(texts, length, labeler)

@@ -18,9 +18,9 @@ from glotspark.operators.features import (
 )
 from glotspark.operators.tuning import (
     class_sums,
-    feature_table,
     fit_from_sums,
     fold_of,
+    passes,
     stock_cross_validator,
     text_fold,
     tune,
@@ -97,10 +97,9 @@ def test_a_label_missing_from_a_training_split_keeps_its_index(spark):
     rows += [(100, "c", "cccc"), (102, "c", "cccc")]  # both in fold 0
     df = spark.createDataFrame(rows, "doc_id int, label string, filteredText string")
     fold = F.when(F.col("label") == "c", 0).otherwise(F.pmod(F.expr("doc_id div 2"), F.lit(2)))
-    table = feature_table(df, fold.cast("int"), [(3, 64)])
-    indexed = fit_label_index(table).transform(table)
-    sums = class_sums(indexed, "features_3_64")
-    model = fit_from_sums(sums.filter("fold <> 0"), 3, 64)
+    rows = df.withColumn("fold", fold.cast("int"))
+    sums = class_sums(fit_label_index(rows).transform(rows), [(3, 64)])
+    model = fit_from_sums(sums.filter("fold <> 0"), 3, (3, 64))
     assert model.numClasses == 3
     assert model.pi.toArray()[2] < model.pi.toArray()[0]
     tuned = tune(df, fold.cast("int"), [(3, 64)])
@@ -141,3 +140,9 @@ def test_success_rate(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b"), (None, "b"), ("c", "c")], schema)
     assert tuple(success_rate(df).first()) == (2, 4, 50.0)
     assert tuple(success_rate(df.limit(0)).first()) == (0, 0, None)
+
+
+def test_passes_are_bounded():
+    grid = [(3, 1_000_000), (3, 1_000_000), (4, 4_000_000), (4, 50_000_000)]
+    assert passes(grid, 4) == [grid[:2], grid[2:3], grid[3:]]
+    assert passes(grid[:2], 2) == [grid[:2]]
