@@ -1,5 +1,5 @@
 from .patterns import BRANCHES, CLEAN_PATTERN
-from .text import char_ngrams, char_tokens, clean, normalized, windows
+from .text import char_ngrams, char_tokens, clean, normalized, spaced, windows
 
 __all__ = [
     "BRANCHES",
@@ -8,5 +8,6 @@ __all__ = [
     "char_tokens",
     "clean",
     "normalized",
+    "spaced",
     "windows",
 ]

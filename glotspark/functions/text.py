@@ -59,6 +59,11 @@ def char_ngrams(text: Column, n: int, spaced: bool = True) -> Column:
     return F.regexp_extract_all(pairs, F.lit("(?=(" + " ".join("." * n) + ")). "), 1)
 
 
+def spaced(gram: Column) -> Column:
+    """The characters of a gram joined by a space."""
+    return F.regexp_replace(gram, "(.)(?=.)", "$1 ")
+
+
 def windows(text: Column, n: int) -> Column:
     """At every position the next ``n`` characters, or fewer at the end of the text.
 

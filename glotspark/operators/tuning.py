@@ -2,9 +2,10 @@
 
 A multinomial Naive Bayes model is a function of per-class feature sums and document counts. The
 sums per ``(fold, class)`` therefore hold the training set of every fold: leaving fold k out means
-leaving its rows out. One pass sums the features of all grid points, a second one scores every text
-with the models that have not seen it. No feature vectors are stored: for short texts they are
-many times larger than the texts.
+leaving its rows out. The first pass counts the grams per fold and class, for all grid points at
+once; only distinct grams are hashed. The second pass scores every text with the models that have
+not seen it. No feature vectors are stored: for short texts they are many times larger than the
+texts.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayesModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.linalg import SparseVector
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glotspark import columns as C
+from glotspark.functions import spaced
 from glotspark.functions.storage import materialize
 
 from .evaluate import confusion, weighted_f1
@@ -37,6 +40,7 @@ from .features import (
     language_pipeline,
     naive_bayes,
 )
+from .grams import gram_counts_by_size
 
 # The tuning grid and the number of folds.
 GRAM_SIZES = (3, 4)
@@ -49,10 +53,7 @@ GRID = tuple((n, features) for n in GRAM_SIZES for features in FEATURE_COUNTS)
 # index, and ln(weight + 1) is 0 to the last digit that matters.
 NO_WEIGHT = 1e-12
 
-# Partial sums are merged in this many slices per class and fold before the last merge.
-SLICES = 64
-
-# Bound of one task's sums: mean and weight per class, fold and feature of a pass.
+# Bound of one task's sums: two numbers per class, fold and feature of a pass.
 SUMS_BYTES = 256 * 1024 * 1024
 
 
@@ -75,34 +76,46 @@ class Tuned:
     best: tuple[int, int]
 
 
-def class_sums(texts: DataFrame, grid: Sequence[tuple[int, int]]) -> DataFrame:
-    """``(fold, labelIndex, weight, features_...)``: document count and mean vectors per class.
+@dataclass(frozen=True)
+class ClassSums:
+    """Document counts per ``(fold, class index)``, and mean vectors per grid point."""
+
+    documents: dict[tuple[int, int], int]
+    means: dict[tuple[int, int], DataFrame]
 
-    Summed per task first, then over slices of tasks, then over slices: every task has a row for
-    every class, and no class is merged by a single task.
-    """
-    columns = [feature_column(n, size) for n, size in grid]
+
+def class_sums(texts: DataFrame, grid: Sequence[tuple[int, int]]) -> ClassSums:
+    """What any training split needs, from ``(fold, labelIndex, filteredText)``."""
     keys = ["fold", C.LABEL_INDEX]
-    sliced = hashed_features(texts, grid).withColumn(
-        "slice", F.pmod(F.spark_partition_id(), F.lit(SLICES))
-    )
-    partial = sliced.groupBy(*keys, "slice").agg(
-        F.count("*").cast("double").alias("weight"),
-        *[Summarizer.mean(F.col(column)).alias(column) for column in columns],
-    )
-    sums = partial.groupBy(*keys).agg(
-        F.sum("weight").alias("weight"),
-        *[Summarizer.mean(F.col(column), F.col("weight")).alias(column) for column in columns],
-    )
-    return materialize(sums, "sums")
+    sizes = sorted({n for n, _ in grid})
+    counts = materialize(gram_counts_by_size(texts, C.FILTERED, sizes, keys), "counts")
+    documents = texts.groupBy(*keys).agg(F.count("*").alias("documents"))
+    rows = documents.collect()
+    weighted = counts.join(
+        texts.sparkSession.createDataFrame(rows, documents.schema), keys
+    ).withColumn("weight", F.col("freq") / F.col("documents"))
+    means = {}
+    for part in passes(grid, len(rows)):
+        n = part[0][0]
+        # The hashing stage sees each distinct gram as a text of its own.
+        terms = weighted.filter(F.col("n") == n).withColumn("terms", F.array(spaced(F.col("gram"))))
+        columns = [feature_column(*point) for point in part]
+        for (_, size), column in zip(part, columns):
+            terms = HashingTF(inputCol="terms", outputCol=column, numFeatures=size).transform(terms)
+        sums = terms.groupBy(*keys).agg(
+            *[Summarizer.sum(F.col(column), F.col("weight")).alias(column) for column in columns]
+        )
+        stored = materialize(sums, "means")
+        means |= {point: stored for point in part}
+    return ClassSums({(row.fold, int(row[C.LABEL_INDEX])): row.documents for row in rows}, means)
 
 
 def passes(grid: Sequence[tuple[int, int]], groups: int) -> list[list[tuple[int, int]]]:
-    """Split the grid so that one task's sums for ``groups`` classes and folds stay bounded."""
-    split, used = [], SUMS_BYTES
-    for point in grid:
-        need = groups * point[1] * 24
-        if used + need > SUMS_BYTES:
+    """Split the grid by gram length, and so that one task's sums for ``groups`` stay bounded."""
+    split, used = [], 0
+    for point in sorted(grid):
+        need = groups * point[1] * 16
+        if not split or split[-1][0][0] != point[0] or used + need > SUMS_BYTES:
             split.append([])
             used = 0
         split[-1].append(point)
@@ -110,19 +123,34 @@ def passes(grid: Sequence[tuple[int, int]], groups: int) -> list[list[tuple[int,
     return split
 
 
-def fit_from_sums(sums: DataFrame, classes: int, point: tuple[int, int]) -> NaiveBayesModel:
-    """The model that a fit on the summed documents would give, with all ``classes`` present."""
-    spark = sums.sparkSession
-    rows = sums.select(C.LABEL_INDEX, "weight", F.col(feature_column(*point)).alias(C.FEATURES))
-    seen = {int(row[0]) for row in sums.select(C.LABEL_INDEX).distinct().collect()}
-    missing = [
-        (float(index), NO_WEIGHT, SparseVector(point[1], {}))
-        for index in range(classes)
-        if index not in seen
-    ]
-    if missing:
-        rows = rows.union(spark.createDataFrame(missing, rows.schema))
-    return naive_bayes(weightCol="weight").fit(rows)
+def fit_from_sums(
+    sums: ClassSums, classes: int, point: tuple[int, int], left_out: int | None = None
+) -> NaiveBayesModel:
+    """The model that a fit on all texts outside fold ``left_out`` would give.
+
+    All ``classes`` are present in it, so a class index always is the label index.
+    """
+    rows = sums.means[point].select(
+        "fold", C.LABEL_INDEX, F.col(feature_column(*point)).alias(C.FEATURES)
+    )
+    used = {key: n for key, n in sums.documents.items() if key[0] != left_out}
+    summed = {(row.fold, int(row[C.LABEL_INDEX])) for row in rows.drop(C.FEATURES).collect()}
+    empty = SparseVector(point[1], {})
+    # Classes without documents, and classes whose documents are all too short for a gram.
+    absent = set(range(classes)) - {index for _, index in used}
+    extra = [(float(index), NO_WEIGHT, empty) for index in absent]
+    extra += [(float(key[1]), float(n), empty) for key, n in used.items() if key not in summed]
+    spark = rows.sparkSession
+    weights = spark.createDataFrame(
+        [(fold, float(index), float(n)) for (fold, index), n in used.items()],
+        f"fold int, {C.LABEL_INDEX} double, weight double",
+    )
+    train = rows.join(weights, ["fold", C.LABEL_INDEX]).select(
+        C.LABEL_INDEX, "weight", C.FEATURES
+    )
+    if extra:
+        train = train.union(spark.createDataFrame(extra, train.schema))
+    return naive_bayes(weightCol="weight").fit(train)
 
 
 def held_out_scores(
@@ -174,13 +202,10 @@ def tune(
     labels = list(indexer.labels)
     indexed = indexer.transform(texts)
     held_out = range(folds)
-    sums = {}
-    for part in passes(grid, len(labels) * folds):
-        sums |= dict.fromkeys(part, class_sums(indexed, part))
+    sums = class_sums(indexed, grid)
 
     def fit(job: tuple[tuple[int, int], int]) -> NaiveBayesModel:
-        point, k = job
-        return fit_from_sums(sums[point].filter(F.col("fold") != k), len(labels), point)
+        return fit_from_sums(sums, len(labels), *job)
 
     jobs = [(point, k) for point in grid for k in held_out]
     with ThreadPool(parallelism) as pool:
@@ -194,7 +219,7 @@ def tune(
     model = PipelineModel(
         [
             *feature_stages(*best),
-            fit_from_sums(sums[best], len(labels), best),
+            fit_from_sums(sums, len(labels), best),
             label_decoder(labels),
         ]
     )

@@ -99,7 +99,7 @@ def test_a_label_missing_from_a_training_split_keeps_its_index(spark):
     fold = F.when(F.col("label") == "c", 0).otherwise(F.pmod(F.expr("doc_id div 2"), F.lit(2)))
     rows = df.withColumn("fold", fold.cast("int"))
     sums = class_sums(fit_label_index(rows).transform(rows), [(3, 64)])
-    model = fit_from_sums(sums.filter("fold <> 0"), 3, (3, 64))
+    model = fit_from_sums(sums, 3, (3, 64), left_out=0)
     assert model.numClasses == 3
     assert model.pi.toArray()[2] < model.pi.toArray()[0]
     tuned = tune(df, fold.cast("int"), [(3, 64)])
@@ -143,6 +143,16 @@ def test_success_rate(spark):
 
 
 def test_passes_are_bounded():
-    grid = [(3, 1_000_000), (3, 1_000_000), (4, 4_000_000), (4, 50_000_000)]
-    assert passes(grid, 4) == [grid[:2], grid[2:3], grid[3:]]
+    grid = [(3, 1_000_000), (3, 2_000_000), (4, 3_000_000), (4, 4_000_000), (4, 50_000_000)]
+    assert passes(grid, 4) == [grid[:2], grid[2:3], grid[3:4], grid[4:]]
     assert passes(grid[:2], 2) == [grid[:2]]
+
+
+def test_texts_too_short_for_a_gram_still_count(spark):
+    rows = [(0, "a", "xx"), (0, "b", "bbbb"), (1, "a", "aaaa"), (1, "b", "bbbb"), (1, "b", "b")]
+    df = spark.createDataFrame(rows, "fold int, label string, filteredText string")
+    indexed = fit_label_index(df).transform(df)
+    model = fit_from_sums(class_sums(indexed, [(3, 64)]), 2, (3, 64))
+    stock = language_pipeline(["b", "a"], 3, 64).fit(indexed).stages[3]
+    assert np.allclose(model.pi.toArray(), stock.pi.toArray())
+    assert np.allclose(model.theta.toArray(), stock.theta.toArray())
