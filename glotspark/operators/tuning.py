@@ -82,6 +82,8 @@ class ClassSums:
 
     documents: dict[tuple[int, int], int]
     means: dict[tuple[int, int], DataFrame]
+    # The (fold, class index) pairs that have a row in ``means``, per gram length.
+    summed: dict[int, set[tuple[int, int]]]
 
 
 def class_sums(texts: DataFrame, grid: Sequence[tuple[int, int]]) -> ClassSums:
@@ -94,7 +96,7 @@ def class_sums(texts: DataFrame, grid: Sequence[tuple[int, int]]) -> ClassSums:
     weighted = counts.join(
         texts.sparkSession.createDataFrame(rows, documents.schema), keys
     ).withColumn("weight", F.col("freq") / F.col("documents"))
-    means = {}
+    means, summed = {}, {}
     for part in passes(grid, len(rows)):
         n = part[0][0]
         # The hashing stage sees each distinct gram as a text of its own.
@@ -103,11 +105,14 @@ def class_sums(texts: DataFrame, grid: Sequence[tuple[int, int]]) -> ClassSums:
         for (_, size), column in zip(part, columns):
             terms = HashingTF(inputCol="terms", outputCol=column, numFeatures=size).transform(terms)
         sums = terms.groupBy(*keys).agg(
+            F.first("documents").cast("double").alias("weight"),
             *[Summarizer.sum(F.col(column), F.col("weight")).alias(column) for column in columns]
         )
         stored = materialize(sums, "means")
         means |= {point: stored for point in part}
-    return ClassSums({(row.fold, int(row[C.LABEL_INDEX])): row.documents for row in rows}, means)
+        summed[n] = {(row[0], int(row[1])) for row in stored.select(*keys).collect()}
+    counted = {(row.fold, int(row[C.LABEL_INDEX])): row.documents for row in rows}
+    return ClassSums(counted, means, summed)
 
 
 def passes(grid: Sequence[tuple[int, int]], groups: int) -> list[list[tuple[int, int]]]:
@@ -130,26 +135,24 @@ def fit_from_sums(
 
     All ``classes`` are present in it, so a class index always is the label index.
     """
-    rows = sums.means[point].select(
-        "fold", C.LABEL_INDEX, F.col(feature_column(*point)).alias(C.FEATURES)
+    train = sums.means[point]
+    if left_out is not None:
+        train = train.filter(F.col("fold") != left_out)
+    train = train.select(
+        C.LABEL_INDEX, "weight", F.col(feature_column(*point)).alias(C.FEATURES)
     )
     used = {key: n for key, n in sums.documents.items() if key[0] != left_out}
-    summed = {(row.fold, int(row[C.LABEL_INDEX])) for row in rows.drop(C.FEATURES).collect()}
     empty = SparseVector(point[1], {})
     # Classes without documents, and classes whose documents are all too short for a gram.
     absent = set(range(classes)) - {index for _, index in used}
     extra = [(float(index), NO_WEIGHT, empty) for index in absent]
-    extra += [(float(key[1]), float(n), empty) for key, n in used.items() if key not in summed]
-    spark = rows.sparkSession
-    weights = spark.createDataFrame(
-        [(fold, float(index), float(n)) for (fold, index), n in used.items()],
-        f"fold int, {C.LABEL_INDEX} double, weight double",
-    )
-    train = rows.join(weights, ["fold", C.LABEL_INDEX]).select(
-        C.LABEL_INDEX, "weight", C.FEATURES
-    )
+    extra += [
+        (float(key[1]), float(n), empty)
+        for key, n in used.items()
+        if key not in sums.summed[point[0]]
+    ]
     if extra:
-        train = train.union(spark.createDataFrame(extra, train.schema))
+        train = train.union(train.sparkSession.createDataFrame(extra, train.schema))
     return naive_bayes(weightCol="weight").fit(train)
 
 

@@ -41,13 +41,17 @@ def predict_new(
     model: Transformer,
     labeler: Labeler | None,
     length: int = C.MIN_TEXT_LENGTH,
+    check_keys: bool = True,
 ) -> DataFrame:
     """``(id, created_at, text, prediction, label)`` of the rows not predicted before.
 
     ``text`` is the original. Rows that are too short after cleaning are left out, so they are
-    looked at again in the next run; ``count_short`` tells how many.
+    looked at again in the next run; ``count_short`` tells how many. ``check_keys=False`` saves the
+    search for repeated ids where the source has a primary key.
     """
-    fresh = one_per_key(unpredicted(rows, predicted))
+    fresh = unpredicted(rows, predicted)
+    if check_keys:
+        fresh = one_per_key(fresh)
     prepared = prepare(fresh, length, labeler)
     if labeler is None:
         prepared = prepared.withColumn(C.LABEL, F.lit(None).cast("string"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from glotspark.functions.storage import spread
 from glotspark.operators.incremental import one_per_key, unpredicted
 from glotspark.sources.predictions import append_rows, read_predictions
 
@@ -37,7 +38,7 @@ def predict_stream(
 
     def append(batch: DataFrame, _: int) -> None:
         known = read_predictions(batch.sparkSession, path)
-        append_rows(score(one_per_key(unpredicted(batch, known))), path)
+        append_rows(score(one_per_key(unpredicted(spread(batch), known))), path)
 
     return (
         stream.writeStream.foreachBatch(append)
