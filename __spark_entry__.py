@@ -19,6 +19,7 @@ from glotspark.operators.classifier import GramClassifier
 from glotspark.operators.clean import RegexReplacer, clean_text, min_length, prepare
 from glotspark.operators.evaluate import class_scores, confusion, success_rate, weighted_f1
 from glotspark.operators.features import (
+    apply_pipeline,
     decode_labels,
     feature_column,
     fit_label_index,
@@ -162,8 +163,13 @@ def registry_roundtrip_predict(spark, sf):
     registry = ModelRegistry(spark, new_path(spark, "registry"))
     tuned = learn(documents(spark, sf), guess_step(spark, sf), SMALL_GRID)
     registry.save("language", tuned.model)
-    model = registry.load("language")
-    return model.transform(prepared(spark, sf)).select("doc_id", C.PREDICTION)
+    rows = prepared(spark, sf)
+    before = tuned.model.transform(rows).select("doc_id", C.PREDICTION)
+    after = apply_pipeline(registry.load("language"), rows).select(
+        "doc_id", F.col(C.PREDICTION).alias("reloaded")
+    )
+    same = F.col(C.PREDICTION) == F.col("reloaded")
+    return before.join(after, "doc_id").select("doc_id", same.alias("same"))
 
 
 # ---- cleaning -------------------------------------------------------------------------------
@@ -377,7 +383,7 @@ def cv_metrics(spark, sf):
 
 def train_predict(spark, sf):
     tuned = learn(documents(spark, sf), guess_step(spark, sf), SMALL_GRID)
-    return tuned.model.transform(prepared(spark, sf)).select("doc_id", C.PREDICTION)
+    return apply_pipeline(tuned.model, prepared(spark, sf)).select("doc_id", C.PREDICTION)
 
 
 def score_projection(spark, sf):
@@ -631,6 +637,9 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT source AS name, {created} AS created_at, sha1(text) AS digest FROM documents"
             " QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) = 1"
         ),
+        "registry_roundtrip_predict": (
+            f"WITH {prepare_cte()} SELECT doc_id, true AS same FROM prep"
+        ),
         "regex_replace": (
             "SELECT doc_id, regexp_replace(text, '(\\w+) (\\w+)', '\\2 \\1', 'g')"
             ' AS "filteredText" FROM documents'

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import (
     HashingTF,
@@ -71,6 +71,30 @@ def language_pipeline(labels: Sequence[str], n: int = 2, features: int = 1 << 18
     return Pipeline(stages=[*feature_stages(n, features), naive_bayes(), label_decoder(labels)])
 
 
+def apply_pipeline(model: Transformer, df: DataFrame) -> DataFrame:
+    """``model.transform(df)``, with tokens and n-grams of a language pipeline from one regex.
+
+    The grams are the same strings, and the token arrays, one object per character, are not built.
+    """
+    stages = getattr(model, "stages", [])
+    if (
+        len(stages) < 2
+        or not isinstance(stages[0], RegexTokenizer)
+        or not isinstance(stages[1], NGram)
+        or _settings(stages[0]) != _settings(tokenizer())
+    ):
+        return model.transform(df)
+    grams = char_ngrams(F.col(C.FILTERED), stages[1].getN())
+    df = df.withColumn(stages[1].getOutputCol(), grams)
+    for stage in stages[2:]:
+        df = stage.transform(df)
+    return df
+
+
+def _settings(stage: RegexTokenizer) -> dict:
+    return {param.name: value for param, value in stage.extractParamMap().items()}
+
+
 def hashed_features(
     df: DataFrame, grid: Sequence[tuple[int, int]], text: str = C.FILTERED
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from glotspark import columns as C
 from glotspark.functions import clean
 from glotspark.operators.clean import prepare
+from glotspark.operators.features import apply_pipeline
 from glotspark.operators.incremental import one_per_key, unpredicted
 from glotspark.operators.tuning import FOLDS, GRID, Tuned, text_fold, tune
 from glotspark.sources.predictions import RESULT_COLUMNS, append_rows, read_predictions
@@ -55,7 +56,7 @@ def predict_new(
     prepared = prepare(fresh, length, labeler)
     if labeler is None:
         prepared = prepared.withColumn(C.LABEL, F.lit(None).cast("string"))
-    return model.transform(prepared).select(*RESULT_COLUMNS)
+    return apply_pipeline(model, prepared).select(*RESULT_COLUMNS)
 
 
 def count_short(rows: DataFrame, length: int = C.MIN_TEXT_LENGTH) -> int:
@@ -97,4 +98,4 @@ def learn_and_predict(
 def score_texts(texts: DataFrame, model: Transformer) -> DataFrame:
     """``(filteredText, prediction)`` of given texts: no cleaning and no length filter."""
     usable = texts.filter(F.col(C.FILTERED).isNotNull())
-    return model.transform(usable).select(C.FILTERED, C.PREDICTION)
+    return apply_pipeline(model, usable).select(C.FILTERED, C.PREDICTION)

@@ -13,7 +13,7 @@ TABLES = (
     " benchmark labels conversations"
 ).split()
 
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

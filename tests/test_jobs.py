@@ -3,6 +3,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from glotspark.operators.features import apply_pipeline
 from glotspark.operators.incremental import one_per_key, unpredicted
 from glotspark.operators.profiles import build_profile, fit_guesser, labeler
 from glotspark.plans.jobs import (
@@ -103,6 +104,18 @@ def test_learned_model_predicts_the_languages(tweets, tuned):
     assert [(n, size, fold) for n, size, fold, _ in tuned.metrics] == [(3, 1000, 0), (3, 1000, 1)]
 
 
+def test_applied_pipeline_equals_the_model(spark, tweets, tuned):
+    renamed = tweets.withColumnRenamed("text", "filteredText")
+    columns = ["id", "ngrams", "features", "probability", "prediction"]
+    applied = apply_pipeline(tuned.model, renamed)
+    assert "tokenizedText" not in applied.columns
+    stock = {row.id: row for row in tuned.model.transform(renamed).select(*columns).collect()}
+    assert all(stock[row.id] == row for row in applied.select(*columns).collect())
+    other = tuned.model.copy()
+    other.stages[0].setToLowercase(False)
+    assert "tokenizedText" in apply_pipeline(other, renamed).columns
+
+
 def test_predict_new_and_second_run(spark, tweets, step, tuned, tmp_path):
     path = str(tmp_path / "predicted")
     predict_job(tweets.filter("id < '15'"), path, tuned.model, step)
