@@ -239,31 +239,38 @@ def score_by_join(
     """``(key, hits, s0, s1, ...)``: matched grams and scores per class, by joining grams.
 
     With a table below ``limit`` the join is a broadcast one and the only shuffle carries one
-    already summed row per text. Above it, grams are counted per text first and both sides are
-    shuffled on ``(gram, salt)``, so a gram that occurs in every text is spread over many tasks.
+    already summed row per text. Above it, the texts are shuffled by key, which is a fraction of
+    what their grams would be; grams are counted per text without another shuffle, and joined on
+    ``(gram, salt)``, so a gram that occurs in every text is spread over many tasks.
     """
     spark = df.sparkSession
     table = model.table(spark).drop("n")
     weights = [f"w{i}" for i in range(len(model.classes))]
-    exploded = df.select(
-        F.col(key),
-        F.explode_outer(windows(F.col(text), max(model.sizes))).alias("window"),
-    )
+    window = F.explode_outer(windows(F.col(text), max(model.sizes))).alias("window")
     # A window shorter than n, at the end of a text, has no gram of length n.
-    prefixes = F.array(
-        *[F.when(F.length("window") >= n, F.left("window", F.lit(n))) for n in model.sizes]
-    )
-    grams = exploded.select(key, F.explode_outer(prefixes).alias("gram"))
-    times = F.lit(1)
+    gram = F.explode_outer(
+        F.array(
+            *[F.when(F.length("window") >= n, F.left("window", F.lit(n))) for n in model.sizes]
+        )
+    ).alias("gram")
     if fits_in_memory(model, limit):
+        times = F.lit(1)
+        grams = df.select(key, window).select(key, gram)
         joined = grams.join(F.broadcast(table), "gram", "left")
     else:
         times = F.col("times")
-        counted = grams.groupBy(key, "gram").agg(F.count("*").alias("times"))
-        salted = counted.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(JOIN_SALTS)))
-        copies = table.withColumn(
-            "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(JOIN_SALTS - 1).cast("long")))
+        rows = df.select(key, text).repartition(F.col(key))
+        counted = (
+            rows.select(key, window)
+            .groupBy(key, "window")
+            .agg(F.count("*").alias("times"))
+            .select(key, "times", gram)
+            .groupBy(key, "gram")
+            .agg(F.sum("times").alias("times"))
         )
+        salted = counted.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(JOIN_SALTS)))
+        salts = F.sequence(F.lit(0).cast("long"), F.lit(JOIN_SALTS - 1).cast("long"))
+        copies = table.withColumn("salt", F.explode(salts))
         joined = salted.join(copies, ["gram", "salt"], "left")
     present = F.col(weights[0]).isNotNull()
     return joined.groupBy(key).agg(
