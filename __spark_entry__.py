@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import re
 from collections.abc import Callable
 
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from glotspark import columns as C
 from glotspark.functions import char_ngrams, char_tokens, normalized
 from glotspark.functions import patterns as P
-from glotspark.functions.storage import new_path
+from glotspark.functions.storage import new_path, use_local_folder
 from glotspark.operators.bayes import fit_gram_bayes
 from glotspark.operators.classifier import GramClassifier
 from glotspark.operators.clean import RegexReplacer, clean_text, min_length, prepare
@@ -45,6 +47,14 @@ from glotspark.sources.registry import ModelRegistry, latest_versions
 from glotspark.sources.texts import given_texts, query_texts, read_texts
 from glotspark.streaming import predict_stream, stream_texts
 
+try:
+    import corpus_pipeline
+    from glotspark.llm import queries as llm
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "glotspark.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 CREATED_AT = "timestampadd(MINUTE, doc_id, timestamp'2024-01-01 00:00:00')"
@@ -446,10 +456,31 @@ def stream_incremental(spark, sf):
 
 def entry(spark: SparkSession) -> DataFrame:
     """How often is the language guess right? Profiles, cleaning, guesses and the success rate."""
-    return guess_accuracy(spark, "/root/testdata/sf0.001")
+    use_local_folder(spark)
+    return guess_accuracy(spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
+
+
+def with_folder(query: Query) -> Query:
+    """Gives a local session a folder for intermediate tables where it names none."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        use_local_folder(spark)
+        return query(spark, sf)
+
+    return run
 
 
 def queries() -> dict[str, Query]:
+    """Every registered query; those of the training-data operators where they are installed."""
+    found = own_queries()
+    if llm:
+        found |= llm.queries()
+        found["pipeline"] = corpus_pipeline.run
+    return {name: with_folder(query) for name, query in found.items()}
+
+
+def own_queries() -> dict[str, Query]:
     return {
         "src_subquery": src_subquery,
         "scan_text": scan_text,
@@ -530,6 +561,15 @@ def gram_list(chars: str, n: int, glue: str = "") -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    found = own_sql()
+    if llm:
+        found |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def own_sql() -> dict[str, str]:
     decorated_sql = (
         "SELECT doc_id, lang, concat('RT @user', doc_id, ': ', text, ' https://t.co/x', doc_id,"
         " ' #tag', doc_id, ' a.b', doc_id, '@ex.com @you &amp; ‼ ', lang) AS text"

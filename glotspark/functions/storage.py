@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import functools
+import atexit
 import tempfile
 import uuid
 
@@ -10,43 +10,109 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# A broadcast side above this many bytes takes the shuffle path instead.
+# A broadcast side above this many bytes takes another path instead.
 BROADCAST_BYTES = 256 * 1024 * 1024
 
-
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="glotspark-")
+# Names the folder in a session without ``spark.checkpoint.dir``, which can't be set at run time.
+LOCAL_FOLDER = "glotspark.scratch.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The folder for intermediate tables that the session names; all executors must reach it."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_FOLDER, None)
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return named.rstrip("/")
+
+
+def use_local_folder(spark: SparkSession) -> None:
+    """For entry scripts and tests: a local session that names no shared folder gets a new one.
 
-    Only a local session may fall back to a temporary folder: on a cluster the executors of other
-    machines could not read it.
+    Driver and executors of a local session are one process, so any folder is shared. Sessions on
+    a cluster are left as they are.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _local_dir()
+    try:
+        shared_dir(spark)
+    except RuntimeError:
+        master = spark.sparkContext.master
+        if master == "local" or master.startswith("local["):
+            spark.conf.set(LOCAL_FOLDER, tempfile.mkdtemp(prefix="glotspark-"))
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` once and read it back.
+class Scratch:
+    """Owns the intermediate tables of one job and removes them.
 
-    Cuts the lineage, survives lost executors, and leaves a columnar table whose later readers
-    fetch only the columns they need.
+    As a context manager it removes them when the job is done. A query that returns a lazy frame
+    over such a table can't know when its reader is done; its tables go when the process ends, or
+    with ``clear``.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path, partitionBy=partition_by)
-    return spark.read.schema(df.schema).parquet(path)
+
+    _kept: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.clear()
+
+    def until_exit(self) -> Scratch:
+        if not Scratch._kept:
+            atexit.register(_clear_kept)  # now, so that it runs before the session's own exit hook
+        Scratch._kept.append(self)
+        return self
+
+    def path(self, name: str) -> str:
+        path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        return path
+
+    def table(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+        """Write ``df`` once and read it back.
+
+        Cuts the lineage, survives lost executors, and leaves a columnar table whose later readers
+        fetch only the columns they need.
+        """
+        path = self.path(name)
+        df.write.parquet(path, partitionBy=partition_by)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        back.scratch_path = path
+        return back
+
+    def drop(self, df: DataFrame) -> None:
+        """Remove a table before the job ends."""
+        path = df.scratch_path
+        delete_path(self.spark, path)
+        self.paths.remove(path)
+
+    def clear(self) -> None:
+        while self.paths:
+            delete_path(self.spark, self.paths.pop())
+
+
+def _clear_kept() -> None:
+    for scratch in Scratch._kept:
+        try:
+            scratch.clear()
+        except Exception:  # the session may have ended before the process
+            continue
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return Scratch(spark).until_exit().path(name)
+
+
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    return Scratch(df.sparkSession).until_exit().table(df, name, partition_by)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

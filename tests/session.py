@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from glotspark.functions.storage import use_local_folder
+
 
 def local_session(cores: int) -> SparkSession:
     spark = (
@@ -14,4 +16,5 @@ def local_session(cores: int) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_folder(spark)
     return spark
