@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, secrets, token_counts
+from glotspark.functions.storage import Scratch
+
+from . import bpe, fingerprints, licenses, mixing, secrets, token_counts, topk
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,11 +24,20 @@ def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(documents(spark, sf))
 
 
+def op4_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_edits(documents(spark, sf))
+
+
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(documents(spark, sf), path, public_tokenizers.PATTERN)
 
 
+def op6_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf), Scratch(spark).until_exit())
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "times")
+
+
 def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     found = secrets.scan(docs, secrets.fit(docs))
@@ -44,14 +55,22 @@ def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return topk.search(vectors, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict:
     return {
         "op2_token_counts": op2_token_counts,
         "op3_license_scan": op3_license_scan,
+        "op4_fingerprint": op4_fingerprint,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_mix_sources": op6_mix_sources,
         "op8_secret_scan": op8_secret_scan,
+        "op10_exact_topk": op10_exact_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": licenses.sql()}
+    return {"op3_license_scan": licenses.sql(), "op10_exact_topk": topk.sql()}
