@@ -10,8 +10,10 @@ as there are constraints is 0 or 1.
 
 One such flight runs per block of a source. What a block leaves over, two documents at most, goes
 with the leftovers of other blocks into a block of the next round, until each source is one block.
-Only then the landing rounds the last two: it gives up the balance of documents first, then that of
-words. Blocks handle their largest documents first, so what is left for the landing is small.
+That last block also gets about ``RESERVE`` documents of the source that have been kept back. Once
+no more than ``LANDING`` documents are open in it, the landing gives up the balance of documents and
+keeps that of words. The largest document is settled first, against all others together, so that
+the one that remains to be drawn by lot is a small one.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # Documents that one flight balances, on average.
 BLOCK = 128
+RESERVE = 64
+LANDING = 16
 SEED = 42
 _NEAR = 1e-9
 
@@ -140,20 +144,51 @@ class Flight:
                 kept.append(entry)
         self.active = kept
 
-    def rest(self, landing: bool) -> Iterator[tuple[tuple, float]]:
-        """What is left: still open, or rounded at the landing."""
+    def rest(self) -> Iterator[tuple[tuple, float]]:
+        """What is left when the block ends."""
         while len(self.active) > 1 and self.active[0][1] == self.active[1][1]:
             yield from self.move([1.0, -1.0])
-        if landing:
-            if len(self.active) == 2:
-                (_, first, _), (_, second, _) = self.active
-                yield from self.move([second, -first])  # words stay balanced
-            if self.active:
-                yield from self.move([1.0])
         for row, _, chance in self.active:
             yield row, chance
         self.active = []
 
+    def land(self, block: Sequence[tuple]) -> Iterator[tuple[tuple, float]]:
+        """Rounds a whole block; ``block`` is that of the last round.
+
+        The largest open document moves, and all others together make up for it.
+        """
+        sizes = np.array([row[1] for row in block], dtype=np.float64)
+        chances = np.array([row[4] for row in block])
+        while len(moving := np.flatnonzero((chances > 0) & (chances < 1))):
+            size = sizes[moving]
+            largest = int(np.argmax(size))
+            unit = np.zeros(len(moving))
+            unit[largest] = 1.0
+            # Every other document moves in proportion to the room it has.
+            room = np.minimum(chances[moving], 1 - chances[moving])
+            room[largest] = 1.0
+            balance = np.stack([size, np.ones(len(moving))])[: 2 if len(moving) > LANDING else 1]
+            scaled = balance * room
+            gram = scaled @ balance.T
+            direction = room * (unit - balance.T @ np.linalg.lstsq(gram, scaled @ unit)[0])
+            if len(moving) == 1 or size.sum() == size[largest]:
+                direction = unit  # nothing can make up for it
+            if abs(direction).max() < _NEAR:  # sizes that are all alike
+                direction[largest], direction[largest - 1] = 1.0, -1.0
+            direction /= abs(direction).max()
+            moves = abs(direction) > _NEAR
+            rising = np.where(direction > 0, 1 - chances[moving], chances[moving])
+            falling = np.where(direction > 0, chances[moving], 1 - chances[moving])
+            up = (rising[moves] / abs(direction[moves])).min()
+            down = (falling[moves] / abs(direction[moves])).min()
+            step = up if self.random.random() * (up + down) < down else -down
+            moved = chances[moving] + step * np.where(moves, direction, 0.0)
+            moved[moved < _NEAR] = 0.0
+            moved[moved > 1 - _NEAR] = 1.0
+            chances[moving] = moved
+        for row, chance in zip(block, chances.tolist()):
+            yield row, chance
+
 
 def null_vector(sizes: Sequence[float]) -> list[float]:
     """A direction that changes neither the words nor the number of documents; of three sizes."""
@@ -179,38 +214,43 @@ _ROW = pa.schema(
 _DDL = "doc_id long, size long, source string, copy long, chance double, block long"
 
 
-def fly(df: DataFrame, round_number: int, landing: Column, seed: int = SEED) -> DataFrame:
-    """One flight per ``(source, block)``; blocks stream through, largest documents first.
+def fly(df: DataFrame, turn: int, seed: int = SEED) -> DataFrame:
+    """One flight per ``(source, block)``; blocks stream through, large documents first.
 
-    The order within a block depends on nothing but the rows, so a retry does the same.
+    The order within a block depends on nothing but the rows, so a retry does the same. Where
+    ``landing`` is set the block is the only one of its source, and is held whole.
     """
     salt = F.xxhash64("doc_id", "copy", F.lit(seed))
+    magnitude = F.floor(F.log2(F.col("size") + 1) / 2)
     dealt = (
-        df.withColumn("landing", landing)
-        .repartition("source", "block")
+        df.repartition("source", "block")
         .sortWithinPartitions(
-            "source", "block", F.desc("size"), salt, "doc_id", "copy", "chance"
+            "source", "block", F.desc(magnitude), salt, "doc_id", "copy", "chance"
         )
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        present, flight, last = None, None, False
-        out: list[tuple] = []
+        present, flight, held = None, None, []
+
+        def close() -> Iterator[tuple]:
+            if flight:
+                yield from (flight.land(held) if held else flight.rest())
+
         for batch in batches:
             columns = [batch.column(name).to_pylist() for name in (*_ROW.names, "landing")]
-            for *row, final in zip(*columns):
+            out: list[tuple] = []
+            for *row, landing in zip(*columns):
                 here = (row[2], row[5])
                 if here != present:
-                    if flight:
-                        out += flight.rest(last)
-                    present, last = here, final
-                    flight = Flight(f"{seed}:{round_number}:{here}")
-                out += flight.add(tuple(row), float(row[1]), row[4])
-            yield rows(out)
-            out = []
-        if flight:
-            out += flight.rest(last)
+                    out += close()
+                    present, held = here, []
+                    flight = Flight(f"{seed}:{turn}:{here}")
+                if landing:
+                    held.append(tuple(row))
+                else:
+                    out += flight.add(tuple(row), float(row[1]), row[4])
             yield rows(out)
+        yield rows(list(close()))
 
     def rows(out: list) -> pa.RecordBatch:
         done = [(*row[:4], chance, row[5]) for row, chance in out]
@@ -229,19 +269,30 @@ def rounded(
 
     ``df`` holds the documents with a chance between 0 and 1.
     """
-    open_rows, closed, turn = df, [], 0
+    totals = df.groupBy("source").agg(F.count("*").alias("total"))
+    same = df["source"].eqNullSafe(totals["source"])
+    lot = F.pmod(F.xxhash64("copy", "doc_id", F.lit(seed)), F.col("total"))
+    open_rows = df.join(totals, same).select(df["*"], (lot < RESERVE).alias("kept_back"))
+    closed, turn = [], 0
     while True:
-        counts = open_rows.groupBy("source").agg(F.count("*").alias("rows"))
-        blocks = F.ceil(F.col("rows") / block)
+        moving = F.count_if(~F.col("kept_back"))
+        blocks = F.greatest(F.ceil(moving / block), F.lit(1))
+        counts = open_rows.groupBy("source").agg(blocks.alias("blocks"))
         placed = open_rows.join(counts, open_rows["source"].eqNullSafe(counts["source"])).select(
             open_rows["*"],
-            F.pmod(F.xxhash64("doc_id", "copy", F.lit(seed + turn)), blocks).alias("block"),
-            blocks.alias("blocks"),
+            F.pmod(F.xxhash64("doc_id", "copy", F.lit(seed + turn)), F.col("blocks")).alias(
+                "block"
+            ),
+            (F.col("blocks") == 1).alias("landing"),
         )
-        flown = scratch.table(fly(placed, turn, F.col("blocks") == 1, seed), "flight")
+        waits = F.col("kept_back") & ~F.col("landing")
+        flown = scratch.table(fly(placed.filter(~waits), turn, seed), "flight")
         still = (F.col("chance") > 0) & (F.col("chance") < 1)
         closed.append(flown.filter(~still))
-        open_rows = flown.filter(still).drop("block")
+        left = flown.filter(still).drop("block").withColumn("kept_back", F.lit(False))
+        open_rows = scratch.table(
+            left.union(placed.filter(waits).select(*left.columns)), "open"
+        )
         turn += 1
         if not open_rows.limit(1).count():
             break
