@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch
 
-from . import bpe, fingerprints, licenses, mixing, secrets, token_counts, topk
+from . import bpe, fingerprints, licenses, minhash, mixing, secrets, token_counts, topk
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op6_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "times")
 
 
+def op7_minmax_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf), Scratch(spark).until_exit())
+
+
 def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     found = secrets.scan(docs, secrets.fit(docs))
@@ -67,6 +71,7 @@ def queries() -> dict:
         "op4_fingerprint": op4_fingerprint,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_mix_sources": op6_mix_sources,
+        "op7_minmax_near_dedup": op7_minmax_near_dedup,
         "op8_secret_scan": op8_secret_scan,
         "op10_exact_topk": op10_exact_topk,
     }
