@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch
 
-from . import bpe, fingerprints, licenses, minhash, mixing, secrets, token_counts, topk
+from . import bpe, fingerprints, licenses, minhash, mixing, repeats, secrets, token_counts, topk
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op1_repeat_removal(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.summary(
+        repeats.remove_repeats(documents(spark, sf), Scratch(spark).until_exit())
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return token_counts.count_by_line(documents(spark, sf), path, public_tokenizers.PATTERN)
@@ -66,6 +72,7 @@ def op10_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_repeat_removal": op1_repeat_removal,
         "op2_token_counts": op2_token_counts,
         "op3_license_scan": op3_license_scan,
         "op4_fingerprint": op4_fingerprint,
