@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch
 
-from . import bpe, fingerprints, licenses, minhash, mixing, repeats, secrets, token_counts, topk
+from . import bpe, fingerprints, licenses, minhash, mixing, repeats, secrets, token_counts, topk, toxicity
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,6 +65,18 @@ def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    network = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    return toxicity.score(docs, network, lang="lang").select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.col("flagged").cast("int").alias("flagged_by_language"),
+    )
+
+
 def op10_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
     return topk.search(vectors, F.col("vec_id") % 100 == 0)
@@ -80,6 +92,7 @@ def queries() -> dict:
         "op6_mix_sources": op6_mix_sources,
         "op7_minmax_near_dedup": op7_minmax_near_dedup,
         "op8_secret_scan": op8_secret_scan,
+        "op9_toxicity": op9_toxicity,
         "op10_exact_topk": op10_exact_topk,
     }
 
