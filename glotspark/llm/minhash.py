@@ -8,10 +8,12 @@ at a likeness of 0.85 a pair shares none with a chance below 3 in a million. Eve
 confirmed on the full sets.
 
 Texts with equal sets are one class, found by a digest of the set; only one text per class goes on.
-Within a band's bucket every class is compared with the least one first. Links found so far make
-components, and only buckets whose members still are in more than one component are looked at
-again, pair by pair, but for pairs that sizes or the distances to the bucket's least member (which
-obey the triangle inequality) rule out.
+Every class is compared with the least of all classes that it shares a bucket with. The links
+found make components. Buckets whose members are in more than one component are looked at twice
+again: first their members are compared with their least one, where that is in another component,
+then those that still are apart with each other. For the latter, blocks of a bucket's signatures
+meet in tasks, and only pairs whose sizes allow a link and whose signatures do not speak against it
+(by five standard errors) go on to the full sets. No pair within a component is formed.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from glotspark.functions.storage import Scratch
 
 from .arrow import plain, text_pieces
 from .components import components
+from .joins import small
 from .words import mix, shingle_sets
 
 # Words of a shingle, and the least percentage of shared shingles of a link.
@@ -142,8 +145,10 @@ def confirmed(
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"),
         F.lit(False).alias("is_member"),
     )
+    # A member and at most one more copy of a centre per pair.
+    wanted = small(members.union(copies), pairs, 64)
     dealt = (
-        texts.join(members.union(copies), texts["doc_id"] == F.col("node"))
+        texts.join(wanted, texts["doc_id"] == F.col("node"))
         .select("centre", "part", "is_member", "node", "text")
         .repartition("centre", "part")
         .sortWithinPartitions("centre", "part", "is_member", "node")
@@ -202,17 +207,29 @@ def near_duplicates(
         "classes",
     )
     buckets = scratch.table(_buckets(classes), "buckets")
-    spokes = buckets.filter("node != least").select(
+    spokes = buckets.filter("node != least")
+    first = spokes.groupBy("node").agg(F.min("least").alias("centre"))
+    compared = confirmed(texts, first.select("centre", F.col("node").alias("member")), scratch)
+    links = _linked(compared, percent)
+    found = scratch.table(components(links, scratch), "components")
+
+    apart = scratch.table(_apart(buckets, found), "apart")
+    further = apart.filter("component != least_component").select(
         F.col("least").alias("centre"), F.col("node").alias("member")
     )
-    compared = confirmed(texts, spokes.distinct(), scratch)
-    linked = _linked(compared, percent)
-    found = scratch.table(components(linked, scratch), "components")
+    further = scratch.table(
+        further.distinct().join(compared, ["centre", "member"], "left_anti"), "pairs"
+    )
+    if further.limit(1).count():
+        more = confirmed(texts, further, scratch)
+        links = links.union(_linked(more, percent))
+        found = scratch.table(components(links, scratch), "components")
 
-    again = scratch.table(_open_pairs(buckets, compared, found, percent), "pairs")
-    if again.limit(1).count():
-        more = _linked(confirmed(texts, again, scratch), percent)
-        found = scratch.table(components(linked.union(more), scratch), "components")
+    apart = _apart(apart, found)
+    pairs = scratch.table(_open_pairs(texts, apart, scratch, percent).distinct(), "pairs")
+    if pairs.limit(1).count():
+        links = links.union(_linked(confirmed(texts, pairs, scratch), percent))
+        found = scratch.table(components(links, scratch), "components")
 
     of_class = classes.join(found, classes["doc_id"] == found["node"], "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component")
@@ -246,39 +263,136 @@ def _linked(compared: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _open_pairs(
-    buckets: DataFrame, compared: DataFrame, found: DataFrame, percent: int
-) -> DataFrame:
-    """``(centre, member)``: pairs of a bucket in different components that could be links."""
-    far = (1 - F.col("shared") / F.col("total")).alias("distance")
-    distances = compared.select(F.col("centre").alias("least"), F.col("member").alias("node"), far)
+def _apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """Buckets whose members are in more than one component, with everyone's component."""
+    of_node = found.select("node", "component")
+    of_least = found.select(F.col("node").alias("least"), F.col("component").alias("shared"))
     placed = (
-        buckets.filter("node != least")
-        .join(distances, ["least", "node"])
-        .join(found, "node", "left")
+        buckets.select("key", "node", "least", "n_shingles")
+        .join(of_node, "node", "left")
+        .join(of_least, "least", "left")
         .select(
-            "key", "node", "n_shingles", "distance",
+            "key",
+            "node",
+            "least",
+            "n_shingles",
             F.coalesce("component", "node").alias("component"),
+            F.coalesce("shared", "least").alias("least_component"),
         )
-    )
-    # The buckets that hold more than one component besides what is linked to their least member.
-    mixed = (
-        placed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low != high")
-        .select("key")
     )
-    rows = placed.join(mixed, "key", "left_semi")
-    one, other = rows.alias("one"), rows.alias("other")
-    gap = F.lit(1 - percent / 100 + 1e-9)
-    likely = (
-        (F.col("one.node") < F.col("other.node"))
-        & (F.col("one.component") != F.col("other.component"))
-        & (F.abs(F.col("one.distance") - F.col("other.distance")) <= gap)
-        & (F.col("one.n_shingles") * 100 >= F.col("other.n_shingles") * percent)
-        & (F.col("other.n_shingles") * 100 >= F.col("one.n_shingles") * percent)
+    mixed = placed.filter("component != least_component").select("key").distinct()
+    return placed.join(mixed, "key", "left_semi")
+
+
+def _signed(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, signature)``: one byte per value of the signature of some texts."""
+    schema = pa.schema([("node", pa.int64()), ("signature", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, values, offsets in text_pieces(batches):
+            hashes, bounds = shingle_sets(values, offsets, SHINGLE)
+            full = np.flatnonzero(np.diff(bounds))
+            if not len(full):
+                continue
+            values = signatures(hashes, np.append(bounds[full], bounds[-1]))
+            low = (mix(values.astype(np.uint64)) & np.uint64(255)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("doc_id").cast(pa.int64()).take(pa.array(full)),
+                    pa.array([row.tobytes() for row in low], pa.binary()),
+                ],
+                schema=schema,
+            )
+
+    wanted = small(nodes, nodes, 16)
+    return texts.join(wanted, texts["doc_id"] == F.col("node")).select("doc_id", "text").mapInArrow(
+        run, "node long, signature binary"
+    )
+
+
+def _open_pairs(
+    texts: DataFrame, apart: DataFrame, scratch: Scratch, percent: int
+) -> DataFrame:
+    """``(centre, member)``: pairs of a bucket in different components that could be links.
+
+    A bucket is cut into blocks, and every two blocks meet in one task, so that its size is bounded
+    by nothing but the sum of all tasks' work.
+    """
+    nodes = scratch.table(apart.select("node").distinct(), "nodes")
+    # Of several texts of one id the first is looked at; a text in doubt goes to the full sets.
+    signed = _signed(texts, nodes).groupBy("node").agg(F.min("signature").alias("signature"))
+    counts = apart.groupBy("key").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
+    rows = (
+        apart.join(counts, "key")
+        .join(signed, "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(
+            "key",
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+            "block",
+            "node",
+            "component",
+            "n_shingles",
+            "signature",
+        )
     )
-    pairs = one.join(other, (F.col("one.key") == F.col("other.key")) & likely)
-    return pairs.select(
-        F.col("one.node").alias("centre"), F.col("other.node").alias("member")
-    ).distinct()
+    schema = pa.schema([("centre", pa.int64()), ("member", pa.int64())])
+    # Values agree by chance in one byte of 256; five standard errors below the limit.
+    share = percent / 100
+    least = share - 5 * (share * (1 - share) / (2 * PERMUTATIONS)) ** 0.5
+
+    def likely(low: pa.Table, high: pa.Table) -> pa.RecordBatch:
+        def column(table: pa.Table, name: str) -> np.ndarray:
+            return table.column(name).to_numpy()
+
+        a, b = (
+            np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(
+                len(t), -1
+            )
+            for t in (low, high)
+        )
+        one, other = column(low, "node"), column(high, "node")
+        allowed = column(low, "component")[:, None] != column(high, "component")[None, :]
+        n, m = column(low, "n_shingles")[:, None], column(high, "n_shingles")[None, :]
+        allowed &= (100 * n >= percent * m) & (100 * m >= percent * n)
+        same = low is high
+        if same:
+            allowed &= one[:, None] < other[None, :]
+        q, c = np.nonzero(allowed)
+        found = [np.empty((2, 0), np.int64)]
+        for begin in range(0, len(q), 1 << 14):
+            i, j = q[begin : begin + (1 << 14)], c[begin : begin + (1 << 14)]
+            agree = (a[i] == b[j]).mean(axis=1)
+            near = (agree - 1 / 256) / (1 - 1 / 256) >= least
+            found.append(np.stack([one[i[near]], other[j[near]]]))
+        pairs = np.sort(np.concatenate(found, axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        present = None
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if held:
+                table = pa.Table.from_batches(held)
+                if present[1] == present[2]:
+                    yield likely(table, table)
+                else:
+                    in_low = pa.array(table.column("block").to_numpy() == present[1])
+                    in_high = pa.array(table.column("block").to_numpy() == present[2])
+                    yield likely(table.filter(in_low), table.filter(in_high))
+
+        for batch in batches:
+            groups = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+            cuts = np.flatnonzero((groups[1:] != groups[:-1]).any(axis=1)) + 1
+            for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(groups)]):
+                if tuple(groups[begin]) != present:
+                    yield from close()
+                    present, held = tuple(groups[begin]), []
+                held.append(batch.slice(begin, end - begin))
+        yield from close()
+
+    dealt = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return dealt.mapInArrow(run, "centre long, member long")

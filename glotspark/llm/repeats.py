@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from glotspark.functions.storage import Scratch
 
 from .arrow import text_pieces
+from .joins import small
 from .words import mix, powers, prefix_hashes
 
 # Fixed value: bytes of a string that must not repeat.
@@ -51,9 +52,6 @@ CELL = 32
 # Bytes of runs that are refined at a time.
 REFINE_BYTES = 1 << 20
 
-# A table below this size is sent to all executors; beyond it both sides of a join are shuffled.
-SMALL_BYTES = 64 * 1024 * 1024
-
 _RUN_DDL = "doc long, mark int, start int, starts int, bucket long, whole long"
 _RUN_SCHEMA = pa.schema(
     [
@@ -192,11 +190,6 @@ def with_items(docs: DataFrame, items: DataFrame, *fields: str) -> DataFrame:
     return docs.join(small(grouped, items, 16 + 16 * len(fields)), ["doc", "mark"])
 
 
-def small(df: DataFrame, counted: DataFrame, row_bytes: int) -> DataFrame:
-    """Marks ``df`` for sending to all executors where its rows are checked to be few."""
-    return F.broadcast(df) if counted.count() * row_bytes <= SMALL_BYTES else df
-
-
 # ---- refinement by bucket pointers ----------------------------------------------------------
 
 
