@@ -1,7 +1,112 @@
-"""The training-data pipeline."""
+"""From raw documents to token ids: five stages, each over all that the one before has kept.
 
+Toxic documents go, one document of every group of near-duplicates stays, secrets are masked, sources
+are mixed to their target weights, and what is left is encoded. All stages but the last return the
+columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from glotspark.functions.storage import Scratch, use_local_folder
+from glotspark.llm import bpe, minhash, mixing, secrets, toxicity
+from glotspark.llm.joins import small
+
+# Training, sampling and component search are beyond SQL: the tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold; null and empty texts are scored like any other."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.fit(docs, labels))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of every component; documents without words all stay.
+
+    Rows that share an id go or stay together: they stay if one of them is kept. Rows without an
+    id stay.
+    """
+    found = minhash.near_duplicates(docs, Scratch(spark).until_exit())
+    dropped = (
+        found.filter(F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.max("kept").alias("kept"))
+        .filter("NOT kept")
+        .select("doc_id")
+    )
+    dropped = Scratch(spark).until_exit().table(dropped, "dropped")
+    return docs.join(small(dropped, dropped, 16), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret in their texts replaced by a mark."""
+    return secrets.redact(docs, secrets.fit(docs))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it."""
+    scratch = Scratch(spark).until_exit()
+    mixed = scratch.table(mixing.mix(docs, scratch), "mixed")
+    key = ["doc_id", "copy"]
+    numbered = Window.partitionBy(*key).orderBy(F.desc("times"))
+    # Rows with the same id and text are told apart by a number; most have none of their like.
+    times = scratch.table(
+        mixed.select(*key, "times", F.row_number().over(numbered).alias("number")), "times"
+    )
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").cast("long").alias("own_id"),
+        F.pmod(F.xxhash64("text"), F.lit(1 << 40)).alias("own_copy"),
+    )
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_copy") == F.col("copy"))
+    repeated = times.filter("number > 1").select(*key).distinct()
+    single = small(times.join(repeated, _same(times, repeated), "left_anti"), times, 40)
+    taken = rows.join(single, same).select("row", "times")
+    if repeated.limit(1).count():
+        order = Window.partitionBy("own_id", "own_copy").orderBy(F.xxhash64("row"))
+        alike = rows.join(
+            small(repeated, repeated, 24), same, "left_semi"
+        ).withColumn("own_number", F.row_number().over(order))
+        taken = taken.union(
+            alike.join(times, same & (F.col("own_number") == F.col("number"))).select(
+                "row", "times"
+            )
+        )
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
+    return taken.filter("times > 0").select("row", each).select("row.*")
+
+
+def _same(one: DataFrame, other: DataFrame):
+    return one["doc_id"].eqNullSafe(other["doc_id"]) & (one["copy"] == other["copy"])
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``(doc_id, ids, exact, n_tokens)``; ``exact``: the ids decode to the text's bytes."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
+    return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", mask_secrets),
+    ("mixing", mix_sources),
+    ("encoding", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; every stage is written as Parquet and read again."""
+    use_local_folder(spark)
+    scratch = Scratch(spark).until_exit()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = scratch.table(stage(spark, docs, sf_dir), name)
+    return docs

@@ -92,24 +92,32 @@ class BytePairs:
 def encode(
     df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``(doc_id, ids)``: the token ids of every whole text; a null text has none.
+    """``(doc_id, ids, exact)``: the token ids of every whole text; a null text has none.
 
-    One pass over the rows, no shuffle. Repeated rows and null keys stay as they are.
+    ``exact`` tells whether the ids decode to the text's bytes. One pass over the rows, no shuffle. Repeated rows and null keys stay as they are.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("exact", pa.bool_())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = load(path, pattern)
         for batch in batches:
             for begin in range(0, len(batch), 256):
                 rows = batch.slice(begin, 256)
-                ids = [pairs.encode(each) for each in strings(rows.column("text"))]
+                texts = strings(rows.column("text"))
+                ids = [pairs.encode(each) for each in texts]
+                exact = [pairs.decode(own) == each.encode() for own, each in zip(ids, texts)]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id").cast(pa.int64()), pa.array(ids, schema.field(1).type)],
+                    [
+                        rows.column("doc_id").cast(pa.int64()),
+                        pa.array(ids, schema.field(1).type),
+                        pa.array(exact),
+                    ],
                     schema=schema,
                 )
 
-    return plain(df, key, text).mapInArrow(run, "doc_id long, ids array<int>")
+    return plain(df, key, text).mapInArrow(run, "doc_id long, ids array<int>, exact boolean")
 
 
 def decode(
