@@ -7,6 +7,8 @@ columns of documents.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql.window import Window
 
 from glotspark.functions.storage import Scratch, use_local_folder
 from glotspark.llm import bpe, minhash, mixing, secrets, toxicity
+from glotspark.llm.arrow import small_batches
 from glotspark.llm.joins import small
 
 # Training, sampling and component search are beyond SQL: the tests compare with brute force.
@@ -41,7 +44,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         .select("doc_id")
     )
     dropped = Scratch(spark).until_exit().table(dropped, "dropped")
-    return docs.join(small(dropped, dropped, 16), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small(dropped, 16 * dropped.count()), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,12 +69,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
     same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_copy") == F.col("copy"))
     repeated = times.filter("number > 1").select(*key).distinct()
-    single = small(times.join(repeated, _same(times, repeated), "left_anti"), times, 40)
+    single = small(times.join(repeated, _same(times, repeated), "left_anti"), 40 * times.count())
     taken = rows.join(single, same).select("row", "times")
     if repeated.limit(1).count():
         order = Window.partitionBy("own_id", "own_copy").orderBy(F.xxhash64("row"))
         alike = rows.join(
-            small(repeated, repeated, 24), same, "left_semi"
+            small(repeated, 24 * repeated.count()), same, "left_semi"
         ).withColumn("own_number", F.row_number().over(order))
         taken = taken.union(
             alike.join(times, same & (F.col("own_number") == F.col("number"))).select(
@@ -93,12 +96,21 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
+def in_small_batches(stage):
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_duplicates", drop_near_duplicates),
-    ("secrets", mask_secrets),
-    ("mixing", mix_sources),
-    ("encoding", encode),
+    ("toxicity", in_small_batches(drop_toxic)),
+    ("near_duplicates", in_small_batches(drop_near_duplicates)),
+    ("secrets", in_small_batches(mask_secrets)),
+    ("mixing", in_small_batches(mix_sources)),
+    ("encoding", in_small_batches(encode)),
 ]
 
 

@@ -7,13 +7,26 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of text that a numpy pass works on at a time. Eight-byte arrays over it stay in the cache,
 # and a worker needs a few tens of MB whatever a batch holds. A longer text is a piece by itself.
 PIECE_BYTES = 1 << 20
 
 
+# Bytes of a batch that Spark sends to a Python worker at a time. Its default suits narrow rows; of
+# whole texts a JVM would hold several times that outside its heap, for every running task.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the batches of this session's Python operators, unless they are smaller already."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).lower().rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``(bytes, offsets)`` of a string column; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

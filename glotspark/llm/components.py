@@ -24,9 +24,9 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     )
     state = _state(edges)
     while state[0]:
-        large = scratch.table(_large_star(edges), "edges")
+        large = scratch.table(_large_star(edges, scratch), "edges")
         scratch.drop(edges)
-        edges = scratch.table(_small_star(large), "edges")
+        edges = scratch.table(_small_star(large, scratch), "edges")
         scratch.drop(large)
         now = _state(edges)
         if now == state:
@@ -42,17 +42,20 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Every node links its larger neighbours to its least one."""
     both = edges.union(edges.select("v", "u"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # A table of its own, so that the join can split a node with many links.
+    least = scratch.table(
+        both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least"
+    )
     joined = edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Every node links its smaller neighbours and itself to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = scratch.table(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     joined = edges.join(least, "u").filter(F.col("v") != F.col("m"))
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
         least.select("u", F.col("m").alias("v"))

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 SMALL_BYTES = 64 * 1024 * 1024
 
 
-def small(df: DataFrame, counted: DataFrame, row_bytes: int) -> DataFrame:
-    """Marks ``df`` for sending to all executors where the rows of ``counted`` are checked to be
-    few. ``row_bytes`` is what ``df`` holds for each of them at most, so no column of unknown width
-    may be in it."""
-    return F.broadcast(df) if counted.count() * row_bytes <= SMALL_BYTES else df
+def small(df: DataFrame, bound: int) -> DataFrame:
+    """Marks ``df`` for sending to all executors where ``bound`` says that it is small: what its rows
+    hold at most, in bytes, from a count of these rows."""
+    return F.broadcast(df) if bound <= SMALL_BYTES else df

@@ -146,7 +146,7 @@ def confirmed(
         F.lit(False).alias("is_member"),
     )
     # A member and at most one more copy of a centre per pair.
-    wanted = small(members.union(copies), pairs, 64)
+    wanted = small(members.union(copies), 64 * pairs.count())
     dealt = (
         texts.join(wanted, texts["doc_id"] == F.col("node"))
         .select("centre", "part", "is_member", "node", "text")
@@ -206,7 +206,7 @@ def near_duplicates(
         .select("digest", "row.*"),
         "classes",
     )
-    buckets = scratch.table(_buckets(classes), "buckets")
+    buckets = scratch.table(_buckets(classes, scratch), "buckets")
     spokes = buckets.filter("node != least")
     first = spokes.groupBy("node").agg(F.min("least").alias("centre"))
     compared = confirmed(texts, first.select("centre", F.col("node").alias("member")), scratch)
@@ -243,16 +243,18 @@ def near_duplicates(
     ).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
+def _buckets(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """``(key, node, least, n_shingles)`` of the buckets with more than one class."""
     keyed = classes.select(
         F.explode("keys").alias("key"), F.col("doc_id").alias("node"), "n_shingles"
     )
-    shared = (
+    # A table of its own, so that the join can split a bucket with many members.
+    shared = scratch.table(
         keyed.groupBy("key")
         .agg(F.min("node").alias("least"), F.count("*").alias("members"))
         .filter("members > 1")
-        .select("key", "least")
+        .select("key", "least"),
+        "shared",
     )
     return keyed.join(shared, "key").select("key", "node", "least", "n_shingles")
 
@@ -285,7 +287,7 @@ def _apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _signed(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(node, signature)``: one byte per value of the signature of some texts."""
+    """``(node, signature)``: one byte per value of the signature of some texts, and their keys."""
     schema = pa.schema([("node", pa.int64()), ("signature", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,15 +298,18 @@ def _signed(texts: DataFrame, nodes: DataFrame) -> DataFrame:
                 continue
             values = signatures(hashes, np.append(bounds[full], bounds[-1]))
             low = (mix(values.astype(np.uint64)) & np.uint64(255)).astype(np.uint8)
+            keys = band_keys(values).view(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc_id").cast(pa.int64()).take(pa.array(full)),
-                    pa.array([row.tobytes() for row in low], pa.binary()),
+                    pa.array(
+                        [row.tobytes() for row in np.concatenate([low, keys], axis=1)], pa.binary()
+                    ),
                 ],
                 schema=schema,
             )
 
-    wanted = small(nodes, nodes, 16)
+    wanted = small(nodes, 16 * nodes.count())
     return texts.join(wanted, texts["doc_id"] == F.col("node")).select("doc_id", "text").mapInArrow(
         run, "node long, signature binary"
     )
@@ -316,7 +321,7 @@ def _open_pairs(
     """``(centre, member)``: pairs of a bucket in different components that could be links.
 
     A bucket is cut into blocks, and every two blocks meet in one task, so that its size is bounded
-    by nothing but the sum of all tasks' work.
+    by nothing but the sum of all tasks' work. A pair is returned by the first bucket that it shares.
     """
     nodes = scratch.table(apart.select("node").distinct(), "nodes")
     # Of several texts of one id the first is looked at; a text in doubt goes to the full sets.
@@ -343,16 +348,17 @@ def _open_pairs(
     share = percent / 100
     least = share - 5 * (share * (1 - share) / (2 * PERMUTATIONS)) ** 0.5
 
-    def likely(low: pa.Table, high: pa.Table) -> pa.RecordBatch:
+    def likely(key: int, low: pa.Table, high: pa.Table) -> pa.RecordBatch:
         def column(table: pa.Table, name: str) -> np.ndarray:
             return table.column(name).to_numpy()
 
-        a, b = (
-            np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(
-                len(t), -1
-            )
-            for t in (low, high)
-        )
+        def parts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+            data = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8)
+            data = data.reshape(len(table), -1)
+            keys = np.ascontiguousarray(data[:, 2 * PERMUTATIONS :]).view(np.int64)
+            return data[:, : 2 * PERMUTATIONS], keys
+
+        (a, a_keys), (b, b_keys) = parts(low), parts(high)
         one, other = column(low, "node"), column(high, "node")
         allowed = column(low, "component")[:, None] != column(high, "component")[None, :]
         n, m = column(low, "n_shingles")[:, None], column(high, "n_shingles")[None, :]
@@ -366,7 +372,10 @@ def _open_pairs(
             i, j = q[begin : begin + (1 << 14)], c[begin : begin + (1 << 14)]
             agree = (a[i] == b[j]).mean(axis=1)
             near = (agree - 1 / 256) / (1 - 1 / 256) >= least
-            found.append(np.stack([one[i[near]], other[j[near]]]))
+            i, j = i[near], j[near]
+            shared = np.where(a_keys[i] == b_keys[j], a_keys[i], np.iinfo(np.int64).max)
+            here = shared.min(axis=1) == key
+            found.append(np.stack([one[i[here]], other[j[here]]]))
         pairs = np.sort(np.concatenate(found, axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=schema)
 
@@ -378,11 +387,11 @@ def _open_pairs(
             if held:
                 table = pa.Table.from_batches(held)
                 if present[1] == present[2]:
-                    yield likely(table, table)
+                    yield likely(present[0], table, table)
                 else:
                     in_low = pa.array(table.column("block").to_numpy() == present[1])
                     in_high = pa.array(table.column("block").to_numpy() == present[2])
-                    yield likely(table.filter(in_low), table.filter(in_high))
+                    yield likely(present[0], table.filter(in_low), table.filter(in_high))
 
         for batch in batches:
             groups = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)

@@ -8,10 +8,23 @@ from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch
 
-from . import bpe, fingerprints, licenses, minhash, mixing, repeats, secrets, token_counts, topk, toxicity
+from . import (
+    bpe,
+    fingerprints,
+    licenses,
+    minhash,
+    mixing,
+    repeats,
+    secrets,
+    token_counts,
+    topk,
+    toxicity,
+)
+from .arrow import small_batches
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 

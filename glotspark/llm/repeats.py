@@ -171,23 +171,26 @@ def sort_out(items: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
         .select("doc", "mark", "start", "starts"),
         "repeats",
     )
-    mixed = (
+    mixed = scratch.table(
         kinds.groupBy("bucket")
         .agg(F.count("*").alias("kinds"), F.count_if(~F.col("known")).alias("unknown"))
         .filter("kinds > 1 AND unknown > 0")
-        .select("bucket", "kinds")
+        .select("bucket", "kinds"),
+        "mixed",
     )
     left = scratch.table(
         kinds.join(mixed, "bucket").select("run.*", "bucket", "whole", "known", "kinds"), "left"
     )
     scratch.drop(kinds)
+    scratch.drop(mixed)
     return repeats, left
 
 
 def with_items(docs: DataFrame, items: DataFrame, *fields: str) -> DataFrame:
     """``(doc, mark, text, items)``: every text that has items, with all of them."""
     grouped = items.groupBy("doc", "mark").agg(F.collect_list(F.struct(*fields)).alias("items"))
-    return docs.join(small(grouped, items, 16 + 16 * len(fields)), ["doc", "mark"])
+    bound = (64 + 16 * len(fields)) * items.count()
+    return docs.join(small(grouped, bound), ["doc", "mark"])
 
 
 # ---- refinement by bucket pointers ----------------------------------------------------------
@@ -214,7 +217,7 @@ def refine(data: np.ndarray, begins: np.ndarray, starts: np.ndarray, length: int
         heads[: size - place] = (heads[: size - place] << np.uint64(8)) | data[place:]
     active = np.flatnonzero(room >= depth)
     pointers = np.full(size, -1, dtype=np.int64)
-    active = active[np.argsort(heads[active], kind="stable")]
+    active = active[np.argsort(heads[active])]
     opens = np.ones(len(active), dtype=bool)
     opens[1:] = heads[active][1:] != heads[active][:-1]
     pointers[active] = _first_places(opens)
@@ -227,7 +230,7 @@ def refine(data: np.ndarray, begins: np.ndarray, starts: np.ndarray, length: int
         if depth == length:
             active = active[counts[active]]
         own, after = pointers[active], pointers[active + later]
-        order = np.lexsort((after, own))
+        order = np.argsort(own * size + after)  # by the pointer, then by the later one
         active, own, after = active[order], own[order], after[order]
         opens = np.ones(len(active), dtype=bool)
         opens[1:] = (own[1:] != own[:-1]) | (after[1:] != after[:-1])
@@ -412,10 +415,15 @@ def _signed(value: int) -> int:
 def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
     """``(doc, mark, start, starts)``: starts of strings that start elsewhere too, as runs."""
     runs = scratch.table(all_runs(docs, length), "runs")
-    shared = runs.groupBy("bucket").agg(F.count("*").alias("runs")).filter("runs > 1")
+    # A table of its own, so that the join can split a bucket with many runs.
+    shared = scratch.table(
+        runs.groupBy("bucket").agg(F.count("*").alias("runs")).filter("runs > 1").select("bucket"),
+        "shared",
+    )
     items = scratch.table(
-        runs.join(shared.select("bucket"), "bucket").withColumn("known", F.lit(False)), "items"
+        runs.join(shared, "bucket").withColumn("known", F.lit(False)), "items"
     )
+    scratch.drop(shared)
     scratch.drop(runs)
     found = []
     for width in (CELL, 1, 0):
@@ -436,33 +444,72 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> D
     return whole
 
 
-def removed(start: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Union of the strings of runs of starts, as sorted disjoint ``(begins, ends)``."""
+def union_of(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted disjoint spans that cover what the given spans cover."""
     order = np.argsort(start, kind="stable")
-    begin, end = start[order], np.maximum.accumulate((start + starts - 1 + length)[order])
+    begin, end = start[order], np.maximum.accumulate(end[order])
     opens = np.ones(len(begin), dtype=bool)
     opens[1:] = begin[1:] > end[:-1]
-    close = np.append(opens[1:], True)
-    return begin[opens], end[close]
+    return begin[opens], end[np.append(opens[1:], True)]
+
+
+def spans_by_text(repeats: DataFrame, length: int) -> DataFrame:
+    """``(doc, mark, begins, ends)``: the bytes to remove, as maximal spans in order."""
+    schema = pa.schema(
+        [
+            ("doc", pa.int64()),
+            ("mark", pa.int32()),
+            ("begins", pa.list_(pa.int32())),
+            ("ends", pa.list_(pa.int32())),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begins, ends = [], []
+            for start, starts in zip(*(batch.column(i).to_pylist() for i in (2, 3))):
+                start = np.array(start)
+                spans = union_of(start, start + np.array(starts) - 1 + length)
+                begins.append(spans[0])
+                ends.append(spans[1])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(begins, pa.list_(pa.int32())),
+                    pa.array(ends, pa.list_(pa.int32())),
+                ],
+                schema=schema,
+            )
+
+    # Both lists come from the same rows in the same order.
+    runs = F.collect_list(F.struct("start", "starts")).alias("runs")
+    return (
+        repeats.groupBy("doc", "mark")
+        .agg(runs)
+        .select("doc", "mark", "runs.start", "runs.starts")
+        .mapInArrow(run, "doc long, mark int, begins array<int>, ends array<int>")
+    )
 
 
 def with_spans(
     df: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", length: int = LENGTH
 ) -> DataFrame:
-    """``(doc_id, text, items)`` of every row; ``items`` are the runs of starts, null for none."""
+    """``(doc_id, text, begins, ends)`` of every row: the spans to remove, null for none."""
     docs = df.select(
         F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("doc"),
         F.hash(text).alias("mark"),
         F.col(key).cast("long").alias("doc_id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    # Rows of the same id and text have the same spans, so each span is kept once.
-    spans = scratch.table(repeated_spans(docs, scratch, length).distinct(), "spans")
-    grouped = spans.groupBy("doc", "mark").agg(
-        F.collect_list(F.struct("start", "starts")).alias("items")
+    # Rows of the same id and text have the same spans.
+    spans = scratch.table(
+        spans_by_text(repeated_spans(docs, scratch, length), length), "spans"
     )
-    joined = docs.join(small(grouped, spans, 24), ["doc", "mark"], "left")
-    return joined.select("doc_id", "text", "items")
+    held = spans.agg(F.count("*"), F.sum(F.size("begins"))).first()
+    bound = 64 * held[0] + 8 * (held[1] or 0)
+    joined = docs.join(small(spans, bound), ["doc", "mark"], "left")
+    return joined.select("doc_id", "text", "begins", "ends")
 
 
 def remove_repeats(
@@ -490,15 +537,11 @@ def remove_repeats(
             for low in range(0, len(batch), 256):
                 rows = batch.slice(low, 256)
                 sizes, kept, spans = [], [], []
-                for value, items in zip(
-                    rows.column("text").to_pylist(), rows.column("items").to_pylist()
-                ):
+                for value, begins, ends in zip(*(rows.column(i).to_pylist() for i in (1, 2, 3))):
                     data, own = value.encode(), []
                     sizes.append(len(data))
-                    if items:
-                        pairs = np.array([[i["start"], i["starts"]] for i in items])
-                        begins, ends = removed(pairs[:, 0], pairs[:, 1], length)
-                        own = list(zip(begins.tolist(), ends.tolist()))
+                    if begins:
+                        own = list(zip(begins, ends))
                         edges = [0, *[edge for pair in own for edge in pair], len(data)]
                         data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
                     kept.append(data)
