@@ -7,8 +7,7 @@ import os
 import re
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,16 +22,14 @@ from glotspark.operators.evaluate import class_scores, confusion, success_rate,
 from glotspark.operators.features import (
     apply_pipeline,
     decode_labels,
-    feature_column,
     fit_label_index,
-    hashed_features,
     label_frequencies,
 )
 from glotspark.operators.gram_model import predict_by_join
 from glotspark.operators.grams import gram_counts, gram_counts_by_size, top_grams
 from glotspark.operators.incremental import unpredicted
 from glotspark.operators.profiles import build_profile, fit_guesser, labeler
-from glotspark.operators.tuning import FEATURE_COUNTS, GRAM_SIZES, fold_of
+from glotspark.operators.tuning import FEATURE_COUNTS, GRAM_SIZES, bucket_sums, fold_of
 from glotspark.plans.jobs import (
     count_short,
     learn,
@@ -58,7 +55,12 @@ except ModuleNotFoundError as error:
 Query = Callable[[SparkSession, str], DataFrame]
 
 CREATED_AT = "timestampadd(MINUTE, doc_id, timestamp'2024-01-01 00:00:00')"
-SMALL_GRID = ((3, 20_000),)
+
+# Characters that no document holds.
+FOREIGN = "\u4dc0\u4dc1\u4dc2\u4dc3 \u4dc4\u4dc5"
+
+# The point of the tuning grid that the feature queries show.
+POINT = (3, 20_000)
 
 
 # ---- inputs ---------------------------------------------------------------------------------
@@ -170,16 +172,30 @@ def registry_latest(spark, sf):
 
 
 def registry_roundtrip_predict(spark, sf):
+    """Predictions of a model that was saved to and loaded from the registry."""
     registry = ModelRegistry(spark, new_path(spark, "registry"))
-    tuned = learn(documents(spark, sf), guess_step(spark, sf), SMALL_GRID)
+    tuned = learn(documents(spark, sf), guess_step(spark, sf))
     registry.save("language", tuned.model)
-    rows = prepared(spark, sf)
-    before = tuned.model.transform(rows).select("doc_id", C.PREDICTION)
-    after = apply_pipeline(registry.load("language"), rows).select(
-        "doc_id", F.col(C.PREDICTION).alias("reloaded")
-    )
-    same = F.col(C.PREDICTION) == F.col("reloaded")
-    return before.join(after, "doc_id").select("doc_id", same.alias("same"))
+    loaded = registry.load("language")
+    return apply_pipeline(loaded, prepared(spark, sf)).select("doc_id", C.PREDICTION)
+
+
+def registry_gram_model(spark, sf):
+    """The exact-gram classifier from the registry, which keeps its weight table with it."""
+    registry = ModelRegistry(spark, new_path(spark, "registry"))
+    registry.save("grams", PipelineModel([bayes_classifier(spark, sf)]))
+    return registry.load("grams").transform(prepared(spark, sf)).select("doc_id", C.PREDICTION)
+
+
+def predict_with_registry_model(spark, sf):
+    """New rows scored with a pipeline from the registry, appended to the result table."""
+    path = new_path(spark, "predictions")
+    registry = ModelRegistry(spark, new_path(spark, "registry"))
+    step = guess_step(spark, sf)
+    registry.save("language", learn(documents(spark, sf), step).model)
+    rows = unpredicted(tweets(spark, sf), already_predicted(spark, sf))
+    predict_job(rows, path, registry.load("language"), step)
+    return result_rows(read_predictions(spark, path))
 
 
 # ---- cleaning -------------------------------------------------------------------------------
@@ -251,9 +267,12 @@ def guess_language_broadcast(spark, sf):
 
 
 def guess_unknown(spark, sf):
-    """Every document, short ones too; a profile without rare grams leaves some unknown."""
-    step = labeler(guesser(spark, sf, sizes=(3,), min_count=500), text=C.TEXT)
-    return documents(spark, sf).transform(step).select("doc_id", C.LABEL)
+    """Every document, short ones too; every tenth is in a script that no profile holds."""
+    step = labeler(guesser(spark, sf, sizes=(3,)), text=C.TEXT)
+    foreign = F.when(F.col("doc_id") % 10 == 0, F.lit(FOREIGN)).otherwise(F.col(C.TEXT))
+    return documents(spark, sf).withColumn(C.TEXT, foreign).transform(step).select(
+        "doc_id", C.LABEL
+    )
 
 
 def guess_accuracy(spark, sf):
@@ -311,21 +330,13 @@ def ngram_counts_by_lang(spark, sf):
     )
 
 
-def summed_features(spark, sf) -> DataFrame:
-    (point,) = SMALL_GRID
-    rows = hashed_features(prepared(spark, sf), SMALL_GRID)
-    sums = Summarizer.sum(F.col(feature_column(*point)))
-    return rows.groupBy("lang").agg(vector_to_array(sums).alias("tf"))
-
-
 def hashed_tf(spark, sf):
-    buckets = summed_features(spark, sf).select("lang", F.posexplode("tf").alias("bucket", "tf"))
-    return buckets.filter(F.col("tf") > 0)
+    counts = gram_counts_by_size(prepared(spark, sf), C.FILTERED, POINT[:1], ["lang"])
+    return bucket_sums(counts, POINT, ["lang"])
 
 
 def tf_mass(spark, sf):
-    total = F.aggregate("tf", F.lit(0.0), lambda total, tf: total + tf)
-    return summed_features(spark, sf).select("lang", total.cast("long").alias("mass"))
+    return hashed_tf(spark, sf).groupBy("lang").agg(F.sum("tf").alias("mass"))
 
 
 def label_index(spark, sf):
@@ -392,7 +403,7 @@ def cv_metrics(spark, sf):
 
 
 def train_predict(spark, sf):
-    tuned = learn(documents(spark, sf), guess_step(spark, sf), SMALL_GRID)
+    tuned = learn(documents(spark, sf), guess_step(spark, sf))
     return apply_pipeline(tuned.model, prepared(spark, sf)).select("doc_id", C.PREDICTION)
 
 
@@ -413,7 +424,7 @@ def score_adhoc(spark, sf):
 
 def score_turns(spark, sf):
     """The conversation turns as given texts: a second source, scored by the pipeline model."""
-    tuned = learn(documents(spark, sf), guess_step(spark, sf), SMALL_GRID)
+    tuned = learn(documents(spark, sf), guess_step(spark, sf))
     return score_texts(
         given_texts(read_texts(spark, f"{sf}/conversations.parquet")), tuned.model
     )
@@ -423,7 +434,7 @@ def learn_and_predict_query(spark, sf):
     path = new_path(spark, "predictions")
     registry = ModelRegistry(spark, new_path(spark, "registry"))
     step = guess_step(spark, sf)
-    learn_and_predict(tweets(spark, sf), path, registry, "language", step, grid=SMALL_GRID)
+    learn_and_predict(tweets(spark, sf), path, registry, "language", step)
     return result_rows(read_predictions(spark, path))
 
 
@@ -490,6 +501,8 @@ def own_queries() -> dict[str, Query]:
         "sink_append_roundtrip": sink_append_roundtrip,
         "registry_latest": registry_latest,
         "registry_roundtrip_predict": registry_roundtrip_predict,
+        "registry_gram_model": registry_gram_model,
+        "predict_with_registry_model": predict_with_registry_model,
         "regex_replace": regex_replace,
         "clean_entities": branch("entity"),
         "clean_entities_pages": branch("entity", "pages"),
@@ -677,9 +690,6 @@ def own_sql() -> dict[str, str]:
             f"SELECT source AS name, {created} AS created_at, sha1(text) AS digest FROM documents"
             " QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) = 1"
         ),
-        "registry_roundtrip_predict": (
-            f"WITH {prepare_cte()} SELECT doc_id, true AS same FROM prep"
-        ),
         "regex_replace": (
             "SELECT doc_id, regexp_replace(text, '(\\w+) (\\w+)', '\\2 \\1', 'g')"
             ' AS "filteredText" FROM documents'
@@ -701,7 +711,9 @@ def own_sql() -> dict[str, str]:
             " SELECT doc_id, guess AS label FROM guesses"
         ),
         "guess_unknown": (
-            f"WITH {guess_cte('documents', 'text', (3,), 500)}"
+            "WITH foreigners AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0"
+            f" THEN '{FOREIGN}' ELSE text END AS text FROM documents),"
+            f" {guess_cte('foreigners', 'text', (3,))}"
             " SELECT doc_id, guess AS label FROM guesses"
         ),
         "guess_accuracy": (
@@ -809,6 +821,11 @@ def own_sql() -> dict[str, str]:
         )
     for name in ("guess_language_join", "guess_language_broadcast"):
         sql[name] = sql["guess_language"]
+    # The hashed pipeline against exact grams: another model of the same texts, fitted in SQL.
+    for name in ("train_predict", "registry_roundtrip_predict", "registry_gram_model"):
+        sql[name] = sql["nb_predict"]
+    sql["predict_with_registry_model"] = sql["score_projection"]
+    sql["learn_and_predict"] = sql["stream_incremental"]
     class_sql = (
         f"WITH {prepare_cte()}, {guess_cte('prep', 'f', (1,))},"
         " c AS (SELECT lang AS class, count(*) FILTER (lang = guess) AS tp, count(*) AS actual"

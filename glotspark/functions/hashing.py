@@ -1,0 +1,55 @@
+"""Term hashes of the feature hashing stage, for tables of distinct terms."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Fixed value: the seed of the hashing stage.
+SEED = 42
+
+
+def _rotated(values: np.ndarray, bits: int) -> np.ndarray:
+    return (values << np.uint32(bits)) | (values >> np.uint32(32 - bits))
+
+
+def _stirred(words: np.ndarray) -> np.ndarray:
+    return _rotated(words * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+
+
+def murmur3(terms: list[bytes]) -> np.ndarray:
+    """32-bit MurmurHash3 of byte strings, all strings of a length at a time."""
+    out = np.zeros(len(terms), dtype=np.uint32)
+    lengths = np.array([len(term) for term in terms], dtype=np.int64)
+    for length in np.unique(lengths).tolist():
+        chosen = np.flatnonzero(lengths == length)
+        whole = length // 4
+        data = np.frombuffer(b"".join(terms[i] for i in chosen), np.uint8)
+        data = data.reshape(len(chosen), length)
+        state = np.full(len(chosen), SEED, dtype=np.uint32)
+        words = np.ascontiguousarray(data[:, : 4 * whole]).view("<u4")
+        for word in range(whole):
+            state ^= _stirred(words[:, word].astype(np.uint32))
+            state = _rotated(state, 13) * np.uint32(5) + np.uint32(0xE6546B64)
+        tail = np.zeros(len(chosen), dtype=np.uint32)
+        for place in range(length - 1, 4 * whole - 1, -1):
+            tail = (tail << np.uint32(8)) | data[:, place]
+        if length % 4:
+            state ^= _stirred(tail)
+        state ^= np.uint32(length)
+        for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+            state ^= state >> np.uint32(shift)
+            state *= np.uint32(factor)
+        out[chosen] = state ^ (state >> np.uint32(16))
+    return out.view(np.int32)
+
+
+def _hashes(terms: pd.Series) -> pd.Series:
+    return pd.Series(murmur3([(term or "").encode() for term in terms]))
+
+
+def term_hash(term: Column) -> Column:
+    """The hash of a term; its bucket among ``n`` features is ``pmod(hash, n)``."""
+    return F.pandas_udf(_hashes, "int")(term)

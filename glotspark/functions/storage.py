@@ -111,10 +111,6 @@ def new_path(spark: SparkSession, name: str) -> str:
     return Scratch(spark).until_exit().path(name)
 
 
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    return Scratch(df.sparkSession).until_exit().table(df, name, partition_by)
-
-
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A Parquet table, or no rows where nothing has been written yet."""
     try:
@@ -123,16 +119,3 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Use all task slots where a scan has fewer partitions than the session has slots.
-
-    Cutting text into grams multiplies it, so a small file read by one task would run on one core.
-    A scan with enough partitions, which is any large one, is returned as it is, without a shuffle.
-    Meant for plain scans: asking a plan with shuffles for its partitions would run them.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, key) if key else df.repartition(slots)

@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 
 from glotspark import columns as C
 from glotspark.functions import char_ngrams
-from glotspark.functions.storage import materialize
+from glotspark.functions.storage import Scratch
 
 from .gram_model import GramModel, micro, save_gram_model
-from .profiles import MAX_LANGUAGES
 
 
 @dataclass(frozen=True)
@@ -77,7 +76,8 @@ def fit_gram_bayes(
         F.col(label).alias("label"),
         F.posexplode_outer(char_ngrams(F.col(text), n, spaced=False)).alias("position", "gram"),
     )
-    counted = materialize(
+    # The returned frames read this table.
+    counted = Scratch(df.sparkSession).until_exit().table(
         grams.groupBy("label", "gram").agg(
             F.count("position").alias("count"),
             F.count_if(F.coalesce(F.col("position"), F.lit(0)) == 0).alias("starts"),
@@ -90,9 +90,7 @@ def fit_gram_bayes(
         F.sum("starts").alias("docs"), F.sum("count").alias("grams")
     )
     # One row per class; the order is that of the label index.
-    rows = sums.orderBy(F.desc("docs"), "label").limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"{label} has more than {MAX_LANGUAGES} values")
+    rows = sums.orderBy(F.desc("docs"), "label").collect()
     denominator = F.col("grams") + F.lit(smoothing * vocabulary)
     total = sum(row.docs for row in rows) + smoothing * len(rows)
     classes = (

@@ -19,15 +19,14 @@ class GramClassifier(
 ):
     """Adds the best class of the gram model stored at ``modelPath``: ``string -> string``.
 
-    With ``outputCol="label"`` and a guesser model it is the language guesser. ``keyCol`` names a
-    unique column; it is needed only where the model is too large to send to the executors.
+    With ``outputCol="label"`` and a guesser model it is the language guesser. A registry stores
+    the gram model with the stage, see ``glotspark.sources.registry``.
     """
 
     modelPath = Param(Params._dummy(), "modelPath", "stored gram model", TypeConverters.toString)
-    keyCol = Param(Params._dummy(), "keyCol", "unique key column", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, modelPath=None, keyCol=None):
+    def __init__(self, *, inputCol=None, outputCol=None, modelPath=None):
         super().__init__()
         self._setDefault(inputCol=C.FILTERED, outputCol=C.PREDICTION)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
@@ -40,5 +39,4 @@ class GramClassifier(
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         model = load_gram_model(dataset.sparkSession, self.getModelPath())
-        key = self.getOrDefault(self.keyCol) if self.isDefined(self.keyCol) else None
-        return predict(dataset, self.getInputCol(), self.getOutputCol(), model, key)
+        return predict(dataset, self.getInputCol(), self.getOutputCol(), model)

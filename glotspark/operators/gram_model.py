@@ -7,9 +7,10 @@ The language guesser and the exact-gram Naive Bayes are both of the form
 Weights are whole numbers of micro-nats, so a score does not depend on the order of summation:
 every plan, retry and partitioning gives the same answer, ties included.
 
-Two plans compute it. ``predict_inline`` sends the weight table to the executors once and scores
-each text where it lies: no shuffle. It needs a weight table of bounded size, which is checked.
-``predict_by_join`` has no such bound: it joins exploded grams with the weight table.
+``predict`` sends the weight table to the executors and scores each text where it lies: no shuffle,
+no key. A table above a bound is sent in slices of that size, one after the other; every slice adds
+its part of the scores to the rows, so the answers do not depend on the table's size.
+``predict_by_join`` is the same as a join of exploded grams with the weight table.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import functools
 import json
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -26,12 +27,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glotspark.functions import normalized, windows
-from glotspark.functions.storage import BROADCAST_BYTES, new_path
+from glotspark.functions.storage import BROADCAST_BYTES, Scratch, new_path
 
 MICRO = 1_000_000
 
-# Copies of the weight table in the shuffled join, against grams that occur in most texts.
-JOIN_SALTS = 16
+# A slice of a weight table is not made smaller than this.
+SLICE_BYTES = 1024 * 1024
 
 
 def micro(value: Column) -> Column:
@@ -59,10 +60,18 @@ class GramModel:
         """Size of the weight table in memory: text key, weights, hash slot."""
         return self.rows * (48 + 8 * (len(self.classes) + 1))
 
+    def slices(self, limit: int) -> int:
+        """Number of slices of about ``limit`` bytes, one for a table that fits."""
+        return max(1, -(-self.nbytes // max(limit, SLICE_BYTES)))
+
     def table(self, spark: SparkSession) -> DataFrame:
         weights = "".join(f", w{i} long" for i in range(len(self.classes)))
         return spark.read.schema(f"n int, gram string{weights}").parquet(f"{self.path}/weights")
 
+    def copy_to(self, spark: SparkSession, path: str) -> None:
+        self.table(spark).write.mode("overwrite").parquet(f"{path}/weights")
+        replace(self, path=path).save_header(spark)
+
     def save_header(self, spark: SparkSession) -> None:
         header = json.dumps(
             {
@@ -73,9 +82,9 @@ class GramModel:
                 "rows": self.rows,
             }
         )
-        spark.createDataFrame([(header,)], "value string").coalesce(1).write.text(
-            f"{self.path}/header"
-        )
+        spark.createDataFrame([(header,)], "value string").coalesce(1).write.mode(
+            "overwrite"
+        ).text(f"{self.path}/header")
 
 
 def load_gram_model(spark: SparkSession, path: str) -> GramModel:
@@ -124,85 +133,93 @@ def save_gram_model(
 
 
 @functools.lru_cache(maxsize=8)
-def _broadcast_table(context: SparkContext, model: GramModel):
-    """``(lookup, tables)`` as a broadcast variable, or None where grams do not fit 64 bits.
-
-    ``lookup`` numbers the characters in use, from 1; a gram is its characters' numbers read as
-    digits in base ``len(letters) + 1``. Per gram length the tables hold the sorted codes and one
-    weight column per class, plus a column of ones that counts hits. A last row of zeros stands
-    for grams outside the table.
+def _broadcast_table(context: SparkContext, model: GramModel, number: int, slices: int):
+    """One slice of the weight table as a broadcast variable: ``(lookup, levels)``.
+
+    ``lookup`` numbers the characters in use, from 1. A gram's code at length n is the place of its
+    first n - 1 characters among those of the slice, from 1, times the number of characters, plus
+    its last one; so codes stay small whatever the alphabet. A level holds, for one length, the
+    sorted codes of all prefixes and, for a length of the model, one weight column per class and a
+    column of ones that counts hits. The first row of a column, of zeros, stands for grams outside.
     """
-    table = model.table(SparkSession.builder.getOrCreate()).toPandas()
+    table = model.table(SparkSession.builder.getOrCreate())
+    if slices > 1:
+        table = table.filter(F.pmod(F.xxhash64("gram"), F.lit(slices)) == number)
+    table = table.toPandas()
     letters = np.array(sorted({ord(c) for gram in table.gram for c in gram}), dtype=np.uint32)
     base = len(letters) + 1
-    if base ** max(model.sizes) >= 2**63:
-        return None
     lookup = np.zeros(0x110000, dtype=np.uint32)
     lookup[letters] = np.arange(1, base, dtype=np.uint32)
-    tables = []
-    for n in sorted(model.sizes):
-        part = table[table.n == n]
-        code = np.zeros(len(part), dtype=np.int64)
-        for position in range(n):
-            digits = lookup[np.array([ord(gram[position]) for gram in part.gram], dtype=np.int64)]
-            code = code * base + digits
-        order = np.argsort(code)
-        columns = [part[f"w{i}"].to_numpy(np.int64)[order] for i in range(len(model.classes))]
-        columns.append(np.ones(len(part), dtype=np.int64))
-        columns = [np.append(column, 0).astype(np.int32) for column in columns]
-        tables.append((n, code[order], columns))
-    return context.broadcast((base, lookup, tables))
-
-
-def _inline_scorer(spark: SparkSession, model: GramModel):
-    """A vectorized function ``text -> class``; arithmetic on whole Arrow batches."""
-    shared = _broadcast_table(spark.sparkContext, model)
-    if shared is None:
-        return None
-    intercepts = np.array(model.intercepts + (0,), dtype=np.int64)
-    names = np.array(model.classes + (model.unknown,), dtype=object)
-    has_unknown = model.unknown is not None
+    grams = table.gram.to_numpy()
+    lengths = table.n.to_numpy()
+    place = np.zeros(len(table), dtype=np.int64)  # of the prefix read so far; 0 is the empty one
+    levels = []
+    for n in range(1, max(model.sizes) + 1):
+        long = np.flatnonzero(lengths >= n)
+        last = lookup[np.array([ord(grams[i][n - 1]) for i in long], dtype=np.int64)]
+        keys, inverse = np.unique(place[long] * base + last, return_inverse=True)
+        place[long] = inverse + 1
+        columns = None
+        if n in model.sizes:
+            own = np.flatnonzero(lengths == n)
+            columns = []
+            for name in [f"w{i}" for i in range(len(model.classes))] + [None]:
+                column = np.zeros(len(keys) + 1, dtype=np.int32)
+                column[place[own]] = table[name].to_numpy(np.int64)[own] if name else 1
+                columns.append(column)
+        levels.append((keys, columns))
+    return context.broadcast((base, lookup, levels))
+
+
+def _slice_scorer(spark: SparkSession, model: GramModel, number: int, slices: int):
+    """A vectorized function ``text -> scores``, one number per class and the hits; arithmetic on
+    whole Arrow batches."""
+    shared = _broadcast_table(spark.sparkContext, model, number, slices)
+    width = len(model.classes) + 1
     direct_limit, chunk_chars = 1 << 22, 1 << 20
 
-    def score(texts, base, lookup, tables, slots):
+    def score(texts, base, lookup, levels, slots):
         joined = "".join(texts).encode("utf-32-le", "surrogatepass")
         digits = lookup[np.frombuffer(joined, dtype=np.uint32)].astype(np.int64)
         ends = np.cumsum([len(text) for text in texts])
         starts = np.concatenate(([0], ends[:-1]))
-        totals = np.tile(intercepts, (len(texts), 1))
-        code, length = digits, 1
-        for (n, keys, columns), slot in zip(tables, slots):
-            while length < n:
-                code = code[:-1] * base + digits[length:]
-                length += 1
-            if not len(code) or not len(keys):
-                continue
+        totals = np.zeros((len(texts), width), dtype=np.int64)
+        place = np.zeros(len(digits), dtype=np.int64)
+        for n, ((keys, columns), slot) in enumerate(zip(levels, slots), 1):
+            place = place[: len(digits) - n + 1]
+            if not len(place) or not len(keys):
+                break
+            code = place * base + digits[n - 1 :]
+            known = digits[n - 1 :] > 0
+            if n > 1:
+                known &= place > 0
             if slot is not None:
-                row = slot[code]
+                row = np.where(known, slot[np.where(known, code, 0)], 0)
             else:
                 row = np.searchsorted(keys, code)
                 row[row == len(keys)] = 0
-                row = np.where(keys[row] == code, row, len(keys))
+                row = np.where(known & (keys[row] == code), row + 1, 0)
+            place = row
+            if columns is None:
+                continue
             # Windows that reach into the next text are left out of the difference of sums.
-            left = np.minimum(starts, len(code))
-            right = np.clip(ends - n + 1, left, len(code))
+            left = np.minimum(starts, len(row))
+            right = np.clip(ends - n + 1, left, len(row))
             for position, column in enumerate(columns):
                 running = np.concatenate(([0], np.cumsum(column[row], dtype=np.int64)))
                 totals[:, position] += running[right] - running[left]
-        best = np.argmax(totals[:, :-1], axis=1)
-        if has_unknown:
-            best = np.where(totals[:, -1] > 0, best, len(names) - 1)
-        return names[best]
+        return list(totals)
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        base, lookup, tables = shared.value
-        slots = []
-        for n, keys, _ in tables:
-            slot = None
-            if base**n <= direct_limit:
-                slot = np.full(base**n, len(keys), dtype=np.int32)
-                slot[keys] = np.arange(len(keys), dtype=np.int32)
+        base, lookup, levels = shared.value
+        slots, before = [], 0
+        for keys, _ in levels:
+            size, slot = (before + 1) * base, None
+            if size <= direct_limit:
+                slot = np.zeros(size, dtype=np.int32)
+                slot[keys] = np.arange(1, len(keys) + 1, dtype=np.int32)
             slots.append(slot)
+            before = len(keys)
         for batch in batches:
             texts = ["" if text is None else text for text in batch]
             answers, begin, size = [], 0, 0
@@ -210,23 +227,64 @@ def _inline_scorer(spark: SparkSession, model: GramModel):
                 size += len(text)
                 if size >= chunk_chars or position + 1 == len(texts):
                     chunk = texts[begin : position + 1]
-                    answers.append(score(chunk, base, lookup, tables, slots))
+                    answers += score(chunk, base, lookup, levels, slots)
                     begin, size = position + 1, 0
-            yield pd.Series(np.concatenate(answers) if answers else [], dtype=object)
+            yield pd.Series(answers, dtype=object)
 
-    return F.pandas_udf(predict, "string")
+    return F.pandas_udf(predict, "array<long>")
 
 
-def fits_in_memory(model: GramModel, limit: int = BROADCAST_BYTES) -> bool:
-    return model.nbytes <= limit
+def _choice(model: GramModel, scores: Sequence[Column], hits: Column) -> Column:
+    """The class of the highest score, the first of several."""
+    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    choice = F.coalesce(
+        *[F.when(score == best, F.lit(name)) for score, name in zip(scores, model.classes)]
+    )
+    if model.unknown is not None:
+        choice = F.when(hits > 0, choice).otherwise(F.lit(model.unknown))
+    return choice
 
 
-def predict_inline(df: DataFrame, text: str, out: str, model: GramModel) -> DataFrame | None:
-    """Add the best class as a column; no shuffle. None where the grams do not fit a 64-bit code."""
-    scorer = _inline_scorer(df.sparkSession, model)
-    if scorer is None:
-        return None
-    return df.withColumn(out, scorer(normalized(F.col(text))))
+def predict(
+    df: DataFrame,
+    text: str,
+    out: str,
+    model: GramModel,
+    limit: int = BROADCAST_BYTES,
+    scratch: Scratch | None = None,
+) -> DataFrame:
+    """Add the best class as column ``out``, to every row where it lies.
+
+    A table of several slices is sent slice by slice, and the rows with their scores so far are
+    written in between, so that no executor ever holds more than one slice.
+    """
+    spark = df.sparkSession
+    if not model.classes or not model.rows:
+        return df.withColumn(out, F.lit(model.unknown).cast("string"))
+    slices = model.slices(limit)
+    scores = f"{out}_scores"
+    scratch = scratch or (Scratch(spark).until_exit() if slices > 1 else None)
+    done = None
+    for number in range(slices):
+        part = _slice_scorer(spark, model, number, slices)(normalized(F.col(text)))
+        if number:
+            part = F.zip_with(scores, part, lambda x, y: x + y)
+        df = df.withColumn(scores, part)
+        if number + 1 < slices:
+            df, last = scratch.table(df, "scores"), done
+            done = df
+            if last is not None:
+                scratch.drop(last)
+    # Generated from a one-element array, so that no expression runs the scorer a second time.
+    df = df.withColumn(scores, F.explode(F.array(scores)))
+    sums = [
+        F.get(scores, F.lit(i)) + F.lit(base) for i, base in enumerate(model.intercepts)
+    ]
+    return df.withColumn(out, _choice(model, sums, F.get(scores, F.lit(len(sums))))).drop(scores)
+
+
+def fits_in_memory(model: GramModel, limit: int = BROADCAST_BYTES) -> bool:
+    return model.nbytes <= limit
 
 
 def score_by_join(
@@ -240,8 +298,8 @@ def score_by_join(
 
     With a table below ``limit`` the join is a broadcast one and the only shuffle carries one
     already summed row per text. Above it, the texts are shuffled by key, which is a fraction of
-    what their grams would be; grams are counted per text without another shuffle, and joined on
-    ``(gram, salt)``, so a gram that occurs in every text is spread over many tasks.
+    what their grams would be; grams are counted per text without another shuffle. The join on
+    grams is a plain one of two tables, whose hot grams adaptive execution splits as they grow.
     """
     spark = df.sparkSession
     table = model.table(spark).drop("n")
@@ -268,10 +326,7 @@ def score_by_join(
             .groupBy(key, "gram")
             .agg(F.sum("times").alias("times"))
         )
-        salted = counted.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(JOIN_SALTS)))
-        salts = F.sequence(F.lit(0).cast("long"), F.lit(JOIN_SALTS - 1).cast("long"))
-        copies = table.withColumn("salt", F.explode(salts))
-        joined = salted.join(copies, ["gram", "salt"], "left")
+        joined = counted.join(table, "gram", "left")
     present = F.col(weights[0]).isNotNull()
     return joined.groupBy(key).agg(
         F.sum(F.when(present, times).otherwise(0)).alias("hits"),
@@ -290,30 +345,7 @@ def predict_by_join(
     model: GramModel,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``(key, out)`` for every row of ``df``; ``key`` must be unique."""
+    """``(key, out)`` for every row of ``df``; ``key`` must be unique and not null."""
     scores = [F.col(f"s{i}") for i in range(len(model.classes))]
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    choice = F.coalesce(
-        *[F.when(score == best, F.lit(name)) for score, name in zip(scores, model.classes)]
-    )
-    if model.unknown is not None:
-        choice = F.when(F.col("hits") > 0, choice).otherwise(F.lit(model.unknown))
+    choice = _choice(model, scores, F.col("hits"))
     return score_by_join(df, key, text, model, limit).select(key, choice.alias(out))
-
-
-def predict(
-    df: DataFrame,
-    text: str,
-    out: str,
-    model: GramModel,
-    key: str | None = None,
-    limit: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Add the best class as column ``out``, in place where the weight table is small enough."""
-    if fits_in_memory(model, limit):
-        inline = predict_inline(df, text, out, model)
-        if inline is not None:
-            return inline
-    if key is None:
-        raise ValueError("the weight table is too large to broadcast: name a unique key column")
-    return df.join(predict_by_join(df, key, text, out, model, limit), key)

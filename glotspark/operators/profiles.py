@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glotspark import columns as C
-from glotspark.functions.storage import BROADCAST_BYTES, materialize
+from glotspark.functions.storage import BROADCAST_BYTES, Scratch
 
 from .gram_model import GramModel, micro, predict, save_gram_model
 from .grams import gram_counts_by_size
@@ -26,9 +26,6 @@ from .grams import gram_counts_by_size
 EPSILON = 1e-6
 SIZES = (1, 2, 3)
 
-# More classes than this are taken for a wrong label column, not for languages.
-MAX_LANGUAGES = 1000
-
 
 def build_profile(
     df: DataFrame,
@@ -58,27 +55,25 @@ def profile_weights(profile: DataFrame, eps: float = EPSILON) -> DataFrame:
 
 def fit_guesser(profile: DataFrame, eps: float = EPSILON, path: str | None = None) -> GramModel:
     """Turn a profile into a stored weight table that texts are scored against."""
-    profile = materialize(profile, "profile")
-    totals = profile.select("lang", "n").distinct().limit(MAX_LANGUAGES * len(SIZES) + 1).collect()
-    languages = sorted({row.lang for row in totals if row.lang is not None})
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"the profile has more than {MAX_LANGUAGES} languages")
-    sizes = sorted({row.n for row in totals})
-    return save_gram_model(
-        profile_weights(profile, eps), languages, sizes, unknown=C.UNKNOWN, path=path
-    )
+    with Scratch(profile.sparkSession) as scratch:
+        profile = scratch.table(profile, "profile")
+        named = profile.filter(F.col("lang").isNotNull())
+        languages = sorted(row.lang for row in named.select("lang").distinct().collect())
+        sizes = sorted(row.n for row in named.select("n").distinct().collect())
+        return save_gram_model(
+            profile_weights(named, eps), languages, sizes, unknown=C.UNKNOWN, path=path
+        )
 
 
 def labeler(
     guesser: GramModel,
     text: str = C.FILTERED,
     out: str = C.LABEL,
-    key: str | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> Callable[[DataFrame], DataFrame]:
     """A ``DataFrame -> DataFrame`` step that adds the guessed language."""
 
     def label(df: DataFrame) -> DataFrame:
-        return predict(df, text, out, guesser, key, limit)
+        return predict(df, text, out, guesser, limit)
 
     return label

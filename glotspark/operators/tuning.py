@@ -15,20 +15,20 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayesModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import HashingTF
 from pyspark.ml.linalg import SparseVector
-from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glotspark import columns as C
 from glotspark.functions import spaced
-from glotspark.functions.storage import materialize
+from glotspark.functions.hashing import term_hash
+from glotspark.functions.storage import Scratch
 
 from .evaluate import confusion, weighted_f1
 from .features import (
@@ -53,9 +53,6 @@ GRID = tuple((n, features) for n in GRAM_SIZES for features in FEATURE_COUNTS)
 # index, and ln(weight + 1) is 0 to the last digit that matters.
 NO_WEIGHT = 1e-12
 
-# Bound of one task's sums: two numbers per class, fold and feature of a pass.
-SUMS_BYTES = 256 * 1024 * 1024
-
 
 def fold_of(key: Column, folds: int = FOLDS) -> Column:
     """A fold that depends on nothing but the row, so retries and reruns agree."""
@@ -78,81 +75,75 @@ class Tuned:
 
 @dataclass(frozen=True)
 class ClassSums:
-    """Document counts per ``(fold, class index)``, and mean vectors per grid point."""
+    """Whole-number sums of what every fold and class holds.
+
+    ``documents`` counts texts per ``(fold, class index)``. ``counts`` has, per grid point, the
+    arrays ``(fold, class, bucket, frequency)``: as many numbers as a model of that point has, or
+    fewer. Being whole numbers, they do not depend on partitions or on the order of rows.
+    """
 
     documents: dict[tuple[int, int], int]
-    means: dict[tuple[int, int], DataFrame]
-    # The (fold, class index) pairs that have a row in ``means``, per gram length.
-    summed: dict[int, set[tuple[int, int]]]
+    counts: dict[tuple[int, int], tuple[np.ndarray, ...]]
+
+
+def bucket_sums(counts: DataFrame, point: tuple[int, int], keys: Sequence[str]) -> DataFrame:
+    """``(keys, bucket, tf)`` of counted grams ``(keys, n, gram, freq)`` for one grid point; only
+    distinct grams are hashed."""
+    n, features = point
+    bucket = F.pmod(term_hash(spaced(F.col("gram"))), F.lit(features)).alias("bucket")
+    return (
+        counts.filter(F.col("n") == n)
+        .select(*keys, "freq", bucket)
+        .groupBy(*keys, "bucket")
+        .agg(F.sum("freq").alias("tf"))
+    )
 
 
-def class_sums(texts: DataFrame, grid: Sequence[tuple[int, int]]) -> ClassSums:
+def class_sums(
+    texts: DataFrame, grid: Sequence[tuple[int, int]], scratch: Scratch
+) -> ClassSums:
     """What any training split needs, from ``(fold, labelIndex, filteredText)``."""
     keys = ["fold", C.LABEL_INDEX]
     sizes = sorted({n for n, _ in grid})
-    counts = materialize(gram_counts_by_size(texts, C.FILTERED, sizes, keys), "counts")
-    documents = texts.groupBy(*keys).agg(F.count("*").alias("documents"))
-    rows = documents.collect()
-    weighted = counts.join(
-        texts.sparkSession.createDataFrame(rows, documents.schema), keys
-    ).withColumn("weight", F.col("freq") / F.col("documents"))
-    means, summed = {}, {}
-    for part in passes(grid, len(rows)):
-        n = part[0][0]
-        # The hashing stage sees each distinct gram as a text of its own.
-        terms = weighted.filter(F.col("n") == n).withColumn("terms", F.array(spaced(F.col("gram"))))
-        columns = [feature_column(*point) for point in part]
-        for (_, size), column in zip(part, columns):
-            terms = HashingTF(inputCol="terms", outputCol=column, numFeatures=size).transform(terms)
-        sums = terms.groupBy(*keys).agg(
-            F.first("documents").cast("double").alias("weight"),
-            *[Summarizer.sum(F.col(column), F.col("weight")).alias(column) for column in columns]
+    counts = scratch.table(gram_counts_by_size(texts, C.FILTERED, sizes, keys), "counts")
+    rows = texts.groupBy(*keys).agg(F.count("*").alias("documents")).collect()
+    found = {}
+    for point in grid:
+        sums = bucket_sums(counts, point, keys).toArrow()
+        found[point] = tuple(
+            sums[name].to_numpy().astype(np.int64) for name in (*keys, "bucket", "tf")
         )
-        stored = materialize(sums, "means")
-        means |= {point: stored for point in part}
-        summed[n] = {(row[0], int(row[1])) for row in stored.select(*keys).collect()}
     counted = {(row.fold, int(row[C.LABEL_INDEX])): row.documents for row in rows}
-    return ClassSums(counted, means, summed)
-
-
-def passes(grid: Sequence[tuple[int, int]], groups: int) -> list[list[tuple[int, int]]]:
-    """Split the grid by gram length, and so that one task's sums for ``groups`` stay bounded."""
-    split, used = [], 0
-    for point in sorted(grid):
-        need = groups * point[1] * 16
-        if not split or split[-1][0][0] != point[0] or used + need > SUMS_BYTES:
-            split.append([])
-            used = 0
-        split[-1].append(point)
-        used += need
-    return split
+    return ClassSums(counted, found)
 
 
 def fit_from_sums(
-    sums: ClassSums, classes: int, point: tuple[int, int], left_out: int | None = None
+    spark: SparkSession,
+    sums: ClassSums,
+    classes: int,
+    point: tuple[int, int],
+    left_out: int | None = None,
 ) -> NaiveBayesModel:
     """The model that a fit on all texts outside fold ``left_out`` would give.
 
-    All ``classes`` are present in it, so a class index always is the label index.
+    Every class is one row: its mean vector, weighted by its number of documents. All ``classes``
+    are present, so a class index always is the label index.
     """
-    train = sums.means[point]
-    if left_out is not None:
-        train = train.filter(F.col("fold") != left_out)
-    train = train.select(
-        C.LABEL_INDEX, "weight", F.col(feature_column(*point)).alias(C.FEATURES)
-    )
-    used = {key: n for key, n in sums.documents.items() if key[0] != left_out}
-    empty = SparseVector(point[1], {})
-    # Classes without documents, and classes whose documents are all too short for a gram.
-    absent = set(range(classes)) - {index for _, index in used}
-    extra = [(float(index), NO_WEIGHT, empty) for index in absent]
-    extra += [
-        (float(key[1]), float(n), empty)
-        for key, n in used.items()
-        if key not in sums.summed[point[0]]
-    ]
-    if extra:
-        train = train.union(train.sparkSession.createDataFrame(extra, train.schema))
+    fold, label, bucket, tf = sums.counts[point]
+    rows = []
+    for index in range(classes):
+        documents = sum(
+            count for key, count in sums.documents.items() if key[1] == index and key[0] != left_out
+        )
+        chosen = label == index
+        if left_out is not None:
+            chosen &= fold != left_out
+        total = np.zeros(point[1], dtype=np.int64)
+        np.add.at(total, bucket[chosen], tf[chosen])
+        used = np.flatnonzero(total)
+        vector = SparseVector(point[1], used.tolist(), (total[used] / max(1, documents)).tolist())
+        rows.append((float(index), float(documents) or NO_WEIGHT, vector))
+    train = spark.createDataFrame(rows, [C.LABEL_INDEX, "weight", C.FEATURES]).coalesce(1)
     return naive_bayes(weightCol="weight").fit(train)
 
 
@@ -197,23 +188,25 @@ def tune(
     ``prepared`` holds ``filteredText`` and ``label``. Equal averages go to the first grid point.
     ``parallelism`` is the number of models fitted at a time, each from a handful of summed rows.
     """
+    spark = prepared.sparkSession
     labeled = prepared.filter(F.col(C.LABEL).isNotNull())
-    texts = materialize(
-        labeled.select(C.LABEL, fold.alias("fold"), C.FILTERED), "labeled", partition_by="fold"
-    )
-    indexer = fit_label_index(texts.select(C.LABEL))
-    labels = list(indexer.labels)
-    indexed = indexer.transform(texts)
-    held_out = range(folds)
-    sums = class_sums(indexed, grid)
-
-    def fit(job: tuple[tuple[int, int], int]) -> NaiveBayesModel:
-        return fit_from_sums(sums, len(labels), *job)
-
-    jobs = [(point, k) for point in grid for k in held_out]
-    with ThreadPool(parallelism) as pool:
-        fitted = pool.map(inheritable_thread_target(prepared.sparkSession)(fit), jobs)
-    scores = held_out_scores(indexed, dict(zip(jobs, fitted))).collect()
+    with Scratch(spark) as scratch:
+        texts = scratch.table(
+            labeled.select(C.LABEL, fold.alias("fold"), C.FILTERED), "labeled", partition_by="fold"
+        )
+        indexer = fit_label_index(texts.select(C.LABEL))
+        labels = list(indexer.labels)
+        indexed = indexer.transform(texts)
+        held_out = range(folds)
+        sums = class_sums(indexed, grid, scratch)
+
+        def fit(job: tuple[tuple[int, int], int]) -> NaiveBayesModel:
+            return fit_from_sums(spark, sums, len(labels), *job)
+
+        jobs = [(point, k) for point in grid for k in held_out]
+        with ThreadPool(parallelism) as pool:
+            fitted = pool.map(inheritable_thread_target(spark)(fit), jobs)
+        scores = held_out_scores(indexed, dict(zip(jobs, fitted))).collect()
     f1 = {((row.n, row.features), row.fold): row.weighted_f1 for row in scores}
 
     tested = [[f1[point, k] for k in held_out if (point, k) in f1] for point in grid]
@@ -222,7 +215,7 @@ def tune(
     model = PipelineModel(
         [
             *feature_stages(*best),
-            fit_from_sums(sums, len(labels), best),
+            fit_from_sums(spark, sums, len(labels), best),
             label_decoder(labels),
         ]
     )

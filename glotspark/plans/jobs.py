@@ -11,11 +11,18 @@ from pyspark.sql import functions as F
 
 from glotspark import columns as C
 from glotspark.functions import clean
+from glotspark.functions.storage import Scratch
 from glotspark.operators.clean import prepare
 from glotspark.operators.features import apply_pipeline
-from glotspark.operators.incremental import one_per_key, unpredicted
+from glotspark.operators.incremental import fresh_keys, one_per_key, only_fresh
 from glotspark.operators.tuning import FOLDS, GRID, Tuned, text_fold, tune
-from glotspark.sources.predictions import RESULT_COLUMNS, append_rows, read_predictions
+from glotspark.sources.predictions import (
+    RESULT_COLUMNS,
+    append_rows,
+    count_rejected,
+    read_predictions,
+    valid_rows,
+)
 from glotspark.sources.registry import ModelRegistry
 
 Labeler = Callable[[DataFrame], DataFrame]
@@ -43,20 +50,28 @@ def predict_new(
     labeler: Labeler | None,
     length: int = C.MIN_TEXT_LENGTH,
     check_keys: bool = True,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """``(id, created_at, text, prediction, label)`` of the rows not predicted before.
 
     ``text`` is the original. Rows that are too short after cleaning are left out, so they are
-    looked at again in the next run; ``count_short`` tells how many. ``check_keys=False`` saves the
-    search for repeated ids where the source has a primary key.
+    looked at again in the next run; ``count_short`` tells how many. Of rows that share an id one
+    is kept, chosen among those that are long enough. Rows with a null in a column that the result
+    wants a value in are left out; ``count_rejected`` tells how many. ``check_keys=False`` is for
+    sources with a primary key.
     """
-    fresh = unpredicted(rows, predicted)
+    scratch = scratch or Scratch(rows.sparkSession).until_exit()
+    rows = valid_rows(rows)
+    fresh = fresh_keys(rows, predicted, scratch)
+    prepared = prepare(only_fresh(rows, fresh), length)
     if check_keys:
-        fresh = one_per_key(fresh)
-    prepared = prepare(fresh, length, labeler)
-    if labeler is None:
-        prepared = prepared.withColumn(C.LABEL, F.lit(None).cast("string"))
-    return apply_pipeline(model, prepared).select(*RESULT_COLUMNS)
+        prepared = one_per_key(prepared, fresh)
+    labeled = labeler(prepared) if labeler else with_no_label(prepared)
+    return apply_pipeline(model, labeled).select(*RESULT_COLUMNS)
+
+
+def with_no_label(df: DataFrame) -> DataFrame:
+    return df.withColumn(C.LABEL, F.lit(None).cast("string"))
 
 
 def count_short(rows: DataFrame, length: int = C.MIN_TEXT_LENGTH) -> int:
@@ -65,11 +80,30 @@ def count_short(rows: DataFrame, length: int = C.MIN_TEXT_LENGTH) -> int:
 
 
 def predict_job(
-    rows: DataFrame, path: str, model: Transformer, labeler: Labeler | None, **options
-) -> None:
-    """Score the rows that the table at ``path`` does not hold yet and append them."""
-    known = read_predictions(rows.sparkSession, path)
-    append_rows(predict_new(rows, known, model, labeler, **options), path)
+    rows: DataFrame,
+    path: str | None,
+    model: Transformer,
+    labeler: Labeler | None,
+    read: Callable[[], DataFrame] | None = None,
+    write: Callable[[DataFrame], None] | None = None,
+    **options,
+) -> int:
+    """Score the rows that the result table does not hold yet and append them.
+
+    The table is the Parquet folder ``path``, or whatever ``read`` returns and ``write`` appends
+    to, such as a table of a ``JdbcDatabase``. Returns how many rows have been rejected for a null
+    in a column that must have a value.
+    """
+    spark = rows.sparkSession
+    known = read() if read else read_predictions(spark, path)
+    rejected = count_rejected(rows)
+    with Scratch(spark) as scratch:
+        scored = predict_new(rows, known, model, labeler, scratch=scratch, **options)
+        if write:
+            write(valid_rows(scored))
+        else:
+            append_rows(scored, path)
+    return rejected
 
 
 @dataclass(frozen=True)

@@ -11,10 +11,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-UNPREDICTED = (
-    "SELECT t.id, t.created_at, t.text FROM {texts} t "
-    "LEFT JOIN {predicted} p ON t.id = p.id WHERE p.id IS NULL"
-)
+from glotspark import columns as C
+
+
+def rows_without_match(
+    table: str, other: str, key: str = C.ID, columns: Sequence[str] = (C.ID, C.CREATED_AT, C.TEXT)
+) -> str:
+    """SQL for the rows of ``table`` whose key ``other`` does not hold."""
+    wanted = ", ".join(f"source.{column}" for column in columns)
+    matching = f"SELECT 1 FROM {other} AS done WHERE done.{key} = source.{key}"
+    return f"SELECT {wanted} FROM {table} AS source WHERE NOT EXISTS ({matching})"
 
 
 @dataclass(frozen=True)
@@ -73,9 +79,7 @@ class JdbcDatabase:
         split: Split | None = None,
     ) -> DataFrame:
         """Rows without a prediction, by an anti join inside the database."""
-        return self.query(
-            spark, UNPREDICTED.format(texts=texts, predicted=predicted), split=split
-        )
+        return self.query(spark, rows_without_match(texts, predicted), split=split)
 
     def append(self, df: DataFrame, table: str) -> None:
         df.write.mode("append").format("jdbc").options(**self.options(table)).save()

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glotspark import columns as C
-from glotspark.functions.storage import read_or_empty
-from glotspark.operators.incremental import one_per_key, unpredicted
+from glotspark.functions.storage import Scratch, read_or_empty
+from glotspark.operators.incremental import fresh_keys, one_per_key, only_fresh
 
 PREDICTED_SCHEMA = T.StructType(
     [
@@ -20,6 +23,25 @@ PREDICTED_SCHEMA = T.StructType(
 )
 
 RESULT_COLUMNS = PREDICTED_SCHEMA.fieldNames()
+NOT_NULL = [field.name for field in PREDICTED_SCHEMA if not field.nullable]
+
+
+def lacks_value(df: DataFrame):
+    """Whether a row holds a null in a column that the result table wants a value in."""
+    return reduce(
+        lambda one, other: one | other,
+        [F.col(name).isNull() for name in df.columns if name in NOT_NULL],
+        F.lit(False),
+    )
+
+
+def valid_rows(df: DataFrame) -> DataFrame:
+    return df.filter(~lacks_value(df))
+
+
+def count_rejected(df: DataFrame) -> int:
+    """Rows that can't enter the result table."""
+    return df.filter(lacks_value(df)).count()
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
@@ -35,15 +57,21 @@ def create_prediction_table(spark: SparkSession, name: str, location: str) -> No
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{location}'")
 
 
-def append_predictions(df: DataFrame, path: str) -> None:
-    """Append rows whose key the table does not hold yet, one per key.
+def append_predictions(df: DataFrame, path: str) -> int:
+    """Append rows whose key the table does not hold yet, one per key; returns how many rows have
+    been rejected for a null in a column that must have a value.
 
     Parquet has no primary key; this check stands in for it, for one writer at a time.
     """
-    known = read_predictions(df.sparkSession, path)
-    append_rows(one_per_key(unpredicted(df, known)), path)
+    rejected = count_rejected(df)
+    rows = valid_rows(df)
+    with Scratch(df.sparkSession) as scratch:
+        fresh = fresh_keys(rows, read_predictions(df.sparkSession, path), scratch)
+        append_rows(one_per_key(only_fresh(rows, fresh), fresh), path)
+    return rejected
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """Append without a key check, for rows that come out of the anti join already."""
-    df.select(*RESULT_COLUMNS).write.mode("append").parquet(path)
+    """Append without a key check, for rows that come out of the anti join already. Rows with a
+    null where a value must be are left out."""
+    valid_rows(df.select(*RESULT_COLUMNS)).write.mode("append").parquet(path)

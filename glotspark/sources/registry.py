@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glotspark.functions.storage import read_or_empty
+from glotspark.operators.classifier import GramClassifier
+from glotspark.operators.gram_model import load_gram_model
 
 LOOKUP_SCHEMA = T.StructType(
     [
@@ -41,7 +43,7 @@ def model_digest(model: PipelineModel) -> str:
         params = {
             param.name: value
             for param, value in stage.extractParamMap().items()
-            if not param.name.startswith("uid")
+            if not param.name.startswith("uid") and param.name != "modelPath"
         }
         text = json.dumps(params, sort_keys=True, default=str)
         digest.update(f"{type(stage).__name__}{text}\n".encode())
@@ -49,9 +51,22 @@ def model_digest(model: PipelineModel) -> str:
             if hasattr(stage, name):
                 numbers = np.round(getattr(stage, name).toArray(), 12) + 0.0
                 digest.update(numbers.astype("<f8").tobytes())
+        if isinstance(stage, GramClassifier):
+            digest.update(_table_digest(stage).encode())
     return digest.hexdigest()
 
 
+def _table_digest(stage: GramClassifier) -> str:
+    """What a stored gram model holds, whatever the order and the files of its rows."""
+    spark = SparkSession.builder.getOrCreate()
+    model = load_gram_model(spark, stage.getModelPath())
+    table = model.table(spark)
+    rows = table.select(F.xxhash64(*table.columns).cast("decimal(38,0)").alias("row"))
+    total = rows.agg(F.sum("row"), F.count("*")).first()
+    header = (model.sizes, model.classes, model.intercepts, model.unknown)
+    return f"{header} {tuple(total)}"
+
+
 class ModelRegistry:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -75,6 +90,10 @@ class ModelRegistry:
         stored = self.lookup().filter(F.col("digest") == digest).limit(1).count()
         if not stored:
             model.write().overwrite().save(self.blob_path(digest))
+            for place, stage in self._gram_stages(model):
+                load_gram_model(self.spark, stage.getModelPath()).copy_to(
+                    self.spark, self._gram_path(digest, place)
+                )
         entry = self.spark.range(1).select(
             (F.lit(created_at) if created_at else F.current_timestamp()).alias("created_at"),
             F.lit(name).alias("name"),
@@ -98,4 +117,20 @@ class ModelRegistry:
         return newest[0].digest
 
     def load(self, name: str) -> PipelineModel:
-        return PipelineModel.load(self.blob_path(self.latest(name)))
+        digest = self.latest(name)
+        model = PipelineModel.load(self.blob_path(digest))
+        for place, stage in self._gram_stages(model):
+            stage.setModelPath(self._gram_path(digest, place))
+        return model
+
+    def _gram_path(self, digest: str, place: int) -> str:
+        """Where the weight table of a stage is kept: inside the blob, not where it was made."""
+        return f"{self.blob_path(digest)}/grams/{place}"
+
+    @staticmethod
+    def _gram_stages(model: PipelineModel) -> list[tuple[int, GramClassifier]]:
+        return [
+            (place, stage)
+            for place, stage in enumerate(model.stages)
+            if isinstance(stage, GramClassifier)
+        ]

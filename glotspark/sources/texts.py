@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glotspark import columns as C
-from glotspark.functions.storage import spread
 
 
 def read_texts(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """A Parquet table of texts; only the named columns are read."""
-    return spread(spark.read.parquet(path).select(*(columns or (C.TEXT,))))
+    return spark.read.parquet(path).select(*(columns or (C.TEXT,)))
 
 
 def query_texts(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:

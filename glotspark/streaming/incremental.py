@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from glotspark.functions.storage import spread
-from glotspark.operators.incremental import one_per_key, unpredicted
-from glotspark.sources.predictions import append_rows, read_predictions
+from glotspark.functions.storage import Scratch
+from glotspark.operators.incremental import fresh_keys, only_fresh
+from glotspark.sources.predictions import append_predictions, read_predictions, valid_rows
 
 
 def stream_texts(
@@ -33,12 +33,17 @@ def predict_stream(
 
     ``score`` maps ``(id, created_at, text)`` rows to result rows. The checkpoint keeps files from
     being read twice; the anti join in each batch keeps a batch that is run again after a failure,
-    or a row that arrives twice, from being appended twice.
+    or a row that arrives twice, from being appended twice. Of rows that share an id one that
+    ``score`` returns is kept. A batch is written once, read from there, and removed with all that
+    was made from it when its rows are appended.
     """
 
     def append(batch: DataFrame, _: int) -> None:
-        known = read_predictions(batch.sparkSession, path)
-        append_rows(score(one_per_key(unpredicted(spread(batch), known))), path)
+        with Scratch(batch.sparkSession) as scratch:
+            rows = scratch.table(valid_rows(batch), "batch")
+            fresh = fresh_keys(rows, read_predictions(rows.sparkSession, path), scratch)
+            scored = scratch.table(score(only_fresh(rows, fresh)), "scored")
+            append_predictions(scored, path)
 
     return (
         stream.writeStream.foreachBatch(append)

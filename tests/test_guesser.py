@@ -9,7 +9,6 @@ from glotspark.operators.gram_model import (
     load_gram_model,
     predict,
     predict_by_join,
-    predict_inline,
     save_gram_model,
 )
 from glotspark.operators.profiles import build_profile, fit_guesser, labeler
@@ -61,7 +60,8 @@ def test_profile_equals_brute_force(profile):
     assert got == {key: (freq, totals[key[:2]]) for key, freq in counts.items()}
 
 
-def test_every_plan_equals_brute_force(spark, profile):
+def test_every_plan_equals_brute_force(spark, profile, monkeypatch):
+    monkeypatch.setattr("glotspark.operators.gram_model.SLICE_BYTES", 4096)
     rng = random.Random(3)
     pool = "".join(text for _, text in TRAIN) + "zzqЖ日\U0001f600\n"
     texts = ["".join(rng.choices(pool, k=rng.randint(0, 40))) for _ in range(400)]
@@ -74,16 +74,26 @@ def test_every_plan_equals_brute_force(spark, profile):
     model = fit_guesser(profile)
     assert model == load_gram_model(spark, model.path)
     plans = {
-        "inline": predict_inline(df, "filteredText", "label", model),
+        "inline": predict(df, "filteredText", "label", model),
         "broadcast": predict_by_join(df, "id", "filteredText", "label", model),
         "shuffled": predict_by_join(df, "id", "filteredText", "label", model, limit=0),
-        "fallback": predict(df, "filteredText", "label", model, key="id", limit=0),
+        "slices": predict(df, "filteredText", "label", model, limit=0),
         "stage": GramClassifier(modelPath=model.path, outputCol="label").transform(df),
     }
     for name, plan in plans.items():
         assert {row.id: row.label for row in plan.collect()} == expected, name
-    with pytest.raises(ValueError):
-        predict(df, "filteredText", "label", model, limit=0)
+    assert model.slices(0) > 3
+
+
+def test_slices_keep_rows_with_null_and_repeated_keys(spark, profile, monkeypatch):
+    monkeypatch.setattr("glotspark.operators.gram_model.SLICE_BYTES", 2048)
+    rows = [(None, "the day"), (1, "der tag"), (1, "the day"), (2, "le jour"), (None, None)]
+    df = spark.createDataFrame(rows, "id int, filteredText string")
+    model = fit_guesser(profile)
+    wanted = sorted(df.transform(labeler(model)).collect(), key=str)
+    assert len(wanted) == 5
+    for limit in (10_000, 3_000, 0):
+        assert sorted(df.transform(labeler(model, limit=limit)).collect(), key=str) == wanted
 
 
 def test_null_text_is_unknown_and_ties_go_to_the_smaller_code(spark):
@@ -104,15 +114,14 @@ def test_null_text_is_unknown_and_ties_go_to_the_smaller_code(spark):
         }
 
 
-def test_large_alphabets_take_the_join(spark):
-    """Grams of four characters over many letters do not fit a 64-bit code."""
+def test_large_alphabets(spark):
+    """Grams of four characters over many letters, whose number does not fit 64 bits."""
     letters = "".join(chr(0x4E00 + i) for i in range(66_000) if not 0xD800 <= 0x4E00 + i <= 0xDFFF)
     rows = [("c", 4, letters[i : i + 4], 1_000_000) for i in range(0, len(letters) - 4, 4)]
     weights = spark.createDataFrame(rows, "class string, n int, gram string, weight long")
     model = save_gram_model(weights, ["c"], [4], unknown="unknown")
     df = spark.createDataFrame([(1, letters[:4]), (2, "abcd")], "id int, filteredText string")
-    assert predict_inline(df, "filteredText", "out", model) is None
-    got = predict(df, "filteredText", "out", model, key="id").collect()
+    got = predict(df, "filteredText", "out", model).collect()
     assert {row.id: row.out for row in got} == {1: "c", 2: "unknown"}
 
 
@@ -145,6 +154,28 @@ def test_json_profiles(spark, profile, tmp_path):
     assert [r.label for r in df.transform(labeler(guess)).collect()] == ["sv", "de"]
 
 
+def test_json_profiles_of_other_lengths(spark, tmp_path):
+    texts = spark.createDataFrame(TRAIN, "lang string, text string")
+    for name, sizes in {"long": (3, 4), "all": (1, 2, 3, 4, 5)}.items():
+        profile = build_profile(texts, sizes=sizes)
+        write_profiles(profile, str(tmp_path / name))
+        back = read_profiles(spark, str(tmp_path / name)).select(*profile.columns)
+        assert back.exceptAll(profile).count() == 0 and back.count() == profile.count()
+
+
+def test_malformed_profile_fails(spark, tmp_path):
+    (tmp_path / "de").write_text('{"freq":{"x":1},"n_words":[4,2,0],"name":"de"')
+    with pytest.raises(Exception):
+        read_profiles(spark, str(tmp_path)).collect()
+
+
+def test_many_languages_and_lengths(spark):
+    rows = [(f"l{i:04d}", n, "x" * n, 1, 1) for i in range(1100) for n in (1, 2, 3, 4, 5)]
+    profile = spark.createDataFrame(rows, "lang string, n int, gram string, freq long, total long")
+    model = fit_guesser(profile)
+    assert len(model.classes) == 1100 and model.sizes == (1, 2, 3, 4, 5)
+
+
 def test_language_profile_is_split_over_many_objects(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("glotspark.sources.profiles.GRAMS_PER_OBJECT", 10)
     profile = build_profile(spark.createDataFrame(TRAIN, "lang string, text string"))

@@ -1,10 +1,17 @@
+import os
+import re
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from glotspark.functions.storage import Scratch, shared_dir
+from glotspark.operators.bayes import fit_gram_bayes
+from glotspark.operators.classifier import GramClassifier
+from glotspark.operators.clean import prepare
 from glotspark.operators.features import apply_pipeline
-from glotspark.operators.incremental import one_per_key, unpredicted
+from glotspark.operators.incremental import fresh_keys, one_per_key, unpredicted
 from glotspark.operators.profiles import build_profile, fit_guesser, labeler
 from glotspark.plans.jobs import (
     count_short,
@@ -14,7 +21,7 @@ from glotspark.plans.jobs import (
     predict_new,
     score_texts,
 )
-from glotspark.sources.jdbc import JdbcDatabase, Split
+from glotspark.sources.jdbc import JdbcDatabase, Split, rows_without_match
 from glotspark.sources.predictions import (
     PREDICTED_SCHEMA,
     append_predictions,
@@ -53,30 +60,130 @@ def ids(df):
     return sorted(row.id for row in df.select("id").collect())
 
 
-def test_three_anti_join_plans_agree(spark):
+def test_anti_join_plans_agree(spark):
     rows = spark.createDataFrame(
         [(str(i), f"t{i}") for i in range(50)] + [(None, "null")], "id string, text string"
     )
     done = spark.createDataFrame([(str(i),) for i in range(0, 50, 2)], "id string")
-    plain = rows.join(done, "id", "left_anti")
-    expected = sorted(plain.collect(), key=str)
-    for limit in (10**9, 64 * 26, 64 * 25 - 1, 0):
+    expected = sorted(rows.join(done, "id", "left_anti").collect(), key=str)
+    for limit in (10**9, 66 * 26, 0):
         assert sorted(unpredicted(rows, done, limit=limit).collect(), key=str) == expected
-    most = spark.createDataFrame([(str(i),) for i in range(47)], "id string")
-    steady = unpredicted(rows, most, limit=64 * 10)
-    assert "LeftSemi" in steady._jdf.queryExecution().optimizedPlan().toString()
-    left = {row.id for row in steady.collect()}
-    assert left == {"47", "48", "49", None}
+    steady = unpredicted(rows, done)
+    assert "BroadcastHashJoin" in steady._jdf.queryExecution().executedPlan().toString()
+    everything = spark.createDataFrame([(str(i),) for i in range(50)], "id string")
+    assert unpredicted(rows.filter("id is not null"), everything).count() == 0
+
+
+def test_long_keys_count_by_their_bytes(spark):
+    rows = spark.createDataFrame([("u" * 5000 + str(i), "t") for i in range(40)], "id string, text string")
+    with Scratch(spark) as scratch:
+        fresh = fresh_keys(rows, rows.limit(0), scratch)
+        assert fresh.rows == 40 and fresh.nbytes > 40 * 5000 and fresh.repeated == 0
+
+
+def test_the_source_is_read_once_for_keys_and_once_for_rows(spark, tweets, tuned, step, tmp_path):
+    tweets.select("id", "created_at", "text").write.parquet(str(tmp_path / "source"))
+    source = spark.read.parquet(str(tmp_path / "source"))
+    with Scratch(spark) as scratch:
+        scored = predict_new(source, source.select("id").limit(5), tuned.model, step, scratch=scratch)
+        plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[id#\d+,created_at", plan)) == 1, plan
 
 
 def test_one_per_key(spark):
     rows = [("hot", f"t{i % 7}") for i in range(300)] + [("a", "x"), ("b", "y")]
     df = spark.createDataFrame(rows, "id string, text string").repartition(5)
-    kept = sorted(tuple(row) for row in one_per_key(df).collect())
-    assert kept == [("a", "x"), ("b", "y"), ("hot", "t0")]
-    assert sorted(tuple(row) for row in one_per_key(df, limit=0).collect()) == kept
-    unique = df.filter("id <> 'hot'")
-    assert one_per_key(unique) is unique
+    with Scratch(spark) as scratch:
+        fresh = fresh_keys(df, df.limit(0), scratch)
+        for limit in (10**9, 0):
+            kept = sorted(tuple(row) for row in one_per_key(df, fresh, limit=limit).collect())
+            assert kept == [("a", "x"), ("b", "y"), ("hot", "t0")]
+        unique = df.filter("id <> 'hot'")
+        assert one_per_key(unique, fresh_keys(unique, df.limit(0), scratch)) is unique
+
+
+MOMENT = datetime(2024, 1, 1)
+LATER = datetime(2024, 1, 2)
+LONG = "the quick brown fox and the lazy dog were here"
+
+
+def test_an_id_whose_first_row_is_too_short_is_not_lost(spark, tuned, step, tmp_path):
+    schema = "id string, created_at timestamp, text string"
+    rows = [("1", MOMENT, "short"), ("1", LATER, LONG), ("2", MOMENT, LONG), ("2", LATER, LONG)]
+    df = spark.createDataFrame(rows, schema)
+    path = str(tmp_path / "predicted")
+    predict_job(df, path, tuned.model, step)
+    done = read_predictions(spark, path)
+    assert sorted((row.id, row.created_at) for row in done.collect()) == [("1", LATER), ("2", MOMENT)]
+    predict_job(df, path, tuned.model, step)
+    assert read_predictions(spark, path).count() == 2
+
+    df.write.parquet(str(tmp_path / "in" / "a"))
+    streamed = str(tmp_path / "streamed")
+
+    def score(batch):
+        return tuned.model.transform(prepare(batch, labeler=step))
+
+    stream = stream_texts(spark, str(tmp_path / "in" / "*"), df.schema)
+    predict_stream(stream, streamed, str(tmp_path / "checkpoint"), score).awaitTermination()
+    assert ids(read_predictions(spark, streamed)) == ["1", "2"]
+
+
+def test_rows_with_nulls_are_rejected_and_counted(spark, tuned, step, tmp_path):
+    schema = "id string, created_at timestamp, text string"
+    rows = [(None, MOMENT, LONG), ("1", None, LONG), ("2", MOMENT, None), ("3", MOMENT, LONG)]
+    df = spark.createDataFrame(rows, schema)
+    path = str(tmp_path / "predicted")
+    for _ in range(3):
+        assert predict_job(df, path, tuned.model, step) == 3
+        assert ids(read_predictions(spark, path)) == ["3"]
+    whole = [(*row, "en", None) for row in rows]
+    loose = "id string, created_at timestamp, text string, prediction string, label string"
+    assert append_predictions(spark.createDataFrame(whole, loose), path) == 3
+    assert ids(read_predictions(spark, path)) == ["3"]
+
+
+def test_a_job_can_write_elsewhere(spark, tweets, tuned, tmp_path):
+    kept = []
+    rejected = predict_job(
+        tweets, None, tuned.model, None,
+        read=lambda: spark.createDataFrame([], PREDICTED_SCHEMA),
+        write=lambda df: kept.append(df.count()),
+    )
+    assert rejected == 0 and kept == [tweets.count() - count_short(tweets)]
+
+
+def test_nothing_is_left_behind(spark, tweets, step, tuned, tmp_path):
+    folder = shared_dir(spark)
+    before = set(os.listdir(folder))
+    learn(tweets, step, GRID)
+    predict_job(tweets, str(tmp_path / "predicted"), tuned.model, step)
+    tweets.select("id", "created_at", "text").write.parquet(str(tmp_path / "in" / "a"))
+    stream = stream_texts(spark, str(tmp_path / "in" / "*"), tweets.drop("lang").schema)
+    predict_stream(
+        stream, str(tmp_path / "streamed"), str(tmp_path / "checkpoint"),
+        lambda rows: tuned.model.transform(prepare(rows, labeler=step)),
+    ).awaitTermination()
+    assert set(os.listdir(folder)) == before
+
+
+@pytest.mark.parametrize("limit", [1 << 28, 1 << 16, 0])
+def test_jobs_do_not_depend_on_the_size_of_the_weight_table(
+    spark, tweets, tuned, tmp_path, monkeypatch, limit
+):
+    monkeypatch.setattr("glotspark.operators.gram_model.SLICE_BYTES", 1 << 16)
+    step = labeler(fit_guesser(build_profile(tweets)), limit=limit)
+    odd = tweets.select("id", "text").limit(20).withColumn("id", F.lit("same"))
+    odd = odd.union(tweets.select(F.lit(None).cast("string"), "text").limit(5))
+    labeled = odd.withColumnRenamed("text", "filteredText").transform(step)
+    assert labeled.count() == 25 and labeled.filter("label = 'unknown'").count() == 0
+    registry = ModelRegistry(spark, str(tmp_path / "registry"))
+    path = str(tmp_path / "predicted")
+    learn_and_predict(tweets, path, registry, "language", step, grid=GRID)
+    done = read_predictions(spark, path)
+    assert done.count() == tweets.count() - count_short(tweets)
+    joined = done.join(tweets.select("id", "lang"), "id")
+    assert joined.filter("label <> lang").count() <= 2
 
 
 def test_append_keeps_the_key_unique(spark, tmp_path):
@@ -224,6 +331,38 @@ def test_jdbc_options():
     assert "user" not in JdbcDatabase("jdbc:x").options("t")
 
 
+def test_rows_without_match():
+    sql = rows_without_match("tweets", "done", columns=["id", "text"])
+    assert "NOT EXISTS" in sql and sql.startswith("SELECT source.id, source.text FROM tweets")
+
+
+def test_equal_models_share_a_digest(spark, tweets, step):
+    digests = set()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (4, 13, 29):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            model = learn(tweets.repartition(partitions), step, GRID).model
+            digests.add(model_digest(model))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(digests) == 1
+
+
+def test_registry_keeps_gram_models_whole(spark, tweets, tmp_path):
+    prepared = prepare(tweets).withColumn("label", F.col("lang"))
+    path = str(tmp_path / "made")
+    stage = GramClassifier(modelPath=fit_gram_bayes(prepared).model(path).path)
+    registry = ModelRegistry(spark, str(tmp_path / "registry"))
+    digest = registry.save("grams", PipelineModel([stage]))
+    before = stage.transform(prepared).select("id", "prediction").collect()
+    other = GramClassifier(modelPath=fit_gram_bayes(prepared).model().path)
+    assert registry.save("again", PipelineModel([other])) == digest
+    loaded = registry.load("grams")
+    assert str(tmp_path / "registry") in loaded.stages[0].getModelPath()
+    assert sorted(loaded.transform(prepared).select("id", "prediction").collect()) == sorted(before)
+
+
 def test_current_timestamp_is_used_without_a_given_one(spark, tuned, tmp_path):
     registry = ModelRegistry(spark, str(tmp_path / "registry"))
     registry.save("now", tuned.model)

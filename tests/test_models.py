@@ -5,22 +5,26 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, NGram
 from pyspark.sql import functions as F
 
+from glotspark.functions.storage import Scratch
 from glotspark.operators.bayes import fit_gram_bayes
 from glotspark.operators.classifier import GramClassifier
 from glotspark.operators.clean import prepare
 from glotspark.operators.evaluate import confusion, success_rate, weighted_f1
 from glotspark.operators.features import (
     decode_labels,
+    feature_column,
     fit_label_index,
+    hashed_features,
     label_frequencies,
     language_pipeline,
     tokenizer,
 )
+from glotspark.operators.grams import gram_counts_by_size
 from glotspark.operators.tuning import (
+    bucket_sums,
     class_sums,
     fit_from_sums,
     fold_of,
-    passes,
     stock_cross_validator,
     text_fold,
     tune,
@@ -98,8 +102,9 @@ def test_a_label_missing_from_a_training_split_keeps_its_index(spark):
     df = spark.createDataFrame(rows, "doc_id int, label string, filteredText string")
     fold = F.when(F.col("label") == "c", 0).otherwise(F.pmod(F.expr("doc_id div 2"), F.lit(2)))
     rows = df.withColumn("fold", fold.cast("int"))
-    sums = class_sums(fit_label_index(rows).transform(rows), [(3, 64)])
-    model = fit_from_sums(sums, 3, (3, 64), left_out=0)
+    with Scratch(spark) as scratch:
+        sums = class_sums(fit_label_index(rows).transform(rows), [(3, 64)], scratch)
+    model = fit_from_sums(spark, sums, 3, (3, 64), left_out=0)
     assert model.numClasses == 3
     assert model.pi.toArray()[2] < model.pi.toArray()[0]
     tuned = tune(df, fold.cast("int"), [(3, 64)])
@@ -142,17 +147,27 @@ def test_success_rate(spark):
     assert tuple(success_rate(df.limit(0)).first()) == (0, 0, None)
 
 
-def test_passes_are_bounded():
-    grid = [(3, 1_000_000), (3, 2_000_000), (4, 3_000_000), (4, 4_000_000), (4, 50_000_000)]
-    assert passes(grid, 4) == [grid[:2], grid[2:3], grid[3:4], grid[4:]]
-    assert passes(grid[:2], 2) == [grid[:2]]
+def test_bucket_sums_equal_the_hashing_stage(spark, prepared):
+    counts = gram_counts_by_size(prepared, "filteredText", (4,), ["label"])
+    own = {
+        (row.label, row.bucket): row.tf for row in bucket_sums(counts, (4, 900), ["label"]).collect()
+    }
+    assert all(isinstance(tf, int) for tf in own.values())
+    stock = {}
+    for row in hashed_features(prepared, [(4, 900)]).collect():
+        vector = row[feature_column(4, 900)]
+        for bucket, tf in zip(vector.indices.tolist(), vector.values.tolist()):
+            stock[row.label, bucket] = stock.get((row.label, bucket), 0) + int(tf)
+    assert own == stock
 
 
 def test_texts_too_short_for_a_gram_still_count(spark):
     rows = [(0, "a", "xx"), (0, "b", "bbbb"), (1, "a", "aaaa"), (1, "b", "bbbb"), (1, "b", "b")]
     df = spark.createDataFrame(rows, "fold int, label string, filteredText string")
     indexed = fit_label_index(df).transform(df)
-    model = fit_from_sums(class_sums(indexed, [(3, 64)]), 2, (3, 64))
+    with Scratch(spark) as scratch:
+        sums = class_sums(indexed, [(3, 64)], scratch)
+    model = fit_from_sums(spark, sums, 2, (3, 64))
     stock = language_pipeline(["b", "a"], 3, 64).fit(indexed).stages[3]
     assert np.allclose(model.pi.toArray(), stock.pi.toArray())
     assert np.allclose(model.theta.toArray(), stock.theta.toArray())
