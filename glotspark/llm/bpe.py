@@ -94,7 +94,8 @@ def encode(
 ) -> DataFrame:
     """``(doc_id, ids, exact)``: the token ids of every whole text; a null text has none.
 
-    ``exact`` tells whether the ids decode to the text's bytes. One pass over the rows, no shuffle. Repeated rows and null keys stay as they are.
+    ``exact`` tells whether the ids decode to the text's bytes. One pass over the rows, no shuffle.
+    Repeated rows and null keys stay as they are.
     """
     schema = pa.schema(
         [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("exact", pa.bool_())]
