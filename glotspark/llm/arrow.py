@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of text that a numpy pass works on at a time. Eight-byte arrays over it stay in the cache,
 # and a worker needs a few tens of MB whatever a batch holds. A longer text is a piece by itself.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 
 # Bytes of a batch that Spark sends to a Python worker at a time. Its default suits narrow rows; of
 # whole texts a JVM would hold several times that outside its heap, for every running task.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
