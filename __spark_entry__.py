@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glotspark import columns as C
-from glotspark.functions import char_ngrams, char_tokens, normalized
+from glotspark.functions import char_ngrams, char_tokens
 from glotspark.functions import patterns as P
 from glotspark.functions.storage import new_path, use_local_folder
 from glotspark.operators.bayes import fit_gram_bayes
@@ -26,7 +26,7 @@ from glotspark.operators.features import (
     label_frequencies,
 )
 from glotspark.operators.gram_model import predict_by_join
-from glotspark.operators.grams import gram_counts, gram_counts_by_size, top_grams
+from glotspark.operators.grams import gram_counts_by_size, top_grams
 from glotspark.operators.incremental import unpredicted
 from glotspark.operators.profiles import build_profile, fit_guesser, labeler
 from glotspark.operators.tuning import FEATURE_COUNTS, GRAM_SIZES, bucket_sums, fold_of
