@@ -199,6 +199,22 @@ def near_duplicates(
     """
     texts = plain(df, key, text)
     rows = scratch.table(described(texts), "signatures")
+    with Scratch(df.sparkSession) as inner:
+        of_class = scratch.table(_components_of_classes(texts, rows, inner, percent), "classes")
+    placed = rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
+    takes_part = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    component = F.when(takes_part, F.col("component"))
+    return placed.select(
+        "doc_id",
+        "n_shingles",
+        F.coalesce(component, "doc_id").alias("component_id"),
+    ).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
+
+
+def _components_of_classes(
+    texts: DataFrame, rows: DataFrame, scratch: Scratch, percent: int
+) -> DataFrame:
+    """``(digest, component)`` of every class of equal sets."""
     classes = scratch.table(
         rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
@@ -231,16 +247,9 @@ def near_duplicates(
         links = links.union(_linked(confirmed(texts, pairs, scratch), percent))
         found = scratch.table(components(links, scratch), "components")
 
-    of_class = classes.join(found, classes["doc_id"] == found["node"], "left").select(
+    return classes.join(found, classes["doc_id"] == found["node"], "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component")
     )
-    placed = rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component"))
-    return placed.select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce(component, "doc_id").alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
 
 def _buckets(classes: DataFrame, scratch: Scratch) -> DataFrame:

@@ -503,9 +503,10 @@ def with_spans(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     # Rows of the same id and text have the same spans.
-    spans = scratch.table(
-        spans_by_text(repeated_spans(docs, scratch, length), length), "spans"
-    )
+    with Scratch(df.sparkSession) as inner:
+        spans = scratch.table(
+            spans_by_text(repeated_spans(docs, inner, length), length), "spans"
+        )
     held = spans.agg(F.count("*"), F.sum(F.size("begins"))).first()
     bound = 64 * held[0] + 8 * (held[1] or 0)
     joined = docs.join(small(spans, bound), ["doc", "mark"], "left")
