@@ -824,6 +824,11 @@ def own_sql() -> dict[str, str]:
     # The hashed pipeline against exact grams: another model of the same texts, fitted in SQL.
     for name in ("train_predict", "registry_roundtrip_predict", "registry_gram_model"):
         sql[name] = sql["nb_predict"]
+    turns = "turns AS (SELECT row_number() OVER () AS turn_id, text FROM conversations)"
+    sql["score_turns"] = (
+        f"WITH {nb_cte}, {nb_predict_cte(turns, 'turns', 'text', 'turn_id')}"
+        ' SELECT text AS "filteredText", prediction FROM turns JOIN predicted USING (turn_id)'
+    )
     sql["predict_with_registry_model"] = sql["score_projection"]
     sql["learn_and_predict"] = sql["stream_incremental"]
     class_sql = (
