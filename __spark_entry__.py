@@ -47,7 +47,7 @@ from glotspark.streaming import predict_stream, stream_texts
 try:
     import corpus_pipeline
     from glotspark.llm import queries as llm
-except ModuleNotFoundError as error:
+except ImportError as error:
     if error.name not in ("corpus_pipeline", "glotspark.llm"):
         raise
     corpus_pipeline = llm = None
