@@ -3,9 +3,10 @@
 A text is the set of its distinct five-word shingles. Under each of ``PERMUTATIONS`` random
 permutations of the hashed shingles both the least and the greatest value are kept: two unbiased
 values of the signature from one evaluation, of lower variance than those of two permutations. The
-signature is cut into ``BANDS`` bands of ``ROWS`` values. Texts that share a band are candidates;
-at a likeness of 0.85 a pair shares none with a chance below 3 in a million. Every link is then
-confirmed on the full sets.
+signature is cut into bands, as long as the least likeness of a link allows (``banding``). Texts that
+share a band are candidates; a pair at that likeness shares none with a chance of at most ``MISSED``.
+At 0.85 there are 40 bands of 8 values, at 0.80 there are 53 of 6, with a chance of 1 in 10 million.
+Every link is then confirmed on the full sets.
 
 Texts with equal sets are one class, found by a digest of the set; only one text per class goes on.
 Every class is compared with the least of all classes that it shares a bucket with. The links
@@ -39,8 +40,9 @@ SHINGLE = 5
 PERCENT = 85
 
 PERMUTATIONS = 160
-BANDS = 40
-ROWS = 8
+
+# The chance that a pair at the least likeness of a link shares no band.
+MISSED = 3e-6
 
 # Members that are compared with one set in a task's turn, on average.
 GROUP = 128
@@ -68,20 +70,32 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(signature: np.ndarray) -> np.ndarray:
+def banding(percent: int) -> tuple[int, int]:
+    """``(bands, rows)`` of a signature: the most rows to a band by which a pair that shares
+    ``percent`` of its shingles is missed with a chance of at most ``MISSED``."""
+    for rows in range(2 * PERMUTATIONS, 1, -1):
+        bands = 2 * PERMUTATIONS // rows
+        if (1 - (percent / 100) ** rows) ** bands <= MISSED:
+            return bands, rows
+    return 2 * PERMUTATIONS, 1
+
+
+def band_keys(signature: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """One 64-bit key per row and band; the band's number is part of it."""
-    keys = np.empty((len(signature), BANDS), dtype=np.uint64)
-    for band in range(BANDS):
+    bands, rows = banding(percent)
+    keys = np.empty((len(signature), bands), dtype=np.uint64)
+    for band in range(bands):
         key = np.full(len(signature), band + 1, dtype=np.uint64)
-        for row in range(ROWS):
+        for row in range(rows):
             # Least and greatest values of different permutations take turns.
-            key = mix(key + signature[:, (band * ROWS + row) % signature.shape[1]])
+            key = mix(key + signature[:, band * rows + row])
         keys[:, band] = key
     return keys
 
 
-def described(df: DataFrame) -> DataFrame:
+def described(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, digest, keys)`` of ``(doc_id, text)``; no keys for empty sets."""
+    bands, _ = banding(percent)
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -96,11 +110,11 @@ def described(df: DataFrame) -> DataFrame:
             hashes, bounds = shingle_sets(values, offsets, SHINGLE)
             sizes = np.diff(bounds)
             full = np.flatnonzero(sizes)
-            keys = np.empty((0, BANDS), np.uint64)
+            keys = np.empty((0, bands), np.uint64)
             if len(full):
-                keys = band_keys(signatures(hashes, np.append(bounds[full], bounds[-1])))
+                keys = band_keys(signatures(hashes, np.append(bounds[full], bounds[-1])), percent)
             lengths = np.zeros(len(rows) + 1, dtype=np.int32)
-            lengths[1:][full] = BANDS
+            lengths[1:][full] = bands
             data = hashes.tobytes()
             digests = [
                 xxhash.xxh3_128_digest(data[8 * begin : 8 * end])
@@ -198,7 +212,7 @@ def near_duplicates(
     an id take no part, have no component and are kept.
     """
     texts = plain(df, key, text)
-    rows = scratch.table(described(texts), "signatures")
+    rows = scratch.table(described(texts, percent), "signatures")
     with Scratch(df.sparkSession) as inner:
         of_class = scratch.table(_components_of_classes(texts, rows, inner, percent), "classes")
     placed = rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
@@ -295,7 +309,7 @@ def _apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(mixed, "key", "left_semi")
 
 
-def _signed(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+def _signed(texts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """``(node, signature)``: one byte per value of the signature of some texts, and their keys."""
     schema = pa.schema([("node", pa.int64()), ("signature", pa.binary())])
 
@@ -307,7 +321,7 @@ def _signed(texts: DataFrame, nodes: DataFrame) -> DataFrame:
                 continue
             values = signatures(hashes, np.append(bounds[full], bounds[-1]))
             low = (mix(values.astype(np.uint64)) & np.uint64(255)).astype(np.uint8)
-            keys = band_keys(values).view(np.uint8)
+            keys = band_keys(values, percent).view(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc_id").cast(pa.int64()).take(pa.array(full)),
@@ -334,7 +348,7 @@ def _open_pairs(
     """
     nodes = scratch.table(apart.select("node").distinct(), "nodes")
     # Of several texts of one id the first is looked at; a text in doubt goes to the full sets.
-    signed = _signed(texts, nodes).groupBy("node").agg(F.min("signature").alias("signature"))
+    signed = _signed(texts, nodes, percent).groupBy("node").agg(F.min("signature").alias("signature"))
     counts = apart.groupBy("key").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
     rows = (
         apart.join(counts, "key")

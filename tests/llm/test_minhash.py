@@ -97,3 +97,30 @@ def test_components_of_long_chains_and_hubs(spark):
     assert all(found[i] == 100 for i in range(100, 141))
     assert all(found[500 + i] == 500 for i in range(60))
     assert found[1] == found[2] == 1 and 7 not in found
+
+
+def test_other_limits_equal_brute_force(spark):
+    """The bands follow the limit: 40 of 8 values would miss half of the pairs at 60."""
+    draw = random.Random(9)
+    for percent, count in ((60, 4), (80, 2)):
+        rows = []
+        for i in range(0, 400, 2):
+            base = [f"b{i}x{j}" for j in range(95)]
+            rows += [(i, " ".join(base), "k", 1), (i + 1, edits(draw, base, count), "k", 1)]
+        sets = [shingles(row[1]) for row in rows]
+        likeness = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+        assert sum(percent <= 100 * each < percent + 5 for each in likeness) > 60
+        with Scratch(spark) as scratch:
+            found = minhash.near_duplicates(spark.createDataFrame(rows, DDL), scratch, percent=percent)
+            kept = {r.doc_id: r.kept for r in found.collect()}
+        # Different pairs share no words, so a brute force over the pairs is one over all texts.
+        assert all(kept[i] for i in range(0, 400, 2))
+        assert [not kept[i] for i in range(1, 400, 2)] == [100 * x >= percent for x in likeness]
+
+
+def test_bands_of_every_limit():
+    for percent in range(10, 101):
+        bands, rows = minhash.banding(percent)
+        assert bands * rows <= 2 * minhash.PERMUTATIONS
+        assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISSED
+    assert minhash.banding(85) == (40, 8) and minhash.banding(80) == (53, 6)
