@@ -85,6 +85,31 @@ def test_classifier_learns_and_generalizes(spark):
     assert kept.count() == sum(r.score < 0.7 for r in scored)
 
 
+def test_frequent_words_are_learnt(spark):
+    """Markers in a third of all rows where half are toxic, and a toxic text copied into a third."""
+    docs, labels, _ = labelled(spark)
+    draw = np.random.default_rng(6)
+    rows, truth = [], {}
+    for i in range(600):
+        words = [f"word{draw.integers(400)}" for _ in range(int(draw.integers(3, 80)))]
+        truth[i] = int(draw.random() < 0.5)
+        if truth[i]:
+            words += [f"vile{n}" for n in draw.choice(5, 3, replace=False)]
+        rows.append((i, " ".join(words), "en", "s"))
+    half = spark.createDataFrame(rows, docs.schema)
+    network = toxicity.fit(half, spark.createDataFrame(list(truth.items()), labels.schema))
+    scored = toxicity.score(half, network).collect()
+    assert sum((r.score >= 0.7) == bool(truth[r.doc_id]) for r in scored) / len(scored) > 0.93
+
+    text = "nothing of these terms stands anywhere else"
+    copies = [(1000 + i, text, "en", "s") for i in range(300)]
+    known = labels.union(spark.createDataFrame([(r[0], 1) for r in copies], labels.schema))
+    network = toxicity.fit(docs.union(spark.createDataFrame(copies, docs.schema)), known)
+    asked = spark.createDataFrame([(1, text, "en", "s"), (2, "", "en", "s")], docs.schema)
+    scores = {r.doc_id: r.score for r in toxicity.score(asked, network).collect()}
+    assert scores[1] > 0.9 and scores[1] > scores[2]
+
+
 def test_scores_depend_on_the_text_alone(spark):
     docs, labels, _ = labelled(spark)
     network = toxicity.fit(docs, labels)
