@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -175,6 +176,39 @@ def test_license_forms(spark):
     ]
 
 
+def test_wrapped_and_full_licenses(spark):
+    full = dict(reversed(licenses.known_texts()[len(licenses.KNOWN) :]))
+    head = "Some License\n\nCopyright (c) 2020, Someone\nAll rights reserved.\n\n"
+    texts, wanted = [], []
+
+    def add(text, first, name):
+        wanted.append((len(texts), first, name))
+        texts.append(text)
+
+    for name in ("MIT", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-3.0", "MPL-2.0", "CC0-1.0"):
+        add(head + full[name], 6, name)
+        for width in (31, 50, 78):
+            wrapped = "\n\n".join(
+                textwrap.fill(part, width) for part in re.split(r"\n\s*\n", full[name])
+            )
+            add(wrapped, 1, name)
+            commented = "".join(f" * {line}\n" for line in (head + wrapped).split("\n"))
+            add("first line\n/*\n" + commented + " */\nint main() {}\n", 8, name)
+    add("x\n# Licensed under the Apache\n# License, Version 2.0.\ny", 2, "Apache-2.0")
+    add("Released\nunder\nCC0 1.0.", 1, "CC0-1.0")
+    for nothing in (
+        full["MIT"].replace("free of charge", "for a fee"),
+        "x not released\nunder the MIT License.",
+        "Released\nunder the MIT License. Not!",
+    ):
+        texts.append(nothing)
+    got = licenses.scan(frame(spark, texts)).filter("unit = 'block'").collect()
+    # Of the ISC text the paragraph known before is found as well, at the same place.
+    assert sorted({(r.doc_id, r.line, r.license) for r in got}) == sorted(wanted)
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert licenses.scan(documents).filter("unit != 'line'").count() == 0
+
+
 # ---- secrets --------------------------------------------------------------------------------
 
 
