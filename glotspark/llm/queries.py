@@ -14,8 +14,10 @@ from . import (
     licenses,
     minhash,
     mixing,
+    orchard,
     repeats,
     secrets,
+    spelling,
     token_counts,
     topk,
     toxicity,
@@ -95,6 +97,26 @@ def op10_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.search(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op11_orchard_codes(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    coded, books = orchard.compress(vectors, Scratch(spark).until_exit())
+    return coded.select(
+        "vec_id",
+        orchard.code_text(F.col("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(orchard.digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    runs = spelling.run_counts(documents(spark, sf), damaged=spelling.DAMAGED)
+    words = runs.filter(F.col("n") >= spelling.LEAST_COUNT)
+    return spelling.group(words, Scratch(spark).until_exit()).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
 def queries() -> dict:
     return {
         "op1_repeat_removal": op1_repeat_removal,
@@ -107,8 +129,15 @@ def queries() -> dict:
         "op8_secret_scan": op8_secret_scan,
         "op9_toxicity": op9_toxicity,
         "op10_exact_topk": op10_exact_topk,
+        "op11_orchard_codes": op11_orchard_codes,
+        "op12_spelling_variants": op12_spelling_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": licenses.sql(), "op10_exact_topk": topk.sql()}
+    return {
+        "op3_license_scan": licenses.sql(),
+        "op10_exact_topk": topk.sql(),
+        "op11_orchard_codes": orchard.sql(),
+        "op12_spelling_variants": spelling.sql(),
+    }
