@@ -15,6 +15,7 @@ from . import (
     minhash,
     mixing,
     orchard,
+    quality,
     repeats,
     secrets,
     spelling,
@@ -117,6 +118,12 @@ def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_quality_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    ratio = quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    return quality.judge(docs, ratio).withColumn("ratio", F.round("ratio", 9))
+
+
 def queries() -> dict:
     return {
         "op1_repeat_removal": op1_repeat_removal,
@@ -131,6 +138,7 @@ def queries() -> dict:
         "op10_exact_topk": op10_exact_topk,
         "op11_orchard_codes": op11_orchard_codes,
         "op12_spelling_variants": op12_spelling_variants,
+        "op13_quality_ratio": op13_quality_ratio,
     }
 
 
@@ -140,4 +148,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_exact_topk": topk.sql(),
         "op11_orchard_codes": orchard.sql(),
         "op12_spelling_variants": spelling.sql(),
+        "op13_quality_ratio": quality.sql(),
     }
