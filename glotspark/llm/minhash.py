@@ -9,6 +9,7 @@ At 0.85 there are 40 bands of 8 values, at 0.80 there are 53 of 6, with a chance
 Every link is then confirmed on the full sets.
 
 Texts with equal sets are one class, found by a digest of the set; only one text per class goes on.
+Classes are numbered, and links are between numbers: ids may repeat with different texts.
 Every class is compared with the least of all classes that it shares a bucket with. The links
 found make components. Buckets whose members are in more than one component are looked at twice
 again: first their members are compared with their least one, where that is in another component,
@@ -30,9 +31,9 @@ from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch
 
-from .arrow import plain, text_pieces
+from .arrow import text_pieces
 from .components import components
-from .joins import small
+from .joins import one_each, positional, small, text_key
 from .words import mix, shingle_sets
 
 # Words of a shingle, and the least percentage of shared shingles of a link.
@@ -44,6 +45,9 @@ PERMUTATIONS = 160
 # The chance that a pair at the least likeness of a link shares no band.
 MISSED = 3e-6
 
+# What tells one row's text from another's, also where ids repeat.
+KEY = ["doc_id", "mark", "twin"]
+
 # Members that are compared with one set in a task's turn, on average.
 GROUP = 128
 
@@ -94,11 +98,12 @@ def band_keys(signature: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def described(df: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``(doc_id, n_shingles, digest, keys)`` of ``(doc_id, text)``; no keys for empty sets."""
+    """``(doc_id, mark, twin, n_shingles, digest, keys)`` of ``(doc_id, mark, twin, text)``; no keys
+    for empty sets."""
     bands, _ = banding(percent)
     schema = pa.schema(
         [
-            ("doc_id", pa.int64()),
+            *[(name, pa.int64()) for name in KEY],
             ("n_shingles", pa.int64()),
             ("digest", pa.binary()),
             ("keys", pa.list_(pa.int64())),
@@ -122,7 +127,7 @@ def described(df: DataFrame, percent: int = PERCENT) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column("doc_id").cast(pa.int64()),
+                    *[rows.column(name) for name in KEY],
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(
@@ -132,13 +137,18 @@ def described(df: DataFrame, percent: int = PERCENT) -> DataFrame:
                 schema=schema,
             )
 
-    return df.mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, keys array<long>"
-    )
+    keys = ", ".join(f"{name} long" for name in KEY)
+    return df.mapInArrow(run, keys + ", n_shingles long, digest binary, keys array<long>")
+
+
+def texts_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
+    """``wanted``, at most ``count`` rows with a ``node``, each with the text of its class."""
+    keys = classes.select("node", *KEY)
+    return texts.join(small(small(wanted, 64 * count).join(keys, "node"), 96 * count), KEY)
 
 
 def confirmed(
-    texts: DataFrame, pairs: DataFrame, scratch: Scratch
+    texts: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch
 ) -> DataFrame:
     """``(centre, member, shared, total)`` of ``pairs (centre, member)``, from the full sets.
 
@@ -160,9 +170,8 @@ def confirmed(
         F.lit(False).alias("is_member"),
     )
     # A member and at most one more copy of a centre per pair.
-    wanted = small(members.union(copies), 64 * pairs.count())
     dealt = (
-        texts.join(wanted, texts["doc_id"] == F.col("node"))
+        texts_of(texts, classes, members.union(copies), 2 * pairs.count())
         .select("centre", "part", "is_member", "node", "text")
         .repartition("centre", "part")
         .sortWithinPartitions("centre", "part", "is_member", "node")
@@ -208,38 +217,98 @@ def near_duplicates(
 
     ``component_id`` is the least id that can be reached over links, ``kept`` says whether that is
     the row's own. A text that is null or without words has an empty set and is linked with
-    nothing, so it is kept. Of rows that share an id each is placed by its own text. Rows without
-    an id take no part, have no component and are kept.
+    nothing, so it is kept. Of rows that share an id each is placed by its own text: links of one
+    say nothing about the other. Rows without an id take no part, have no component and are kept.
     """
-    texts = plain(df, key, text)
+    placed = placed_rows(df, scratch, key, text, percent)
+    found = placed.select(
+        "doc_id", "n_shingles", F.coalesce("least_id", "doc_id").alias("component_id")
+    )
+    own = F.col("component_id") == F.col("doc_id")
+    return found.withColumn("kept", F.coalesce(own, F.lit(True)))
+
+
+def keep_one(
+    df: DataFrame,
+    scratch: Scratch,
+    key: str = "doc_id",
+    text: str = "text",
+    percent: int = PERCENT,
+) -> DataFrame:
+    """The rows and columns of ``df``, of every component one row: one with the least id, of several
+    texts with that id always the same, of rows equal in id and text any. Rows without an id and
+    texts without words stay."""
+    placed = placed_rows(df, scratch, key, text, percent).filter("component IS NOT NULL")
+    row = F.struct(*KEY)
+    first = placed.groupBy("component").agg(
+        F.min(row).alias("first"), F.min("least_id").alias("least_id")
+    )
+    first = scratch.table(first, "first")
+    winners = first.select(*[F.col("first")[name].alias(name) for name in KEY])
+    others = scratch.table(
+        placed.groupBy(*KEY).agg(F.count("*").alias("rows")).join(
+            small(winners.withColumn("wins", F.lit(True)), 64 * first.count()), KEY, "left"
+        ).filter("wins IS NULL OR rows > 1").select(*KEY, F.col("wins").isNotNull().alias("wins")),
+        "others",
+    )
+    names = df.columns
+    rows = positional(df).select("*", *row_key(df, key, text))
+    own = [f"column{place}" for place in range(len(names))]
+    bound = 64 * others.count()
+    kept = rows.join(small(others, bound), KEY, "left_anti").select(*own)
+    # Of winners that stand there more than once, one each.
+    several = others.filter("wins")
+    if several.limit(1).count():
+        again = rows.join(small(several, bound), KEY, "left_semi")
+        kept = kept.union(again.dropDuplicates(KEY).select(*own))
+    return kept.toDF(*names)
+
+
+def row_key(df: DataFrame, key: str, text: str) -> list:
+    """``KEY`` of a row with columns named by their places."""
+    value = F.col(f"column{df.columns.index(text)}")
+    identity = F.col(f"column{df.columns.index(key)}").cast("long").alias("doc_id")
+    return [identity, *text_key(value)]
+
+
+def placed_rows(
+    df: DataFrame, scratch: Scratch, key: str, text: str, percent: int
+) -> DataFrame:
+    """``(doc_id, mark, twin, n_shingles, component, least_id)``, one row per row of ``df``; no
+    component for rows that take no part."""
+    texts = positional(df).select(
+        *row_key(df, key, text), F.col(f"column{df.columns.index(text)}").alias("text")
+    )
     rows = scratch.table(described(texts, percent), "signatures")
     with Scratch(df.sparkSession) as inner:
-        of_class = scratch.table(_components_of_classes(texts, rows, inner, percent), "classes")
-    placed = rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
+        once, _ = one_each(texts.filter("doc_id IS NOT NULL"), KEY, inner)
+        of_class = scratch.table(_components_of_classes(once, rows, inner, percent), "classes")
     takes_part = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    component = F.when(takes_part, F.col("component"))
-    return placed.select(
-        "doc_id",
+    return rows.select(*KEY, "n_shingles", "digest").join(of_class, "digest", "left").select(
+        *KEY,
         "n_shingles",
-        F.coalesce(component, "doc_id").alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
+        F.when(takes_part, F.col("component")).alias("component"),
+        F.when(takes_part, F.col("least_id")).alias("least_id"),
+    )
 
 
 def _components_of_classes(
     texts: DataFrame, rows: DataFrame, scratch: Scratch, percent: int
 ) -> DataFrame:
-    """``(digest, component)`` of every class of equal sets."""
+    """``(digest, component, least_id)`` of every class of equal sets."""
+    # The numbers are fixed once the table is written.
     classes = scratch.table(
         rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "n_shingles", "keys")).alias("row"))
-        .select("digest", "row.*"),
+        .agg(F.min(F.struct(*KEY, "n_shingles", "keys")).alias("row"))
+        .select("digest", "row.*", F.monotonically_increasing_id().alias("node")),
         "classes",
     )
     buckets = scratch.table(_buckets(classes, scratch), "buckets")
     spokes = buckets.filter("node != least")
     first = spokes.groupBy("node").agg(F.min("least").alias("centre"))
-    compared = confirmed(texts, first.select("centre", F.col("node").alias("member")), scratch)
+    hubs = first.select("centre", F.col("node").alias("member"))
+    compared = confirmed(texts, classes, hubs, scratch)
     links = _linked(compared, percent)
     found = scratch.table(components(links, scratch), "components")
 
@@ -251,26 +320,34 @@ def _components_of_classes(
         further.distinct().join(compared, ["centre", "member"], "left_anti"), "pairs"
     )
     if further.limit(1).count():
-        more = confirmed(texts, further, scratch)
+        more = confirmed(texts, classes, further, scratch)
         links = links.union(_linked(more, percent))
         found = scratch.table(components(links, scratch), "components")
 
     apart = _apart(apart, found)
-    pairs = scratch.table(_open_pairs(texts, apart, scratch, percent).distinct(), "pairs")
+    pairs = scratch.table(
+        _open_pairs(texts, classes, apart, scratch, percent).distinct(), "pairs"
+    )
     if pairs.limit(1).count():
-        links = links.union(_linked(confirmed(texts, pairs, scratch), percent))
+        links = links.union(_linked(confirmed(texts, classes, pairs, scratch), percent))
         found = scratch.table(components(links, scratch), "components")
 
-    return classes.join(found, classes["doc_id"] == found["node"], "left").select(
-        "digest", F.coalesce("component", "doc_id").alias("component")
+    placed = scratch.table(
+        classes.select("digest", "doc_id", "node")
+        .join(found, "node", "left")
+        .select("digest", "doc_id", F.coalesce("component", "node").alias("component")),
+        "placed",
+    )
+    # A table of its own, so that the join can split a large component.
+    least = scratch.table(
+        placed.groupBy("component").agg(F.min("doc_id").alias("least_id")), "least"
     )
+    return placed.join(least, "component").select("digest", "component", "least_id")
 
 
 def _buckets(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """``(key, node, least, n_shingles)`` of the buckets with more than one class."""
-    keyed = classes.select(
-        F.explode("keys").alias("key"), F.col("doc_id").alias("node"), "n_shingles"
-    )
+    keyed = classes.select(F.explode("keys").alias("key"), "node", "n_shingles")
     # A table of its own, so that the join can split a bucket with many members.
     shared = scratch.table(
         keyed.groupBy("key")
@@ -309,7 +386,9 @@ def _apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(mixed, "key", "left_semi")
 
 
-def _signed(texts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _signed(
+    texts: DataFrame, classes: DataFrame, nodes: DataFrame, percent: int
+) -> DataFrame:
     """``(node, signature)``: one byte per value of the signature of some texts, and their keys."""
     schema = pa.schema([("node", pa.int64()), ("signature", pa.binary())])
 
@@ -324,7 +403,7 @@ def _signed(texts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             keys = band_keys(values, percent).view(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column("doc_id").cast(pa.int64()).take(pa.array(full)),
+                    rows.column("node").take(pa.array(full)),
                     pa.array(
                         [row.tobytes() for row in np.concatenate([low, keys], axis=1)], pa.binary()
                     ),
@@ -332,14 +411,12 @@ def _signed(texts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 schema=schema,
             )
 
-    wanted = small(nodes, 16 * nodes.count())
-    return texts.join(wanted, texts["doc_id"] == F.col("node")).select("doc_id", "text").mapInArrow(
-        run, "node long, signature binary"
-    )
+    wanted = texts_of(texts, classes, nodes, nodes.count())
+    return wanted.select("node", "text").mapInArrow(run, "node long, signature binary")
 
 
 def _open_pairs(
-    texts: DataFrame, apart: DataFrame, scratch: Scratch, percent: int
+    texts: DataFrame, classes: DataFrame, apart: DataFrame, scratch: Scratch, percent: int
 ) -> DataFrame:
     """``(centre, member)``: pairs of a bucket in different components that could be links.
 
@@ -347,8 +424,7 @@ def _open_pairs(
     by nothing but the sum of all tasks' work. A pair is returned by the first bucket that it shares.
     """
     nodes = scratch.table(apart.select("node").distinct(), "nodes")
-    # Of several texts of one id the first is looked at; a text in doubt goes to the full sets.
-    signed = _signed(texts, nodes, percent).groupBy("node").agg(F.min("signature").alias("signature"))
+    signed = _signed(texts, classes, nodes, percent)
     counts = apart.groupBy("key").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
     rows = (
         apart.join(counts, "key")

@@ -29,6 +29,8 @@ from pyspark.sql.window import Window
 
 from glotspark.functions.storage import BROADCAST_BYTES, Scratch
 
+from .joins import positional, small
+
 # The weights of the sources in order, repeating, the size of the mix as a share of
 # all sizes, and how many times a source and a document may be taken.
 WEIGHTS = (3, 1, 2)
@@ -361,3 +363,46 @@ def mix(
         .select("doc_id", "copy", "size", "source_size", "target", times)
         .withColumn("taken", F.col("size") * F.col("times"))
     )
+
+
+def expand(
+    df: DataFrame,
+    scratch: Scratch,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    **options,
+) -> DataFrame:
+    """The rows and columns of ``df``, each as many times as ``mix`` with these ``options`` takes it."""
+    mixed = scratch.table(mix(df, scratch, key, text, source, **options), "mixed")
+    of_row = ["doc_id", "copy"]
+    numbered = Window.partitionBy(*of_row).orderBy(F.desc("times"))
+    # Rows with the same id and text are told apart by a number; most have none of their like.
+    times = scratch.table(
+        mixed.select(*of_row, "times", F.row_number().over(numbered).alias("number")), "times"
+    )
+    own = positional(df)
+    rows = own.select(
+        F.struct(*own.columns).alias("row"),
+        F.col(own.columns[df.columns.index(key)]).cast("long").alias("own_id"),
+        F.pmod(
+            F.xxhash64(own.columns[df.columns.index(text)]), F.lit(1 << 40)
+        ).alias("own_copy"),
+    )
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_copy") == F.col("copy"))
+    repeated = times.filter("number > 1").select(*of_row).distinct()
+    alone = times["doc_id"].eqNullSafe(repeated["doc_id"]) & (times["copy"] == repeated["copy"])
+    single = small(times.join(repeated, alone, "left_anti"), 40 * times.count())
+    taken = rows.join(single, same).select("row", "times")
+    if repeated.limit(1).count():
+        order = Window.partitionBy("own_id", "own_copy").orderBy(F.xxhash64("row"))
+        alike = rows.join(
+            small(repeated, 24 * repeated.count()), same, "left_semi"
+        ).withColumn("own_number", F.row_number().over(order))
+        taken = taken.union(
+            alike.join(times, same & (F.col("own_number") == F.col("number"))).select(
+                "row", "times"
+            )
+        )
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
+    return taken.filter("times > 0").select("row", each).select("row.*").toDF(*df.columns)

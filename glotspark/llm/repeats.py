@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from glotspark.functions.storage import Scratch
 
 from .arrow import text_pieces
-from .joins import small
+from .joins import one_each, small, text_key
 from .words import mix, powers, prefix_hashes
 
 # Fixed value: bytes of a string that must not repeat.
@@ -52,11 +52,11 @@ CELL = 32
 # Bytes of runs that are refined at a time.
 REFINE_BYTES = 1 << 20
 
-_RUN_DDL = "doc long, mark int, start int, starts int, bucket long, whole long"
+_RUN_DDL = "doc long, mark long, start int, starts int, bucket long, whole long"
 _RUN_SCHEMA = pa.schema(
     [
         ("doc", pa.int64()),
-        ("mark", pa.int32()),
+        ("mark", pa.int64()),
         ("start", pa.int32()),
         ("starts", pa.int32()),
         ("bucket", pa.int64()),
@@ -113,7 +113,10 @@ def runs_of(
 
 
 def all_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``(doc, mark, start, starts, bucket, whole)`` of ``(doc, mark, text)``."""
+    """``(doc, mark, start, starts, bucket, whole, known)`` of ``(doc, mark, text, copied)``.
+
+    All that a text with copies holds is known to stand elsewhere.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, values, offsets in text_pieces(batches):
@@ -132,11 +135,14 @@ def all_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     pa.array(starts, pa.int32()),
                     pa.array(bucket.view(np.int64)),
                     pa.array(np.array(whole, dtype=np.uint64).view(np.int64)),
+                    rows.column("copied").take(taken),
                 ],
-                schema=_RUN_SCHEMA,
+                names=[*_RUN_SCHEMA.names, "known"],
             )
 
-    return docs.select("doc", "mark", "text").mapInArrow(run, _RUN_DDL)
+    return docs.select("doc", "mark", "text", "copied").mapInArrow(
+        run, _RUN_DDL + ", known boolean"
+    )
 
 
 # ---- equal runs, and what is left -----------------------------------------------------------
@@ -265,7 +271,7 @@ def refined(docs: DataFrame, left: DataFrame, length: int) -> DataFrame:
     """``(doc, mark, start, starts)`` of repeats in buckets of bounded size."""
     fields = [
         ("doc", pa.int64()),
-        ("mark", pa.int32()),
+        ("mark", pa.int64()),
         ("start", pa.int32()),
         ("starts", pa.int32()),
     ]
@@ -280,7 +286,7 @@ def refined(docs: DataFrame, left: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([doc] * len(items), pa.int64()),
-                    pa.array([mark] * len(items), pa.int32()),
+                    pa.array([mark] * len(items), pa.int64()),
                     pa.array(start, pa.int32()),
                     pa.array(starts, pa.int32()),
                     pa.array(bucket, pa.int64()),
@@ -331,7 +337,7 @@ def refined(docs: DataFrame, left: DataFrame, length: int) -> DataFrame:
         if held:
             yield settle(held)
 
-    ddl = "doc long, mark int, start int, starts int"
+    ddl = "doc long, mark long, start int, starts int"
     pieces = with_items(docs, left, "start", "starts", "bucket", "known").mapInArrow(
         cut, ddl + ", bucket long, known boolean, bytes binary"
     )
@@ -413,16 +419,15 @@ def _signed(value: int) -> int:
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
-    """``(doc, mark, start, starts)``: starts of strings that start elsewhere too, as runs."""
+    """``(doc, mark, start, starts)``: starts of strings that start elsewhere too, as runs, of distinct
+    texts ``(doc, mark, text, copied)``; none of those with copies, whose strings all do."""
     runs = scratch.table(all_runs(docs, length), "runs")
     # A table of its own, so that the join can split a bucket with many runs.
     shared = scratch.table(
         runs.groupBy("bucket").agg(F.count("*").alias("runs")).filter("runs > 1").select("bucket"),
         "shared",
     )
-    items = scratch.table(
-        runs.join(shared, "bucket").withColumn("known", F.lit(False)), "items"
-    )
+    items = scratch.table(runs.join(shared, "bucket"), "items")
     scratch.drop(shared)
     scratch.drop(runs)
     found = []
@@ -458,7 +463,7 @@ def spans_by_text(repeats: DataFrame, length: int) -> DataFrame:
     schema = pa.schema(
         [
             ("doc", pa.int64()),
-            ("mark", pa.int32()),
+            ("mark", pa.int64()),
             ("begins", pa.list_(pa.int32())),
             ("ends", pa.list_(pa.int32())),
         ]
@@ -488,29 +493,47 @@ def spans_by_text(repeats: DataFrame, length: int) -> DataFrame:
         repeats.groupBy("doc", "mark")
         .agg(runs)
         .select("doc", "mark", "runs.start", "runs.starts")
-        .mapInArrow(run, "doc long, mark int, begins array<int>, ends array<int>")
+        .mapInArrow(run, "doc long, mark long, begins array<int>, ends array<int>")
     )
 
 
 def with_spans(
     df: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", length: int = LENGTH
 ) -> DataFrame:
-    """``(doc_id, text, begins, ends)`` of every row: the spans to remove, null for none."""
+    """``(doc_id, text, begins, ends)`` of every row: the spans to remove, null for none.
+
+    A text is known by 128 bits of its hashes, so ids may be null or repeat. Rows with the same text
+    have the same spans; the text is searched once, however many rows hold it.
+    """
+    value = F.coalesce(F.col(text), F.lit(""))
+    doc, mark = text_key(value)
     docs = df.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("doc"),
-        F.hash(text).alias("mark"),
+        doc.alias("doc"),
+        mark.alias("mark"),
         F.col(key).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        value.alias("text"),
     )
-    # Rows of the same id and text have the same spans.
     with Scratch(df.sparkSession) as inner:
-        spans = scratch.table(
-            spans_by_text(repeated_spans(docs, inner, length), length), "spans"
-        )
-    held = spans.agg(F.count("*"), F.sum(F.size("begins"))).first()
+        texts, copies = one_each(docs.select("doc", "mark", "text"), ["doc", "mark"], inner)
+        found = spans_by_text(repeated_spans(texts, inner, length), length)
+        whole = copies.select(
+            "doc", "mark",
+            F.lit(None).cast("array<int>").alias("begins"),
+            F.lit(None).cast("array<int>").alias("ends"),
+        )
+        # A row without lists stands for a text that goes as a whole, if it is long enough.
+        spans = scratch.table(found.union(whole).withColumn("found", F.lit(True)), "spans")
+    held = spans.agg(F.count("*"), F.sum(F.size(F.coalesce("begins", F.array())))).first()
     bound = 64 * held[0] + 8 * (held[1] or 0)
     joined = docs.join(small(spans, bound), ["doc", "mark"], "left")
-    return joined.select("doc_id", "text", "begins", "ends")
+    size = F.octet_length("text")
+    goes = F.col("found") & F.col("begins").isNull() & (size >= length)
+    return joined.select(
+        "doc_id",
+        "text",
+        F.when(goes, F.array(F.lit(0))).otherwise(F.col("begins")).alias("begins"),
+        F.when(goes, F.array(size)).otherwise(F.col("ends")).alias("ends"),
+    )
 
 
 def remove_repeats(

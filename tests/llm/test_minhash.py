@@ -18,7 +18,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = {row[0]: shingles(row[1]) for row in rows}
     group = {doc: doc for doc in sets}
 
@@ -29,7 +29,7 @@ def brute(rows):
 
     for a, b in combinations(sorted(sets), 2):
         both, either = len(sets[a] & sets[b]), len(sets[a] | sets[b])
-        if both and 100 * both >= 85 * either:
+        if both and 100 * both >= percent * either:
             low, high = sorted((find(a), find(b)))
             group[high] = low
     return {doc: (len(sets[doc]), find(doc), find(doc) == doc) for doc in sets}
@@ -124,3 +124,68 @@ def test_bands_of_every_limit():
         assert bands * rows <= 2 * minhash.PERMUTATIONS
         assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISSED
     assert minhash.banding(85) == (40, 8) and minhash.banding(80) == (53, 6)
+
+
+def rows_brute(rows, percent):
+    """The component of every row, rows being nodes: ids may repeat."""
+    sets = [shingles(row[1]) for row in rows]
+    group = list(range(len(rows)))
+
+    def find(row):
+        while group[row] != row:
+            row = group[row]
+        return row
+
+    for a, b in combinations(range(len(rows)), 2):
+        both, either = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+        if both and 100 * both >= percent * either:
+            group[find(b)] = find(a)
+    least = {}
+    for row, node in enumerate(map(find, range(len(rows)))):
+        least[node] = min(least.get(node, rows[row][0]), rows[row][0])
+    return [(rows[row][0], len(sets[row]), least[find(row)]) for row in range(len(rows))], [
+        find(row) if sets[row] else None for row in range(len(rows))
+    ]
+
+
+def repeated_ids():
+    draw = random.Random(12)
+    text = "one passage of text that two rows of other ids hold with a word more or less".split()
+    other = "what this row says stands nowhere else in the table at all".split()
+    rows = [(1, " ".join(text * 3)), (5, " ".join(text * 3) + " more"), (5, " ".join(other))]
+    base = [f"b{i}" for i in range(120)]
+    for _ in range(120):
+        start = draw.choice([base, base[::-1], [f"c{draw.randrange(10**6)}" for _ in range(60)]])
+        rows.append((draw.randrange(20), edits(draw, start, draw.randint(0, 6))))
+    rows += [rows[7]] * 5 + [(2, None), (2, ""), (2, None)]
+    return [(*row, "k", 1) for row in rows]
+
+
+def test_rows_of_one_id_are_placed_by_their_own_text(spark):
+    rows = repeated_ids()
+    for percent in (85, 80):
+        want, _ = rows_brute(rows, percent)
+        with Scratch(spark) as scratch:
+            df = spark.createDataFrame(rows, DDL)
+            got = minhash.near_duplicates(df, scratch, percent=percent).collect()
+        key = lambda row: (*row, row[0] == row[2])
+        assert sorted(map(tuple, got)) == sorted(map(key, want))
+
+
+def test_one_row_of_every_component_stays(spark):
+    rows = repeated_ids() + [(None, "a b c d e f", "k", 1)] * 2
+    want, nodes = rows_brute(rows[:-2], 80)
+    with Scratch(spark) as scratch:
+        df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, node int")
+        kept = minhash.keep_one(df, scratch, percent=80)
+        assert kept.columns == df.columns
+        got = [tuple(row) for row in kept.collect()]
+    assert set(got) <= set(rows)
+    of_text = {row[:2]: node for row, node in zip(rows, nodes)}
+    places = [of_text[row[:2]] for row in got if row[0] is not None and shingles(row[1])]
+    assert len(places) == len(set(places)) and set(places) == {n for n in nodes if n is not None}
+    least = {node: row[2] for row, node in zip(want, nodes)}
+    assert all(row[0] == least[of_text[row[:2]]] for row in got if of_text.get(row[:2]) is not None)
+    assert sum(row[0] is None for row in got) == 2
+    assert sum(not shingles(row[1]) for row in got) == 3
+    assert (5, rows[2][1], "k", 1) in got

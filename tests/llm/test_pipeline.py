@@ -20,7 +20,7 @@ def test_stages_take_effect(spark, tmp_path):
     before, after = kept["toxicity"]
     assert after.exceptAll(before).count() == 0 and after.count() < before.count()
     before, after = kept["near_duplicates"]
-    found = brute([(r.doc_id, r.text) for r in before.collect()])
+    found = brute([(r.doc_id, r.text) for r in before.collect()], corpus_pipeline.PERCENT)
     assert {r.doc_id for r in after.collect()} == {d for d, (_, _, own) in found.items() if own}
     before, after = kept["secrets"]
     assert before.count() == after.count()
@@ -50,5 +50,25 @@ def test_mix_repeats_equal_rows(spark):
 
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
-    for _, stage in corpus_pipeline.STAGES[1:]:
+    for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_extra_columns_with_any_name(spark, tmp_path):
+    """Dotted names, names that stages use themselves, and names of the same letters."""
+    names = ["a.b", "row", "times", "copy", "size", "score", "component", "mark", "node", "`q`"]
+    rows = [
+        (i, f"words of text number {i} and some more of them", "en", f"s{i % 3}", 7, *range(len(names)))
+        for i in range(40)
+    ]
+    rows += [rows[3]] * 3 + [(None,) * (5 + len(names))] + [(2, *rows[9][1:])]
+    docs = spark.createDataFrame(rows).toDF("doc_id", "text", "lang", "source", "n_chars", *names)
+    for name, stage in corpus_pipeline.STAGES:
+        done = stage(spark, docs, SF)
+        if name == "encoding":
+            assert done.count() == docs.count()
+            break
+        assert done.columns == docs.columns
+        assert done.exceptAll(docs.union(docs).union(docs)).count() == 0
+        done.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")

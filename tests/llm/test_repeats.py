@@ -5,6 +5,7 @@ import pytest
 
 from glotspark.functions.storage import Scratch
 from glotspark.llm import repeats
+from pyspark.sql import functions as F
 
 L = 400
 DDL = "doc_id long, text string, bucket string, start long"
@@ -89,6 +90,39 @@ def test_null_ids_and_empty_table(spark):
         assert repeats.remove_repeats(empty, scratch).count() == 0
 
 
+def test_texts_of_equal_short_hashes_are_told_apart(spark):
+    """Two texts without an id whose 32-bit hashes are equal; one holds a passage that repeats."""
+    draw = random.Random(11)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(450))
+    heads = spark.range(1 << 17).select(
+        F.concat(F.lit(passage), F.hex(F.xxhash64("id"))).alias("text")
+    )
+    tails = spark.range(1 << 17).select(
+        F.concat(F.hex(F.xxhash64("id", F.lit(9))), F.lit("." * 292)).alias("text")
+    )
+    pair = heads.select("text", F.hash("text").alias("h")).join(
+        tails.select(F.col("text").alias("other"), F.hash("text").alias("h")), "h"
+    ).orderBy("text").first()
+    rows = [(None, pair.text, "b", 1), (None, pair.other, "b", 1), (-1, passage + "!", "b", 1)]
+    rows += [(7, pair.text[:40], "b", 1), (7, pair.other, "b", 1)]
+    spread = [(i, *row[1:]) for i, row in enumerate(rows)]
+    want = sorted(row[1:] for row in brute(spread))
+    with Scratch(spark) as scratch:
+        got = repeats.remove_repeats(spark.createDataFrame(rows, DDL), scratch).collect()
+    assert want == sorted(
+        (r.n_bytes, bytes(r.kept), [tuple(span) for span in r.spans]) for r in got
+    )
+
+
+def test_many_copies_of_a_row(spark):
+    draw = random.Random(13)
+    text = "".join(draw.choice("abcdefgh ") for _ in range(900))
+    rows = [(1, text, "b", 1)] * 10_000 + [(2, text[:600] + "?" * 50, "b", 1), (3, "?" * 30, "b", 1)]
+    got = run(spark, rows)
+    assert [r[3] for r in got[:10_000]] == [[(0, 900)]] * 10_000
+    assert got[10_000][3] == [(0, 600)] and got[10_001][3] == []
+
+
 def test_refine_finds_equal_starts():
     data = np.frombuffer(b"abcdefghijklmnopqrst" + b"zzcdefghijklmnopqryy", np.uint8)
     found = repeats.refine(data, np.array([0, 20]), np.array([8, 8]), 13)
