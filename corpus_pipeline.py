@@ -12,39 +12,30 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from glotspark.functions.storage import Scratch, use_local_folder
 from glotspark.llm import bpe, minhash, mixing, secrets, toxicity
 from glotspark.llm.arrow import small_batches
-from glotspark.llm.joins import small
 
 # Training, sampling and component search are beyond SQL: the tests compare with brute force.
 ORACLE_SQL = None
 
 
+# Near-duplicates share this percentage of their five-word shingles at least.
+PERCENT = 80
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold; null and empty texts are scored like any other."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.without_toxic(docs, toxicity.fit(docs, labels))
+    """Documents that score below the threshold calibrated for their language, or else the general one;
+    null and empty texts are scored like any other."""
+    network = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.without_toxic(docs, network, lang="lang")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every component; documents without words all stay.
-
-    Rows that share an id go or stay together: they stay if one of them is kept. Rows without an
-    id stay.
-    """
-    found = minhash.near_duplicates(docs, Scratch(spark).until_exit())
-    dropped = (
-        found.filter(F.col("doc_id").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.max("kept").alias("kept"))
-        .filter("NOT kept")
-        .select("doc_id")
-    )
-    dropped = Scratch(spark).until_exit().table(dropped, "dropped")
-    return docs.join(small(dropped, 16 * dropped.count()), "doc_id", "left_anti").select(*docs.columns)
+    """One document with the least id of every component; documents without words, or without an id,
+    all stay. Of rows that share an id each goes or stays by its own text."""
+    return minhash.keep_one(docs, Scratch(spark).until_exit(), percent=PERCENT)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,39 +45,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
-    scratch = Scratch(spark).until_exit()
-    mixed = scratch.table(mixing.mix(docs, scratch), "mixed")
-    key = ["doc_id", "copy"]
-    numbered = Window.partitionBy(*key).orderBy(F.desc("times"))
-    # Rows with the same id and text are told apart by a number; most have none of their like.
-    times = scratch.table(
-        mixed.select(*key, "times", F.row_number().over(numbered).alias("number")), "times"
-    )
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"),
-        F.col("doc_id").cast("long").alias("own_id"),
-        F.pmod(F.xxhash64("text"), F.lit(1 << 40)).alias("own_copy"),
-    )
-    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_copy") == F.col("copy"))
-    repeated = times.filter("number > 1").select(*key).distinct()
-    single = small(times.join(repeated, _same(times, repeated), "left_anti"), 40 * times.count())
-    taken = rows.join(single, same).select("row", "times")
-    if repeated.limit(1).count():
-        order = Window.partitionBy("own_id", "own_copy").orderBy(F.xxhash64("row"))
-        alike = rows.join(
-            small(repeated, 24 * repeated.count()), same, "left_semi"
-        ).withColumn("own_number", F.row_number().over(order))
-        taken = taken.union(
-            alike.join(times, same & (F.col("own_number") == F.col("number"))).select(
-                "row", "times"
-            )
-        )
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
-    return taken.filter("times > 0").select("row", each).select("row.*")
-
-
-def _same(one: DataFrame, other: DataFrame):
-    return one["doc_id"].eqNullSafe(other["doc_id"]) & (one["copy"] == other["copy"])
+    return mixing.expand(docs, Scratch(spark).until_exit())
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -96,21 +55,37 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
-def in_small_batches(stage):
+# The columns of documents that stages read.
+READ = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def prepared(stage):
+    """A stage in small batches, over columns whose names can't be in its way.
+
+    Whatever else a table holds, dotted names and such that a stage uses itself too, is named by its
+    place until the stage is done. The last stage has columns of its own.
+    """
+
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         small_batches(spark)
-        return stage(spark, docs, sf_dir)
+        first = {name: place for place, name in reversed(list(enumerate(docs.columns)))}
+        plain = [
+            name if name in READ and first[name] == place else f"extra_column_{place}"
+            for place, name in enumerate(docs.columns)
+        ]
+        done = stage(spark, docs.toDF(*plain), sf_dir)
+        return done.toDF(*docs.columns) if done.columns == plain else done
 
     return run_stage
 
 
 STAGES = [
-    ("toxicity", in_small_batches(drop_toxic)),
-    ("near_duplicates", in_small_batches(drop_near_duplicates)),
-    ("secrets", in_small_batches(mask_secrets)),
-    ("mixing", in_small_batches(mix_sources)),
-    ("encoding", in_small_batches(encode)),
+    ("toxicity", prepared(drop_toxic)),
+    ("near_duplicates", prepared(drop_near_duplicates)),
+    ("secrets", prepared(mask_secrets)),
+    ("mixing", prepared(mix_sources)),
+    ("encoding", prepared(encode)),
 ]
 
 
