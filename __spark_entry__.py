@@ -6,7 +6,9 @@ import functools
 import os
 import re
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from glotspark import columns as C
 from glotspark.functions import char_ngrams, char_tokens
 from glotspark.functions import patterns as P
-from glotspark.functions.storage import new_path, use_local_folder
+from glotspark.functions.storage import Scratch, new_path, use_local_folder
 from glotspark.operators.bayes import fit_gram_bayes
 from glotspark.operators.classifier import GramClassifier
 from glotspark.operators.clean import RegexReplacer, clean_text, min_length, prepare
@@ -27,22 +29,29 @@ from glotspark.operators.features import (
 )
 from glotspark.operators.gram_model import predict_by_join
 from glotspark.operators.grams import gram_counts_by_size, top_grams
-from glotspark.operators.incremental import unpredicted
+from glotspark.operators.incremental import only_fresh, unpredicted
 from glotspark.operators.profiles import build_profile, fit_guesser, labeler
 from glotspark.operators.tuning import FEATURE_COUNTS, GRAM_SIZES, bucket_sums, fold_of
 from glotspark.plans.jobs import (
     count_short,
     learn,
     learn_and_predict,
+    predict_into,
     predict_job,
     predict_new,
     score_texts,
 )
-from glotspark.sources.predictions import append_predictions, read_predictions
+from glotspark.sources.predictions import (
+    append_predictions,
+    prediction_table,
+    read_predictions,
+    skipped_table,
+)
 from glotspark.sources.profiles import read_profiles, write_profiles
 from glotspark.sources.registry import ModelRegistry, latest_versions
+from glotspark.sources.result_table import ResultTable
 from glotspark.sources.texts import given_texts, query_texts, read_texts
-from glotspark.streaming import predict_stream, stream_texts
+from glotspark.streaming import predict_stream, predict_stream_into, stream_texts
 
 try:
     import corpus_pipeline
@@ -145,20 +154,71 @@ def profile_json_roundtrip(spark, sf):
     return read_profiles(spark, path)
 
 
-def sink_append_roundtrip(spark, sf):
-    path = new_path(spark, "predictions")
-    rows = prepared(spark, sf).select(
+def gold_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Result rows with the documents' own language as the prediction."""
+    return prepared(spark, sf).select(
         F.col("doc_id").cast("string").alias(C.ID),
         F.expr(CREATED_AT).alias(C.CREATED_AT),
         C.TEXT,
         F.col("lang").alias(C.PREDICTION),
         F.lit(None).cast("string").alias(C.LABEL),
     )
+
+
+def sink_append_roundtrip(spark, sf):
+    path = new_path(spark, "predictions")
+    rows = gold_rows(spark, sf)
     append_predictions(unpredicted(rows, already_predicted(spark, sf)), path)
     append_predictions(rows, path)
     return result_rows(read_predictions(spark, path))
 
 
+def sink_concurrent_append(spark, sf):
+    """Two jobs that append at once; two thirds of their keys are the same."""
+    path = new_path(spark, "results")
+    rows = gold_rows(spark, sf)
+
+    def job(left_out: int) -> None:
+        mine = rows.filter(F.pmod(F.xxhash64(C.ID), F.lit(6)) != left_out)
+        prediction_table(spark, path).append(mine)
+
+    with ThreadPool(2) as pool:
+        pool.map(inheritable_thread_target(spark)(job), range(2))
+    return result_rows(prediction_table(spark, path).read())
+
+
+def incremental_result_table(spark, sf):
+    """Rows not predicted yet, against a table that has grown by three commits."""
+    rows, known = tweets(spark, sf), already_predicted(spark, sf)
+    table = ResultTable(spark, new_path(spark, "results"), known.schema, C.ID)
+    for part in range(3):
+        table.append(known.filter(F.pmod(F.xxhash64(C.ID), F.lit(3)) == part))
+    fresh = only_fresh(rows, table.fresh_keys(rows, Scratch(spark).until_exit()))
+    return fresh.select(C.ID, as_text(C.CREATED_AT), C.TEXT)
+
+
+def skipped_rows_second_run(spark, sf):
+    """What two runs with a ledger of short rows append, clean and find too short."""
+    results = prediction_table(spark, new_path(spark, "results"))
+    skipped = skipped_table(spark, new_path(spark, "skipped"))
+    runs = [
+        predict_into(results, tweets(spark, sf), with_gold(spark, sf), skipped=skipped)
+        for _ in range(2)
+    ]
+    schema = "run int, appended long, cleaned long, short long"
+    return spark.createDataFrame(
+        [(n, run.rows, run.cleaned, run.short) for n, run in enumerate(runs, 1)], schema
+    )
+
+
+def with_gold(spark: SparkSession, sf: str) -> Callable[[DataFrame], DataFrame]:
+    """Takes the language that the documents name as the prediction."""
+    known = documents(spark, sf, "doc_id", "lang").select(
+        F.col("doc_id").cast("string").alias(C.ID), F.col("lang").alias(C.PREDICTION)
+    )
+    return lambda df: df.join(known, C.ID).withColumn(C.LABEL, F.lit(None).cast("string"))
+
+
 def registry_latest(spark, sf):
     registry = ModelRegistry(spark, new_path(spark, "registry"))
     entries = documents(spark, sf, "doc_id", "text", "source").select(
@@ -465,6 +525,23 @@ def stream_incremental(spark, sf):
     return result_rows(read_predictions(spark, path))
 
 
+def stream_into_replayed(spark, sf):
+    """The stream with batches in its commits; its first batch arrives again after it is done."""
+    table, checkpoint = prediction_table(spark, new_path(spark, "results")), new_path(spark, "stream")
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    stream = stream_texts(spark, f"{sf}/documents*.parquet", schema).select(
+        F.col("doc_id").cast("string").alias(C.ID), F.expr(CREATED_AT).alias(C.CREATED_AT), C.TEXT
+    )
+    step, model = guess_step(spark, sf), bayes_classifier(spark, sf)
+
+    def score(rows: DataFrame) -> DataFrame:
+        return model.transform(step(rows))
+
+    predict_stream_into(stream, table, checkpoint, score).awaitTermination()
+    predict_into(table, tweets(spark, sf), score, batch=f"{checkpoint}#0")
+    return result_rows(table.read())
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """How often is the language guess right? Profiles, cleaning, guesses and the success rate."""
     use_local_folder(spark)
@@ -499,6 +576,9 @@ def own_queries() -> dict[str, Query]:
         "inline_texts": inline_texts,
         "profile_json_roundtrip": profile_json_roundtrip,
         "sink_append_roundtrip": sink_append_roundtrip,
+        "sink_concurrent_append": sink_concurrent_append,
+        "incremental_result_table": incremental_result_table,
+        "skipped_rows_second_run": skipped_rows_second_run,
         "registry_latest": registry_latest,
         "registry_roundtrip_predict": registry_roundtrip_predict,
         "registry_gram_model": registry_gram_model,
@@ -550,6 +630,7 @@ def own_queries() -> dict[str, Query]:
         "learn_and_predict": learn_and_predict_query,
         "incremental_second_run_empty": incremental_second_run_empty,
         "stream_incremental": stream_incremental,
+        "stream_into_replayed": stream_into_replayed,
     }
 
 
@@ -829,6 +910,14 @@ def own_sql() -> dict[str, str]:
         f"WITH {nb_cte}, {nb_predict_cte(turns, 'turns', 'text', 'turn_id')}"
         ' SELECT text AS "filteredText", prediction FROM turns JOIN predicted USING (turn_id)'
     )
+    sql["sink_concurrent_append"] = sql["sink_append_roundtrip"]
+    sql["incremental_result_table"] = sql["incremental_unpredicted"]
+    sql["stream_into_replayed"] = sql["stream_incremental"]
+    sql["skipped_rows_second_run"] = (
+        f"WITH {prepare_cte()}, runs AS (SELECT 1 AS run, (SELECT count(*) FROM prep) AS appended,"
+        " (SELECT count(*) FROM documents) AS cleaned UNION ALL SELECT 2, 0, 0)"
+        " SELECT run, appended, cleaned, cleaned - appended AS short FROM runs"
+    )
     sql["predict_with_registry_model"] = sql["score_projection"]
     sql["learn_and_predict"] = sql["stream_incremental"]
     class_sql = (

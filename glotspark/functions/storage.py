@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 
@@ -45,6 +46,69 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, sorted; none where there is no folder."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(target))
+
+
+def changed_at(spark: SparkSession, path: str) -> float:
+    """When the newest entry of a folder was made, in seconds."""
+    system, target = _file_system(spark, path)
+    return max((s.getModificationTime() for s in system.listStatus(target)), default=0) / 1000
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of one small file."""
+    system, target = _file_system(spark, path)
+    stream = system.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with all of its text, or return False where it exists already.
+
+    Of several that create the same file at once, one succeeds: the file is written under another
+    name first, then gets its own in one step that never replaces another. A local file is linked, on
+    other systems it is renamed, which HDFS does in one step.
+    """
+    system, target = _file_system(spark, path)
+    folder, name = path.rsplit("/", 1)
+    draft = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    system.mkdirs(target.getParent())
+    if system.getUri().getScheme() == "file":
+        own, final = (_file_system(spark, name)[1].toUri().getPath() for name in (draft, path))
+        with open(own, "x", encoding="utf-8") as file:
+            file.write(text)
+        try:
+            os.link(own, final)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(own)
+    if system.exists(target):
+        return False
+    first = _file_system(spark, draft)[1]
+    stream = system.create(first, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    done = bool(system.rename(first, target))
+    if not done:
+        system.delete(first, False)
+    return done
+
+
 class Scratch:
     """Owns the intermediate tables of one job and removes them.
 

@@ -39,6 +39,11 @@ def fresh_keys(
         .agg(F.count("*").alias("copies")),
         "fresh",
     )
+    return measured(keys, key)
+
+
+def measured(keys: DataFrame, key: str = C.ID) -> FreshKeys:
+    """A written table ``(key, copies)`` with the figures that plans are chosen by."""
     size = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) + F.lit(ROW_BYTES)
     count, nbytes, repeated = keys.agg(
         F.count("*"), F.sum(size), F.count_if(F.col("copies") > 1)

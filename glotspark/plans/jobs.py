@@ -12,9 +12,15 @@ from pyspark.sql import functions as F
 from glotspark import columns as C
 from glotspark.functions import clean
 from glotspark.functions.storage import Scratch
-from glotspark.operators.clean import prepare
+from glotspark.operators.clean import clean_text, prepare
 from glotspark.operators.features import apply_pipeline
-from glotspark.operators.incremental import fresh_keys, one_per_key, only_fresh
+from glotspark.operators.incremental import (
+    FreshKeys,
+    fresh_keys,
+    measured,
+    one_per_key,
+    only_fresh,
+)
 from glotspark.operators.tuning import FOLDS, GRID, Tuned, text_fold, tune
 from glotspark.sources.predictions import (
     RESULT_COLUMNS,
@@ -24,6 +30,7 @@ from glotspark.sources.predictions import (
     valid_rows,
 )
 from glotspark.sources.registry import ModelRegistry
+from glotspark.sources.result_table import ResultTable
 
 Labeler = Callable[[DataFrame], DataFrame]
 
@@ -106,6 +113,63 @@ def predict_job(
     return rejected
 
 
+@dataclass(frozen=True)
+class Appended:
+    """What a run of ``predict_into`` did: rows that came into the table, rows that were cleaned for it,
+    and keys that were found too short."""
+
+    rows: int
+    cleaned: int
+    short: int
+
+
+def predict_into(
+    table: ResultTable,
+    rows: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    length: int = C.MIN_TEXT_LENGTH,
+    skipped: ResultTable | None = None,
+    batch: str | None = None,
+) -> Appended:
+    """Score the rows that ``table`` does not hold yet and commit them; safe beside other jobs.
+
+    ``score`` maps cleaned rows to result rows. Keys that ``skipped`` lists with fewer characters than
+    ``length`` are not cleaned again, and keys that turn out to be too short now are added to it; a
+    smaller ``length`` than theirs looks at them again. A ``batch`` that has been committed before is
+    recognised by its name: nothing is read, scored or added.
+    """
+    spark = rows.sparkSession
+    if batch is not None and table.has_batch(batch):
+        return Appended(0, 0, 0)
+    with Scratch(spark) as scratch:
+        rows = valid_rows(rows)
+        fresh = table.fresh_keys(rows, scratch)
+        if skipped is not None:
+            fresh = without_short(fresh, skipped, length, scratch)
+        cleaned = scratch.table(clean_text(only_fresh(rows, fresh)), "cleaned")
+        size = F.coalesce(F.length(C.FILTERED), F.lit(0))
+        usable = one_per_key(cleaned.filter(size >= length), fresh)
+        commit = table.append(valid_rows(score(usable).select(*RESULT_COLUMNS)), batch)
+        found = 0
+        if skipped is not None:
+            longest = cleaned.groupBy(C.ID).agg(F.max(size).cast("int").alias("length"))
+            short = scratch.table(longest.filter(F.col("length") < length), "short")
+            found = short.count()
+            if found:
+                skipped.append(short)
+        return Appended(commit.rows if commit else 0, cleaned.count(), found)
+
+
+def without_short(
+    fresh: FreshKeys, skipped: ResultTable, length: int, scratch: Scratch
+) -> FreshKeys:
+    """The fresh keys but those that are known to be shorter than ``length``."""
+    asked = fresh.keys.filter(F.col(C.ID).isNotNull())
+    short = skipped.rows_of(asked, scratch).filter(F.col("length") < length).select(C.ID)
+    kept = fresh.keys.join(short, C.ID, "left_anti")
+    return measured(scratch.table(kept, "fresh"), C.ID)
+
+
 @dataclass(frozen=True)
 class LearnedAndPredicted:
     tuned: Tuned

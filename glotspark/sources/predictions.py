@@ -12,6 +12,8 @@ from glotspark import columns as C
 from glotspark.functions.storage import Scratch, read_or_empty
 from glotspark.operators.incremental import fresh_keys, one_per_key, only_fresh
 
+from .result_table import ResultTable
+
 PREDICTED_SCHEMA = T.StructType(
     [
         T.StructField(C.ID, T.StringType(), False),
@@ -57,6 +59,22 @@ def create_prediction_table(spark: SparkSession, name: str, location: str) -> No
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{location}'")
 
 
+def prediction_table(spark: SparkSession, path: str) -> ResultTable:
+    """A result table that several jobs may append to; ``append_predictions`` is for one at a time."""
+    return ResultTable(spark, path, PREDICTED_SCHEMA, C.ID)
+
+
+# Rows that had too few characters after cleaning, and how many they had.
+SKIPPED_SCHEMA = T.StructType(
+    [T.StructField(C.ID, T.StringType(), False), T.StructField("length", T.IntegerType(), False)]
+)
+
+
+def skipped_table(spark: SparkSession, path: str) -> ResultTable:
+    """The ledger of keys that have been found too short, with the longest of their rows."""
+    return ResultTable(spark, path, SKIPPED_SCHEMA, C.ID)
+
+
 def append_predictions(df: DataFrame, path: str) -> int:
     """Append rows whose key the table does not hold yet, one per key; returns how many rows have
     been rejected for a null in a column that must have a value.

@@ -1,3 +1,3 @@
-from .incremental import predict_stream, stream_texts
+from .incremental import predict_stream, predict_stream_into, stream_texts
 
-__all__ = ["predict_stream", "stream_texts"]
+__all__ = ["predict_stream", "predict_stream_into", "stream_texts"]

@@ -10,7 +10,9 @@ from pyspark.sql.types import StructType
 
 from glotspark.functions.storage import Scratch
 from glotspark.operators.incremental import fresh_keys, only_fresh
+from glotspark.plans.jobs import predict_into
 from glotspark.sources.predictions import append_predictions, read_predictions, valid_rows
+from glotspark.sources.result_table import ResultTable
 
 
 def stream_texts(
@@ -51,3 +53,32 @@ def predict_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def predict_stream_into(
+    stream: DataFrame,
+    table: ResultTable,
+    checkpoint: str,
+    score: Callable[[DataFrame], DataFrame],
+    skipped: ResultTable | None = None,
+) -> StreamingQuery:
+    """As ``predict_stream``, into a table that other jobs may append to at the same time.
+
+    The number of a batch goes into its commit, with the checkpoint's name. A batch that is run again
+    after its rows were committed is known by that: nothing of it is read or scored. ``score`` maps
+    cleaned rows to result rows.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        name = f"{checkpoint}#{number}"
+        if not table.has_batch(name):
+            with Scratch(batch.sparkSession) as scratch:
+                rows = scratch.table(batch, "batch")
+                predict_into(table, rows, score, skipped=skipped, batch=name)
+
+    return (
+        stream.writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
