@@ -31,7 +31,7 @@ from glotspark.operators.gram_model import predict_by_join
 from glotspark.operators.grams import gram_counts_by_size, top_grams
 from glotspark.operators.incremental import only_fresh, unpredicted
 from glotspark.operators.profiles import build_profile, fit_guesser, labeler
-from glotspark.operators.tuning import FEATURE_COUNTS, GRAM_SIZES, bucket_sums, fold_of
+from glotspark.operators.tuning import FEATURE_COUNTS, GRAM_SIZES, GRID, bucket_sums, fold_of
 from glotspark.plans.jobs import (
     count_short,
     learn,
@@ -65,11 +65,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CREATED_AT = "timestampadd(MINUTE, doc_id, timestamp'2024-01-01 00:00:00')"
 
-# Characters that no document holds.
-FOREIGN = "\u4dc0\u4dc1\u4dc2\u4dc3 \u4dc4\u4dc5"
-
-# The point of the tuning grid that the feature queries show.
-POINT = (3, 20_000)
+# A character that no document holds, and what it stands for in a foreign copy.
+FOREIGN = "\u4dc0"
+FOREIGN_LETTERS = "[^ ]"
 
 
 # ---- inputs ---------------------------------------------------------------------------------
@@ -234,7 +232,7 @@ def registry_latest(spark, sf):
 def registry_roundtrip_predict(spark, sf):
     """Predictions of a model that was saved to and loaded from the registry."""
     registry = ModelRegistry(spark, new_path(spark, "registry"))
-    tuned = learn(documents(spark, sf), guess_step(spark, sf))
+    tuned = learn(documents(spark, sf), guess_step(spark, sf), fold=length_fold())
     registry.save("language", tuned.model)
     loaded = registry.load("language")
     return apply_pipeline(loaded, prepared(spark, sf)).select("doc_id", C.PREDICTION)
@@ -252,7 +250,7 @@ def predict_with_registry_model(spark, sf):
     path = new_path(spark, "predictions")
     registry = ModelRegistry(spark, new_path(spark, "registry"))
     step = guess_step(spark, sf)
-    registry.save("language", learn(documents(spark, sf), step).model)
+    registry.save("language", learn(documents(spark, sf), step, fold=length_fold()).model)
     rows = unpredicted(tweets(spark, sf), already_predicted(spark, sf))
     predict_job(rows, path, registry.load("language"), step)
     return result_rows(read_predictions(spark, path))
@@ -327,12 +325,12 @@ def guess_language_broadcast(spark, sf):
 
 
 def guess_unknown(spark, sf):
-    """Every document, short ones too; every tenth is in a script that no profile holds."""
+    """Every document, short ones too, and a copy in a script that no profile holds."""
     step = labeler(guesser(spark, sf, sizes=(3,)), text=C.TEXT)
-    foreign = F.when(F.col("doc_id") % 10 == 0, F.lit(FOREIGN)).otherwise(F.col(C.TEXT))
-    return documents(spark, sf).withColumn(C.TEXT, foreign).transform(step).select(
-        "doc_id", C.LABEL
-    )
+    foreign = F.regexp_replace(C.TEXT, FOREIGN_LETTERS, FOREIGN)
+    copies = F.explode(F.array(F.col(C.TEXT), foreign)).alias(C.TEXT)
+    rows = documents(spark, sf).select("doc_id", copies)
+    return rows.transform(step).select("doc_id", F.length(C.TEXT).alias("n"), C.LABEL)
 
 
 def guess_accuracy(spark, sf):
@@ -391,12 +389,21 @@ def ngram_counts_by_lang(spark, sf):
 
 
 def hashed_tf(spark, sf):
-    counts = gram_counts_by_size(prepared(spark, sf), C.FILTERED, POINT[:1], ["lang"])
-    return bucket_sums(counts, POINT, ["lang"])
+    """Hash buckets of all points of the tuning grid."""
+    with_sizes = gram_counts_by_size(prepared(spark, sf), C.FILTERED, GRAM_SIZES, ["lang"])
+    counts = Scratch(spark).until_exit().table(with_sizes, "counts")
+    points = [
+        bucket_sums(counts, point, ["lang"]).select(
+            F.lit(point[0]).alias("n"), F.lit(point[1]).alias("features"), "lang", "bucket", "tf"
+        )
+        for point in GRID
+    ]
+    return functools.reduce(DataFrame.union, points)
 
 
 def tf_mass(spark, sf):
-    return hashed_tf(spark, sf).groupBy("lang").agg(F.sum("tf").alias("mass"))
+    found = hashed_tf(spark, sf).groupBy("n", "features", "lang")
+    return found.agg(F.sum("tf").alias("mass"), F.count("*").alias("buckets"))
 
 
 def label_index(spark, sf):
@@ -459,11 +466,17 @@ def fold_counts(spark, sf):
 def cv_metrics(spark, sf):
     tuned = learn(documents(spark, sf), guess_step(spark, sf), fold=fold_of(F.col("doc_id")))
     schema = "n int, features int, fold int, weighted_f1 double"
-    return spark.createDataFrame(tuned.metrics, schema)
+    scores = spark.createDataFrame(tuned.metrics, schema)
+    return scores.withColumn("weighted_f1", F.round("weighted_f1", 9))
+
+
+def length_fold():
+    """A fold by content that SQL can tell as well."""
+    return fold_of(F.length(C.FILTERED))
 
 
 def train_predict(spark, sf):
-    tuned = learn(documents(spark, sf), guess_step(spark, sf))
+    tuned = learn(documents(spark, sf), guess_step(spark, sf), fold=length_fold())
     return apply_pipeline(tuned.model, prepared(spark, sf)).select("doc_id", C.PREDICTION)
 
 
@@ -484,7 +497,7 @@ def score_adhoc(spark, sf):
 
 def score_turns(spark, sf):
     """The conversation turns as given texts: a second source, scored by the pipeline model."""
-    tuned = learn(documents(spark, sf), guess_step(spark, sf))
+    tuned = learn(documents(spark, sf), guess_step(spark, sf), fold=length_fold())
     return score_texts(
         given_texts(read_texts(spark, f"{sf}/conversations.parquet")), tuned.model
     )
@@ -494,7 +507,8 @@ def learn_and_predict_query(spark, sf):
     path = new_path(spark, "predictions")
     registry = ModelRegistry(spark, new_path(spark, "registry"))
     step = guess_step(spark, sf)
-    learn_and_predict(tweets(spark, sf), path, registry, "language", step)
+    rows = tweets(spark, sf)
+    learn_and_predict(rows, path, registry, "language", step, fold=length_fold())
     return result_rows(read_predictions(spark, path))
 
 
@@ -654,6 +668,35 @@ def gram_list(chars: str, n: int, glue: str = "") -> str:
     return f"list_transform(range(1, len({chars}) - {n - 2}), lambda i: {joined})"
 
 
+def murmur3(source: str, term: str) -> str:
+    """``source`` with ``h``: the signed 32-bit MurmurHash3, seed 42, of the UTF-8 bytes of ``term``."""
+    mask, high = 0xFFFFFFFF, 0x80000000
+
+    def stirred(value: str, bits: int, first: int, second: int) -> list[str]:
+        turned = f"(({value} * {first}) & {mask})"
+        return [turned, f"((((x << {bits}) | (x >> {32 - bits})) & {mask}) * {second}) & {mask}"]
+
+    def number(digits: str) -> str:
+        """Hex digits of up to four bytes, the least one first."""
+        return f"list_sum(list_transform(range(0, length({digits}) // 2), lambda i:" \
+            f" ('0x' || substr({digits}, 2 * i + 1, 2))::UBIGINT << (8 * i)))::UBIGINT"
+
+    first, second = stirred("x", 15, 0xCC9E2D51, 0x1B873593)
+    round_ = "xor(h, x)"
+    step = f"((((({round_} << 13) | ({round_} >> 19)) & {mask}) * 5) + {0xE6546B64}) & {mask}"
+    return (
+        f"(SELECT * EXCLUDE (digits, h0, h1, h2), CASE WHEN h3 >= {high} THEN h3::BIGINT - {1 << 32}"
+        f" ELSE h3::BIGINT END AS h FROM (SELECT *, xor(h2, h2 >> 16) AS h3 FROM"
+        f" (SELECT *, (xor(h1, h1 >> 13) * {0xC2B2AE35}) & {mask} AS h2 FROM"
+        f" (SELECT *, (xor(h0, h0 >> 16) * {0x85EBCA6B}) & {mask} AS h1 FROM"
+        f" (SELECT *, xor(list_reduce(list_transform(list_transform(list_transform("
+        f"regexp_extract_all(digits, '.{{1,8}}'), lambda d: {number('d')}), lambda x: {first}),"
+        f" lambda x: {second}), lambda h, x, i: CASE WHEN i <= length(digits) // 8 THEN {step}"
+        f" ELSE {round_} END, 42::UBIGINT), length(digits) // 2) AS h0 FROM"
+        f" (SELECT *, hex(encode({term})) AS digits FROM {source}))))))"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     found = own_sql()
     if llm:
@@ -792,10 +835,11 @@ def own_sql() -> dict[str, str]:
             " SELECT doc_id, guess AS label FROM guesses"
         ),
         "guess_unknown": (
-            "WITH foreigners AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0"
-            f" THEN '{FOREIGN}' ELSE text END AS text FROM documents),"
+            "WITH foreigners AS (SELECT doc_id AS own, 2 * row_number() OVER () + copy AS doc_id,"
+            f" CASE WHEN copy = 1 THEN regexp_replace(text, '{FOREIGN_LETTERS}', '{FOREIGN}', 'g')"
+            " ELSE text END AS text FROM documents, (VALUES (0), (1)) AS copies(copy)),"
             f" {guess_cte('foreigners', 'text', (3,))}"
-            " SELECT doc_id, guess AS label FROM guesses"
+            " SELECT own AS doc_id, length(text)::INTEGER AS n, guess AS label FROM guesses"
         ),
         "guess_accuracy": (
             f"WITH {prepare_cte()}, {guess_cte('prep', 'f')},"
@@ -826,10 +870,6 @@ def own_sql() -> dict[str, str]:
             " SELECT lang, n, count(*) AS grams, CAST(sum(freq) AS BIGINT) AS freq"
             " FROM c GROUP BY ALL"
         ),
-        "tf_mass": (
-            f"WITH {prepare_cte()} SELECT lang, count(*) AS mass FROM"
-            f" ({occurrences('prep', 'f', 'lang', (3,))}) GROUP BY lang"
-        ),
         "label_index": (
             "SELECT lang, count(*) AS count, CAST(row_number() OVER"
             " (ORDER BY count(*) DESC, lang) - 1 AS INTEGER) AS label_index"
@@ -902,14 +942,135 @@ def own_sql() -> dict[str, str]:
         )
     for name in ("guess_language_join", "guess_language_broadcast"):
         sql[name] = sql["guess_language"]
-    # The hashed pipeline against exact grams: another model of the same texts, fitted in SQL.
-    for name in ("train_predict", "registry_roundtrip_predict", "registry_gram_model"):
-        sql[name] = sql["nb_predict"]
+    sql["registry_gram_model"] = sql["nb_predict"]
+
+    def terms(source: str, text: str, keys: str) -> str:
+        """Grams as the hashing stage gets them, their characters parted by spaces."""
+        return " UNION ALL ".join(
+            f"SELECT {keys}, {n} AS n, unnest({gram_list('a', n, ' ')}) AS term"
+            f" FROM (SELECT {keys}, {cut(text)} AS a FROM {source})"
+            for n in GRAM_SIZES
+        )
+
+    def hashed_cte(source: str, text: str, key: str, tag: str) -> str:
+        """``tf{tag} (key, n, features, bucket, tf)``: the features of all points of the grid."""
+        return (
+            f"terms{tag} AS MATERIALIZED (SELECT {key}, n, term, count(*) AS c"
+            f" FROM ({terms(source, text, key)}) GROUP BY ALL),"
+            f" kinds{tag} AS (SELECT DISTINCT term FROM terms{tag}),"
+            f" hashes{tag} AS MATERIALIZED (SELECT term, h FROM {murmur3(f'kinds{tag}', 'term')}),"
+            f" tf{tag} AS MATERIALIZED (SELECT {key}, n, features,"
+            " ((h % features + features) % features)::BIGINT AS bucket, sum(c)::BIGINT AS tf"
+            f" FROM terms{tag} JOIN hashes{tag} USING (term),"
+            f" (SELECT unnest({list(FEATURE_COUNTS)}) AS features) GROUP BY ALL)"
+        )
+
+    def models_cte(fold: str) -> str:
+        """Hashed Naive Bayes models per point and fold left out (-1: none), labels by the guesser."""
+        return (
+            f"{prepare_cte()}, {guess_cte('prep', 'f')}, {hashed_cte('prep', 'f', 'doc_id', '')},"
+            f" gold AS (SELECT doc_id, guess AS label, {fold} AS fold FROM guesses),"
+            " ranks AS (SELECT label, row_number() OVER (ORDER BY count(*) DESC, label) AS position"
+            " FROM gold GROUP BY label),"
+            " splits AS (SELECT unnest([-1, 0, 1]) AS left_out),"
+            " class_docs AS (SELECT left_out, label, position,"
+            " count(*) FILTER (fold <> left_out) AS docs FROM gold JOIN ranks USING (label), splits"
+            " GROUP BY left_out, label, position),"
+            " priors AS (SELECT left_out, label, position, ln(docs + 1.0::DOUBLE)"
+            " - ln((sum(docs) OVER (PARTITION BY left_out)"
+            " + count(*) OVER (PARTITION BY left_out))::DOUBLE) AS pi FROM class_docs),"
+            " per_fold AS (SELECT fold, label, n, features, bucket, sum(tf) AS tf"
+            " FROM tf JOIN gold USING (doc_id) GROUP BY ALL),"
+            " trained AS MATERIALIZED (SELECT left_out, label, n, features, bucket, sum(tf) AS tf"
+            " FROM per_fold, splits WHERE fold <> left_out GROUP BY ALL),"
+            " class_totals AS (SELECT left_out, label, n, features, sum(tf) AS total"
+            " FROM trained GROUP BY ALL)"
+        )
+
+    def choice_cte(rows: str, tf: str, key: str, name: str) -> str:
+        """The best label of ``rows (key, n, features, left_out)``."""
+        return (
+            f"gains{name} AS (SELECT r.{key}, r.n, r.features, t.label,"
+            " sum(x.tf * ln(t.tf + 1.0::DOUBLE)) AS gain"
+            f" FROM {rows} r JOIN {tf} x USING ({key}, n, features)"
+            " JOIN trained t ON t.left_out = r.left_out AND t.n = r.n AND t.features = r.features"
+            " AND t.bucket = x.bucket GROUP BY ALL),"
+            f" lengths{name} AS (SELECT {key}, n, features, sum(tf) AS grams FROM {tf} GROUP BY ALL),"
+            f" chosen{name} AS (SELECT r.{key}, r.n, r.features, p.label AS prediction"
+            f" FROM {rows} r JOIN priors p USING (left_out)"
+            f" LEFT JOIN lengths{name} l USING ({key}, n, features)"
+            f" LEFT JOIN gains{name} g ON g.{key} = r.{key} AND g.n = r.n"
+            " AND g.features = r.features AND g.label = p.label"
+            " LEFT JOIN class_totals c ON c.left_out = r.left_out AND c.label = p.label"
+            " AND c.n = r.n AND c.features = r.features"
+            f" QUALIFY row_number() OVER (PARTITION BY r.{key}, r.n, r.features ORDER BY"
+            " pi + coalesce(gain, 0) - coalesce(grams, 0) * ln(coalesce(total, 0) + r.features)"
+            " DESC, position) = 1)"
+        )
+
+    def metrics_cte(fold: str) -> str:
+        grid = f"(SELECT unnest({list(GRAM_SIZES)}) AS n), (SELECT unnest({list(FEATURE_COUNTS)}) AS features)"
+        return (
+            f"{models_cte(fold)},"
+            f" tested AS MATERIALIZED (SELECT doc_id, n, features, fold AS left_out FROM gold, {grid}),"
+            f" {choice_cte('tested', 'tf', 'doc_id', '_cv')},"
+            " judged AS (SELECT n, features, fold, label, prediction"
+            " FROM chosen_cv JOIN gold USING (doc_id)),"
+            " hits AS (SELECT n, features, fold, label, count(*) AS actual,"
+            " count(*) FILTER (label = prediction) AS tp FROM judged GROUP BY ALL),"
+            " guessed AS (SELECT n, features, fold, prediction AS label, count(*) AS guessed"
+            " FROM judged GROUP BY ALL),"
+            " metrics AS (SELECT n, features, fold,"
+            " sum(2.0::DOUBLE * tp / (actual + coalesce(guessed, 0)) * actual) / sum(actual)"
+            " AS weighted_f1 FROM hits LEFT JOIN guessed USING (n, features, fold, label)"
+            " GROUP BY ALL)"
+        )
+
+    tf_sql = (
+        f"WITH {prepare_cte()}, {hashed_cte('prep', 'f', 'lang, doc_id', '')}"
+        " SELECT n::INTEGER AS n, features::INTEGER AS features, lang, bucket::INTEGER AS bucket,"
+        " sum(tf)::BIGINT AS tf FROM tf GROUP BY ALL"
+    )
+    sql["hashed_tf"] = tf_sql
+    sql["tf_mass"] = (
+        "SELECT n, features, lang, sum(tf)::BIGINT AS mass, count(*) AS buckets"
+        f" FROM ({tf_sql}) GROUP BY ALL"
+    )
+    sql["cv_metrics"] = (
+        f"WITH {metrics_cte('(doc_id % 2)')} SELECT n::INTEGER AS n, features::INTEGER AS features,"
+        " fold::INTEGER AS fold, round(weighted_f1, 9) AS weighted_f1 FROM metrics"
+    )
+
+    def tuned_cte(target: str, text: str, key: str, cte: str = "") -> str:
+        """``chosen_new (key, prediction)`` of a target table by the best model of the grid."""
+        features = "tf" if target == "prep" else "tf_new"
+        own = "" if target == "prep" else f" {cte}, {hashed_cte(target, text, key, '_new')},"
+        return (
+            f"{metrics_cte('(length(f) % 2)')},{own}"
+            " best_point AS (SELECT n, features FROM metrics GROUP BY ALL"
+            " ORDER BY round(avg(weighted_f1), 12) DESC, n, features LIMIT 1),"
+            f" asked AS (SELECT {key}, n, features, -1 AS left_out FROM {target}, best_point),"
+            f" {choice_cte('asked', features, key, '_new')}"
+        )
+
+    sql["train_predict"] = (
+        f"WITH {tuned_cte('prep', 'f', 'doc_id')} SELECT doc_id, prediction FROM chosen_new"
+    )
+    sql["registry_roundtrip_predict"] = sql["train_predict"]
     turns = "turns AS (SELECT row_number() OVER () AS turn_id, text FROM conversations)"
     sql["score_turns"] = (
-        f"WITH {nb_cte}, {nb_predict_cte(turns, 'turns', 'text', 'turn_id')}"
-        ' SELECT text AS "filteredText", prediction FROM turns JOIN predicted USING (turn_id)'
+        f"WITH {tuned_cte('turns', 'text', 'turn_id', turns)}"
+        ' SELECT text AS "filteredText", prediction FROM turns JOIN chosen_new USING (turn_id)'
+    )
+    tuned_rows = (
+        f"WITH {tuned_cte('prep', 'f', 'doc_id')} SELECT CAST(doc_id AS VARCHAR) AS id,"
+        f" {created} AS created_at, text, prediction, guess AS label"
+        " FROM guesses JOIN chosen_new USING (doc_id)"
+    )
+    sql["predict_with_registry_model"] = (
+        f"{tuned_rows} WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
     )
+    sql["learn_and_predict"] = tuned_rows
     sql["sink_concurrent_append"] = sql["sink_append_roundtrip"]
     sql["incremental_result_table"] = sql["incremental_unpredicted"]
     sql["stream_into_replayed"] = sql["stream_incremental"]
@@ -918,8 +1079,6 @@ def own_sql() -> dict[str, str]:
         " (SELECT count(*) FROM documents) AS cleaned UNION ALL SELECT 2, 0, 0)"
         " SELECT run, appended, cleaned, cleaned - appended AS short FROM runs"
     )
-    sql["predict_with_registry_model"] = sql["score_projection"]
-    sql["learn_and_predict"] = sql["stream_incremental"]
     class_sql = (
         f"WITH {prepare_cte()}, {guess_cte('prep', 'f', (1,))},"
         " c AS (SELECT lang AS class, count(*) FILTER (lang = guess) AS tp, count(*) AS actual"

@@ -20,6 +20,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayesModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.linalg import SparseVector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 
 from glotspark import columns as C
 from glotspark.functions import spaced
-from glotspark.functions.hashing import term_hash
 from glotspark.functions.storage import Scratch
 
 from .evaluate import confusion, weighted_f1
@@ -90,13 +90,13 @@ def bucket_sums(counts: DataFrame, point: tuple[int, int], keys: Sequence[str])
     """``(keys, bucket, tf)`` of counted grams ``(keys, n, gram, freq)`` for one grid point; only
     distinct grams are hashed."""
     n, features = point
-    bucket = F.pmod(term_hash(spaced(F.col("gram"))), F.lit(features)).alias("bucket")
-    return (
-        counts.filter(F.col("n") == n)
-        .select(*keys, "freq", bucket)
-        .groupBy(*keys, "bucket")
-        .agg(F.sum("freq").alias("tf"))
+    terms = counts.filter(F.col("n") == n).select(
+        *keys, "freq", F.array(spaced(F.col("gram"))).alias(C.NGRAMS)
     )
+    hashing = HashingTF(inputCol=C.NGRAMS, outputCol=C.FEATURES, numFeatures=features)
+    bucket = F.unwrap_udt(F.col(C.FEATURES))["indices"][0].alias("bucket")
+    hashed = hashing.transform(terms).select(*keys, "freq", bucket)
+    return hashed.groupBy(*keys, "bucket").agg(F.sum("freq").alias("tf"))
 
 
 def class_sums(
