@@ -27,6 +27,7 @@ from glotspark.operators.features import (
     fit_label_index,
     label_frequencies,
 )
+from glotspark.operators.folds import stratified_folds
 from glotspark.operators.gram_model import predict_by_join
 from glotspark.operators.grams import gram_counts_by_size, top_grams
 from glotspark.operators.incremental import only_fresh, unpredicted
@@ -36,6 +37,7 @@ from glotspark.plans.jobs import (
     count_short,
     learn,
     learn_and_predict,
+    learn_from,
     predict_into,
     predict_job,
     predict_new,
@@ -463,6 +465,32 @@ def fold_counts(spark, sf):
     return rows.groupBy("fold", "lang").agg(F.count("*").alias("docs"))
 
 
+def stratified_fold_query(spark, sf):
+    rows = prepared(spark, sf).select("doc_id", "lang")
+    scratch = Scratch(spark).until_exit()
+    return stratified_folds(rows, 3, scratch, "lang", ("doc_id",)).select("doc_id", "lang", "fold")
+
+
+def learn_in_parts(spark, sf):
+    """Predictions of a model that has learnt from the documents in three parts, one after the other."""
+    registry = ModelRegistry(spark, new_path(spark, "registry"))
+    step = guess_step(spark, sf)
+    for part in range(3):
+        texts = documents(spark, sf).filter(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == part)
+        learn_from(texts, step, registry, "language", GRID[0], length_fold())
+    model = registry.load("language")
+    return apply_pipeline(model, prepared(spark, sf)).select("doc_id", C.PREDICTION)
+
+
+def learnt_sums(spark, sf):
+    """The sums that are kept with that model, after two parts."""
+    registry = ModelRegistry(spark, new_path(spark, "registry"))
+    for part in range(2):
+        texts = documents(spark, sf).filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == part)
+        learn_from(texts, guess_step(spark, sf), registry, "language", GRID[-1], length_fold())
+    return registry.load_sums("language").counts
+
+
 def cv_metrics(spark, sf):
     tuned = learn(documents(spark, sf), guess_step(spark, sf), fold=fold_of(F.col("doc_id")))
     schema = "n int, features int, fold int, weighted_f1 double"
@@ -636,6 +664,9 @@ def own_queries() -> dict[str, Query]:
         "nb_predict": nb_predict,
         "grid_points": grid_points,
         "fold_counts": fold_counts,
+        "stratified_folds": stratified_fold_query,
+        "learn_in_parts": learn_in_parts,
+        "learnt_sums": learnt_sums,
         "cv_metrics": cv_metrics,
         "train_predict": train_predict,
         "score_projection": score_projection,
@@ -1057,6 +1088,20 @@ def own_sql() -> dict[str, str]:
         f"WITH {tuned_cte('prep', 'f', 'doc_id')} SELECT doc_id, prediction FROM chosen_new"
     )
     sql["registry_roundtrip_predict"] = sql["train_predict"]
+    sql["learn_in_parts"] = (
+        f"WITH {models_cte('(length(f) % 2)')}, asked AS (SELECT doc_id, {GRID[0][0]} AS n,"
+        f" {GRID[0][1]} AS features, -1 AS left_out FROM prep),"
+        f" {choice_cte('asked', 'tf', 'doc_id', '_new')}"
+        " SELECT doc_id, prediction FROM chosen_new"
+    )
+    sql["learnt_sums"] = (
+        f"WITH {models_cte('(length(f) % 2)')} SELECT n::INTEGER AS n, features::INTEGER AS features,"
+        " fold::INTEGER AS fold, label, bucket::INTEGER AS bucket, tf::BIGINT AS tf FROM per_fold"
+    )
+    sql["stratified_folds"] = (
+        f"WITH {prepare_cte()} SELECT doc_id, lang, ((row_number() OVER"
+        " (PARTITION BY lang ORDER BY doc_id) - 1) % 3)::INTEGER AS fold FROM prep"
+    )
     turns = "turns AS (SELECT row_number() OVER () AS turn_id, text FROM conversations)"
     sql["score_turns"] = (
         f"WITH {tuned_cte('turns', 'text', 'turn_id', turns)}"

@@ -21,6 +21,7 @@ from glotspark.operators.incremental import (
     one_per_key,
     only_fresh,
 )
+from glotspark.operators.increments import fit_sums, stored, sums_of
 from glotspark.operators.tuning import FOLDS, GRID, Tuned, text_fold, tune
 from glotspark.sources.predictions import (
     RESULT_COLUMNS,
@@ -50,6 +51,32 @@ def learn(
     return tune(prepared, fold, grid, folds, parallelism)
 
 
+def learn_from(
+    texts: DataFrame,
+    labeler: Labeler,
+    registry: ModelRegistry,
+    name: str,
+    point: tuple[int, int],
+    fold: Column | None = None,
+    length: int = C.MIN_TEXT_LENGTH,
+) -> str:
+    """Learn from ``texts`` in addition to all that the registry's model of this name has learnt from.
+
+    Only the given texts are read; what the model knows of earlier ones are the sums kept with it. The
+    first call starts the model. ``point`` is the grid point to fit, such as that of an earlier search.
+    Returns the digest, that of one fit on all texts together.
+    """
+    spark = texts.sparkSession
+    fold = fold if fold is not None else text_fold(F.col(C.FILTERED), FOLDS)
+    with Scratch(spark) as scratch:
+        prepared = scratch.table(prepare(texts, length, labeler), "prepared")
+        sums = sums_of(prepared, fold, scratch)
+        if registry.entries_of(name).limit(1).count():
+            sums = sums.plus(registry.load_sums(name))
+        sums = stored(sums, spark)
+        return registry.save(name, fit_sums(spark, sums, point), sums=sums)
+
+
 def predict_new(
     rows: DataFrame,
     predicted: DataFrame,
