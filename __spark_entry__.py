@@ -31,7 +31,12 @@ from glotspark.operators.folds import stratified_folds
 from glotspark.operators.gram_model import predict_by_join
 from glotspark.operators.grams import gram_counts_by_size, top_grams
 from glotspark.operators.incremental import only_fresh, unpredicted
-from glotspark.operators.profiles import build_profile, fit_guesser, labeler
+from glotspark.operators.profiles import (
+    build_frequent_profile,
+    build_profile,
+    fit_guesser,
+    labeler,
+)
 from glotspark.operators.tuning import FEATURE_COUNTS, GRAM_SIZES, GRID, bucket_sums, fold_of
 from glotspark.plans.jobs import (
     count_short,
@@ -311,6 +316,11 @@ def build_profile_query(spark, sf):
     return build_profile(documents(spark, sf, "text", "lang"))
 
 
+def frequent_profile(spark, sf):
+    """The profile of grams that occur five times or more, rare ones kept from the shuffle."""
+    return build_frequent_profile(documents(spark, sf, "text", "lang"), 5)
+
+
 def guess_language(spark, sf):
     return prepared(spark, sf).transform(guess_step(spark, sf)).select("doc_id", C.LABEL)
 
@@ -321,6 +331,13 @@ def guess_language_join(spark, sf):
     return predict_by_join(prepared(spark, sf), "doc_id", C.FILTERED, C.LABEL, model, limit=0)
 
 
+def guess_language_split(spark, sf):
+    """The same, with grams that stand in many texts looked up where the texts lie."""
+    model = guesser(spark, sf)
+    rows = prepared(spark, sf)
+    return predict_by_join(rows, "doc_id", C.FILTERED, C.LABEL, model, limit=0, heavy=50)
+
+
 def guess_language_broadcast(spark, sf):
     model = guesser(spark, sf)
     return predict_by_join(prepared(spark, sf), "doc_id", C.FILTERED, C.LABEL, model)
@@ -641,8 +658,10 @@ def own_queries() -> dict[str, Query]:
         "prepare_labeled": prepare_labeled,
         "content_digest": content_digest,
         "build_profile": build_profile_query,
+        "frequent_profile": frequent_profile,
         "guess_language": guess_language,
         "guess_language_join": guess_language_join,
+        "guess_language_split": guess_language_split,
         "guess_language_broadcast": guess_language_broadcast,
         "guess_unknown": guess_unknown,
         "guess_accuracy": guess_accuracy,
@@ -971,7 +990,8 @@ def own_sql() -> dict[str, str]:
             f"SELECT page_id AS doc_id, regexp_replace(html, {re2(P.BRANCHES[key])}, '', 'g')"
             ' AS "filteredText" FROM pages'
         )
-    for name in ("guess_language_join", "guess_language_broadcast"):
+    sql["frequent_profile"] = f"WITH {profile_cte(min_count=5)} SELECT * FROM profile"
+    for name in ("guess_language_join", "guess_language_split", "guess_language_broadcast"):
         sql[name] = sql["guess_language"]
     sql["registry_gram_model"] = sql["nb_predict"]
 

@@ -29,8 +29,13 @@ from pyspark.sql import functions as F
 from glotspark.functions import normalized, windows
 from glotspark.functions.storage import BROADCAST_BYTES, Scratch, new_path
 
+from .sketches import frequent
+
 MICRO = 1_000_000
 
+# Texts of a gram beyond which its weights go to the texts instead of meeting them by a shuffle.
+HEAVY = 100_000
+
 # A slice of a weight table is not made smaller than this.
 SLICE_BYTES = 1024 * 1024
 
@@ -293,13 +298,14 @@ def score_by_join(
     text: str,
     model: GramModel,
     limit: int = BROADCAST_BYTES,
+    heavy: int = HEAVY,
 ) -> DataFrame:
     """``(key, hits, s0, s1, ...)``: matched grams and scores per class, by joining grams.
 
     With a table below ``limit`` the join is a broadcast one and the only shuffle carries one
     already summed row per text. Above it, the texts are shuffled by key, which is a fraction of
-    what their grams would be; grams are counted per text without another shuffle. The join on
-    grams is a plain one of two tables, whose hot grams adaptive execution splits as they grow.
+    what their grams would be; grams are counted per text without another shuffle. A gram that stands in more
+    than about ``heavy`` texts is looked up where the texts lie, see ``_join_split``.
     """
     spark = df.sparkSession
     table = model.table(spark).drop("n")
@@ -326,7 +332,7 @@ def score_by_join(
             .groupBy(key, "gram")
             .agg(F.sum("times").alias("times"))
         )
-        joined = counted.join(table, "gram", "left")
+        joined = _join_split(counted, table, heavy)
     present = F.col(weights[0]).isNotNull()
     return joined.groupBy(key).agg(
         F.sum(F.when(present, times).otherwise(0)).alias("hits"),
@@ -337,6 +343,27 @@ def score_by_join(
     )
 
 
+def _join_split(counted: DataFrame, table: DataFrame, heavy: int) -> DataFrame:
+    """``counted (key, gram, times)`` with the weights of its grams.
+
+    The number of texts of a gram is known from a sketch. The weights of grams that may stand in
+    ``heavy`` texts or more go to the texts; the others meet them by a shuffle, in which no gram has
+    that many rows. A sketch of a few slots can't tell heavy grams from more others than its heavy
+    slots hold, so what is sent is a small share of the table; beyond the bound it is shuffled too.
+    """
+    often = frequent(counted, F.col("gram"), F.lit(1), heavy)
+    if not often.count:
+        return counted.join(table, "gram", "left")
+    is_heavy = F.coalesce(often.may_be(F.col("gram")), F.lit(False))
+    known = table.filter(is_heavy)
+    row = 48 + 8 * len(table.columns)
+    if known.count() * row > BROADCAST_BYTES:
+        return counted.join(table, "gram", "left")
+    near = counted.filter(is_heavy).join(F.broadcast(known), "gram", "left")
+    far = counted.filter(~is_heavy).join(table.filter(~is_heavy), "gram", "left")
+    return near.unionByName(far)
+
+
 def predict_by_join(
     df: DataFrame,
     key: str,
@@ -344,8 +371,9 @@ def predict_by_join(
     out: str,
     model: GramModel,
     limit: int = BROADCAST_BYTES,
+    heavy: int = HEAVY,
 ) -> DataFrame:
     """``(key, out)`` for every row of ``df``; ``key`` must be unique and not null."""
     scores = [F.col(f"s{i}") for i in range(len(model.classes))]
     choice = _choice(model, scores, F.col("hits"))
-    return score_by_join(df, key, text, model, limit).select(key, choice.alias(out))
+    return score_by_join(df, key, text, model, limit, heavy).select(key, choice.alias(out))
