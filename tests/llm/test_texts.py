@@ -1,7 +1,9 @@
 """Fingerprints, byte-level BPE, token counts, license and secret scans."""
 
 import hashlib
+import random
 import re
+import string
 import textwrap
 
 import numpy as np
@@ -143,6 +145,31 @@ def test_tokens_of_lines_add_up(spark):
         assert all("\n" not in (text or "")[r.start : r.end - 1] for r in own)
 
 
+def test_tokens_of_every_line_equal_brute_force(spark):
+    """Each byte is owned by its line; a token goes to the first line that owns most of its bytes."""
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    texts = [*odd_texts(), " \n \n\n  a", "x\n\n\n\n\ny", "\n" * 50, *(r.text for r in documents[:60])]
+    got = token_counts.count_by_line(frame(spark, texts), PATH, PATTERN).collect()
+    pairs = bpe.load(PATH, PATTERN)
+    want = []
+    for i, text in enumerate(texts):
+        lines = (text or "").split("\n")
+        lines = [line + "\n" for line in lines[:-1]] + [lines[-1]] * (len(lines[-1]) > 0 or len(lines) == 1)
+        owner = [n for n, line in enumerate(lines) for _ in line.encode()]
+        tokens, crossing, at = [0] * len(lines), [0] * len(lines), 0
+        for token in pairs.encode(text or ""):
+            owners = owner[at : at + pairs.lengths[token]]
+            at += pairs.lengths[token]
+            chosen = max(sorted(set(owners)), key=owners.count)
+            tokens[chosen] += 1
+            crossing[chosen] += len(set(owners)) > 1
+        assert at == len(owner)
+        want += [(i, n, *pair) for n, pair in enumerate(zip(tokens, crossing))]
+    assert sorted((r.doc_id, r.section, r.n_tokens, r.n_crossing) for r in got) == want
+    empty = frame(spark, ["a"]).limit(0)
+    assert token_counts.count_by_line(empty, PATH, PATTERN).count() == 0
+
+
 def test_crossing_tokens_go_to_the_larger_part():
     tokens, crossing = token_counts.attribute(np.array([2, 6, 8]), np.array([0, 3, 7]))
     # Token 2 to 6: one byte in the first section, three in the second; token 6 to 8 is a tie.
@@ -257,6 +284,42 @@ def test_models_tell_random_from_ordinary(spark):
     assert [len(r.spans) for r in sorted(rows, key=lambda r: r.doc_id)] == [0, 3]
 
 
+def planted_keys():
+    draw = random.Random(21)
+    alphabets = {
+        "letters": string.ascii_letters, "small letters": string.ascii_lowercase,
+        "letters and digits": string.ascii_letters + string.digits,
+        "base64": string.ascii_letters + string.digits + "+/", "capitals and digits": string.ascii_uppercase + string.digits,
+    }
+    return {
+        kind: ["".join(draw.choice(letters) for _ in range(32)) for _ in range(200)]
+        for kind, letters in alphabets.items()
+    }
+
+
+def test_recall_and_precision_by_kind_of_key(spark):
+    """Keys between words, behind a path and behind a name; every found span lies on the key."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = secrets.fit(docs)
+    for kind, keys in planted_keys().items():
+        for before in ("see ", "some/long/path/to/", "the_name_of_it="):
+            texts = [f"words {before}{key} and more words" for key in keys]
+            rows = secrets.scan(frame(spark, texts), model).collect()
+            found = {r.doc_id: [s for s in r.spans if s.kind == "markov"] for r in rows}
+            hits = 0
+            for i, key in enumerate(keys):
+                start = texts[i].index(key)
+                hits += any(
+                    min(s.end, start + 32) - max(s.start, start) >= 28 for s in found[i]
+                )
+                assert all(s.end <= start + 32 for s in found[i])
+            assert hits >= 0.95 * len(keys), (kind, before, hits)
+    # Ordinary text: of the runs long enough to be judged, hardly any is taken for a key.
+    spans = secrets.scan(docs, model).select(F.inline("spans")).filter("kind = 'markov'").count()
+    long = docs.select(F.sum(F.regexp_count("text", F.lit("[A-Za-z0-9+/_=-]{16,}")))).first()[0]
+    assert spans <= 0.002 * long, (spans, long)
+
+
 def test_redaction_keeps_everything_else(spark):
     df = frame(spark, SECRETS)
     got = {r.doc_id: r for r in secrets.redact(df, None).collect()}
