@@ -21,8 +21,11 @@ from pyspark.sql.window import Window
 K = 10
 SCALE = 1024.0
 
-# Queries of one block; candidates of one block at most on average, and of one numpy pass.
+# Queries that candidates are compared with at a time, and those that a task holds, by number and by
+# bytes; candidates of one block at most on average, and of one numpy pass.
 QUERY_BLOCK = 512
+ASKED = 16_384
+ASKED_BYTES = 32 << 20
 CANDIDATE_BLOCK = 16_384
 PASS = 2_048
 DIMENSIONS = 16
@@ -136,8 +139,9 @@ def search(
     zeros; rows with the query's own id are not its candidates, other copies of its vector are. A
     query without candidates has no rows, and of repeated query rows each id is answered once.
 
-    Candidates are dealt to blocks, each block of queries is sent to every block of candidates and
-    back to its tasks come k rows per query and block: no more than that is ever sorted.
+    Candidates are dealt to blocks, and queries to as few sets as tasks can hold: the candidates are
+    copied once per set, the queries once per block. Within a task a set is gone through in smaller
+    blocks. What comes back are k rows per query and block: no more than that is ever sorted.
     """
     spark = df.sparkSession
     rows = df.select(
@@ -149,7 +153,8 @@ def search(
         F.count("*"), F.count_if("asks"), F.max(F.size("vector"))
     ).first()
     width = max(1, counts[2] or 1)
-    query_blocks = -(-counts[1] // QUERY_BLOCK) or 1
+    held = max(QUERY_BLOCK, min(ASKED, ASKED_BYTES // (8 * width)))
+    query_blocks = -(-counts[1] // held) or 1
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(-(-counts[0] // CANDIDATE_BLOCK), min(slots, -(-counts[0] // PASS))) or 1
 
@@ -175,10 +180,10 @@ def search(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        present, best, waiting = None, None, []
+        present, blocks, waiting = None, [], []
 
         def close() -> Iterator[pa.RecordBatch]:
-            if best:
+            for best in blocks:
                 columns = [pa.array(column, pa.int64()) for column in best.rows()]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -189,7 +194,7 @@ def search(
                 here, asks = tuple(groups[begin, :2].tolist()), groups[begin, 2] == 0
                 if here != present:
                     yield from close()
-                    present, best, waiting = here, None, []
+                    present, blocks, waiting = here, [], []
                 for low in range(begin, end, PASS):
                     slice_ = batch.slice(low, min(PASS, end - low))
                     ids = slice_.column(3).to_numpy()
@@ -201,8 +206,12 @@ def search(
                         ask_ids = np.concatenate([one for one, _ in waiting])
                         ask_ids, once = np.unique(ask_ids, return_index=True)
                         asked = np.concatenate([one for _, one in waiting])[once]
-                        best, waiting = Best(ask_ids, asked, k), []
-                    if best:
+                        blocks = [
+                            Best(ask_ids[i : i + QUERY_BLOCK], asked[i : i + QUERY_BLOCK], k)
+                            for i in range(0, len(ask_ids), QUERY_BLOCK)
+                        ]
+                        waiting = []
+                    for best in blocks:
                         best.offer(ids, vectors)
         yield from close()
 
