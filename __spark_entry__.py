@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from glotspark import columns as C
 from glotspark.functions import char_ngrams, char_tokens
 from glotspark.functions import patterns as P
+from glotspark.functions.scripts import REPRESENTATIVES
 from glotspark.functions.storage import Scratch, new_path, use_local_folder
 from glotspark.operators.bayes import fit_gram_bayes
 from glotspark.operators.classifier import GramClassifier
@@ -35,6 +36,7 @@ from glotspark.operators.profiles import (
     build_frequent_profile,
     build_profile,
     fit_guesser,
+    fold_profile,
     labeler,
 )
 from glotspark.operators.tuning import FEATURE_COUNTS, GRAM_SIZES, GRID, bucket_sums, fold_of
@@ -77,6 +79,12 @@ FOREIGN = "\u4dc0"
 FOREIGN_LETTERS = "[^ ]"
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+# Where two sets of Hiragana start.
+KANA = (0x3041, 0x3061)
+
+
 # ---- inputs ---------------------------------------------------------------------------------
 
 
@@ -352,6 +360,32 @@ def guess_unknown(spark, sf):
     return rows.transform(step).select("doc_id", F.length(C.TEXT).alias("n"), C.LABEL)
 
 
+def in_kana(text, first: int):
+    """A text with other letters for a to z: Hiragana from a code point on."""
+    return F.translate(F.lower(text), LETTERS, kana(first))
+
+
+def kana(first: int) -> str:
+    return "".join(chr(first + place) for place in range(len(LETTERS)))
+
+
+def guess_with_imported_profile(spark, sf):
+    """Documents and copies of them in kana, by a profile from JSON with one character for kana.
+
+    The texts in kana that the profile is built from use other characters than the copies, so that
+    only folding makes them known.
+    """
+    known = read_texts(spark, f"{sf}/benchmark.parquet").select(
+        in_kana(F.col(C.TEXT), KANA[0]).alias("text"), F.lit("ja").alias("lang")
+    )
+    path = new_path(spark, "profile-json")
+    write_profiles(build_profile(documents(spark, sf, "text", "lang").union(known)), path)
+    model = fit_guesser(fold_profile(read_profiles(spark, path)))
+    copies = F.array(F.col(C.TEXT), in_kana(F.col(C.TEXT), KANA[1]))
+    rows = documents(spark, sf).select("doc_id", F.posexplode(copies).alias("copy", C.TEXT))
+    return rows.transform(labeler(model, text=C.TEXT, fold=True)).select("doc_id", "copy", C.LABEL)
+
+
 def guess_accuracy(spark, sf):
     return success_rate(prepared(spark, sf).transform(guess_step(spark, sf)), "lang", C.LABEL)
 
@@ -664,6 +698,7 @@ def own_queries() -> dict[str, Query]:
         "guess_language_split": guess_language_split,
         "guess_language_broadcast": guess_language_broadcast,
         "guess_unknown": guess_unknown,
+        "guess_with_imported_profile": guess_with_imported_profile,
         "guess_accuracy": guess_accuracy,
         "success_rate": success_rate_query,
         "weighted_f1": weighted_f1_query,
@@ -779,8 +814,10 @@ def own_sql() -> dict[str, str]:
         ]
         return " UNION ALL ".join(parts)
 
-    def profile_cte(sizes=(1, 2, 3), min_count: int = 1, tag: str = "") -> str:
-        occ = occurrences("documents", "text", "lang", sizes)
+    def profile_cte(
+        sizes=(1, 2, 3), min_count: int = 1, tag: str = "", corpus: str = "documents"
+    ) -> str:
+        occ = occurrences(corpus, "text", "lang", sizes)
         return (
             f"counts{tag} AS (SELECT lang, n, gram, count(*) AS freq FROM ({occ})"
             f" GROUP BY ALL HAVING count(*) >= {min_count}),"
@@ -788,9 +825,12 @@ def own_sql() -> dict[str, str]:
             f" (PARTITION BY lang, n) AS BIGINT) AS total FROM counts{tag})"
         )
 
-    def guess_cte(source: str, text: str, sizes=(1, 2, 3), min_count: int = 1, tag: str = "") -> str:
+    def guess_cte(
+        source: str, text: str, sizes=(1, 2, 3), min_count: int = 1, tag: str = "",
+        corpus: str = "documents",
+    ) -> str:
         return (
-            f"{profile_cte(sizes, min_count, tag)},"
+            f"{profile_cte(sizes, min_count, tag, corpus)},"
             f" weights{tag} AS (SELECT lang, n, gram, CAST(round((ln(freq::DOUBLE / total + 1e-6)"
             f" - ln(1e-6)) * 1e6) AS BIGINT) AS w FROM profile{tag}),"
             f" doc_grams{tag} AS (SELECT doc_id, n, gram, count(*) AS c"
@@ -990,6 +1030,22 @@ def own_sql() -> dict[str, str]:
             f"SELECT page_id AS doc_id, regexp_replace(html, {re2(P.BRANCHES[key])}, '', 'g')"
             ' AS "filteredText" FROM pages'
         )
+    def folded_sql(text: str) -> str:
+        for span, one in REPRESENTATIVES.items():
+            text = f"regexp_replace({text}, '[{span}]', '{one}', 'g')"
+        return text
+
+    def kana_sql(first: int) -> str:
+        return folded_sql(f"translate(lower(text), '{LETTERS}', '{kana(first)}')")
+
+    sql["guess_with_imported_profile"] = (
+        f"WITH corpus AS (SELECT lang, {folded_sql('text')} AS text FROM documents UNION ALL"
+        f" SELECT 'ja', {kana_sql(KANA[0])} FROM benchmark),"
+        f" asked AS (SELECT doc_id AS own, 0 AS copy, 2 * doc_id AS doc_id, {folded_sql('text')} AS text"
+        f" FROM documents UNION ALL SELECT doc_id, 1, 2 * doc_id + 1, {kana_sql(KANA[1])} FROM documents),"
+        f" {guess_cte('asked', 'text', corpus='corpus')}"
+        " SELECT own AS doc_id, copy::INTEGER AS copy, guess AS label FROM guesses"
+    )
     sql["frequent_profile"] = f"WITH {profile_cte(min_count=5)} SELECT * FROM profile"
     for name in ("guess_language_join", "guess_language_split", "guess_language_broadcast"):
         sql[name] = sql["guess_language"]

@@ -1,4 +1,5 @@
 from .patterns import BRANCHES, CLEAN_PATTERN
+from .scripts import folded
 from .text import char_ngrams, char_tokens, clean, normalized, spaced, windows
 
 __all__ = [
@@ -7,6 +8,7 @@ __all__ = [
     "char_ngrams",
     "char_tokens",
     "clean",
+    "folded",
     "normalized",
     "spaced",
     "windows",

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glotspark import columns as C
-from glotspark.functions import windows
+from glotspark.functions import folded, windows
 from glotspark.functions.storage import BROADCAST_BYTES, Scratch
 
 from .gram_model import GramModel, micro, predict, save_gram_model
@@ -71,6 +71,15 @@ def build_frequent_profile(
     return counts.join(totals, ["lang", "n"]).select("lang", "n", "gram", "freq", "total")
 
 
+def fold_profile(profile: DataFrame) -> DataFrame:
+    """A profile whose grams are folded to the representatives of their scripts, as imported ones are;
+    grams that become equal add up. For texts that ``labeler`` folds alike."""
+    grams = profile.select("lang", "n", folded(F.col("gram")).alias("gram"), "freq", "total")
+    return grams.groupBy("lang", "n", "gram").agg(
+        F.sum("freq").alias("freq"), F.max("total").alias("total")
+    )
+
+
 def profile_weights(profile: DataFrame, eps: float = EPSILON) -> DataFrame:
     """``(class, n, gram, weight)`` of the guesser's score, in micro-nats."""
     weight = F.ln(F.col("freq") / F.col("total") + F.lit(eps)) - F.lit(math.log(eps))
@@ -96,10 +105,17 @@ def labeler(
     text: str = C.FILTERED,
     out: str = C.LABEL,
     limit: int = BROADCAST_BYTES,
+    fold: bool = False,
 ) -> Callable[[DataFrame], DataFrame]:
-    """A ``DataFrame -> DataFrame`` step that adds the guessed language."""
+    """A ``DataFrame -> DataFrame`` step that adds the guessed language.
+
+    ``fold`` is for profiles with one character for a whole script, see ``fold_profile``.
+    """
 
     def label(df: DataFrame) -> DataFrame:
-        return predict(df, text, out, guesser, limit)
+        if not fold:
+            return predict(df, text, out, guesser, limit)
+        own = f"{out}_folded"
+        return predict(df.withColumn(own, folded(F.col(text))), own, out, guesser, limit).drop(own)
 
     return label

@@ -1,3 +1,19 @@
-from .jobs import learn, learn_and_predict, predict_job, predict_new, score_texts
+from .jobs import (
+    learn,
+    learn_and_predict,
+    learn_from,
+    predict_into,
+    predict_job,
+    predict_new,
+    score_texts,
+)
 
-__all__ = ["learn", "learn_and_predict", "predict_job", "predict_new", "score_texts"]
+__all__ = [
+    "learn",
+    "learn_and_predict",
+    "learn_from",
+    "predict_into",
+    "predict_job",
+    "predict_new",
+    "score_texts",
+]
