@@ -15,8 +15,8 @@ its part of the scores to the rows, so the answers do not depend on the table's
 
 from __future__ import annotations
 
-import functools
 import json
+from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
@@ -137,9 +137,30 @@ def save_gram_model(
     return model
 
 
-@functools.lru_cache(maxsize=8)
+# Slices that executors keep for the next use, the latest ones.
+SENT_TABLES = 8
+_sent: OrderedDict = OrderedDict()
+
+
 def _broadcast_table(context: SparkContext, model: GramModel, number: int, slices: int):
-    """One slice of the weight table as a broadcast variable: ``(lookup, levels)``.
+    """One slice of the weight table as a broadcast variable, the same for every use.
+
+    Executors drop those that have not been asked for lately. A frame that still needs one gets it
+    from the driver again.
+    """
+    key = (context.applicationId, model, number, slices)
+    if key not in _sent:
+        _sent[key] = _send_table(context, model, number, slices)
+    _sent.move_to_end(key)
+    while len(_sent) > SENT_TABLES:
+        (application, *_), oldest = _sent.popitem(last=False)
+        if application == context.applicationId:
+            oldest.unpersist()
+    return _sent[key]
+
+
+def _send_table(context: SparkContext, model: GramModel, number: int, slices: int):
+    """``(lookup, levels)`` of one slice.
 
     ``lookup`` numbers the characters in use, from 1. A gram's code at length n is the place of its
     first n - 1 characters among those of the slice, from 1, times the number of characters, plus
