@@ -43,6 +43,9 @@ def test_search_equals_brute_force(spark, monkeypatch):
     rows = [(i, [float(x) for x in v], 1, "s") for i, v in enumerate(vectors)]
     assert run(spark, rows) == brute(rows, 10, 100)
     assert run(spark, rows, 3, 50) == brute(rows, 3, 50)
+    # Several sets of queries, each of several blocks.
+    monkeypatch.setattr(topk, "ASKED", 8)
+    assert run(spark, rows, 3, 20) == brute(rows, 3, 20)
 
 
 def test_search_of_odd_vectors(spark):
