@@ -25,13 +25,19 @@ def text_key(text: Column) -> list[Column]:
     ]
 
 
-def one_each(docs: DataFrame, key: list[str], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def one_each(
+    docs: DataFrame, key: list[str], scratch: Scratch, keys: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """``(rows, several)``: of the rows ``(*key, text)`` one per key, ``copied`` where there were more,
-    and the keys of those. Only rows of such keys are shuffled, combined first.
+    and the keys of those. Only rows of such keys are shuffled, combined first. ``keys`` are the keys of
+    all rows, where a narrower table has them.
     """
-    counted = docs.groupBy(*key).agg(F.count("*").alias("rows")).filter("rows > 1")
-    several = scratch.table(counted.select(*key), "several")
-    bound = 16 * len(key) * several.count()
+    counted = (docs if keys is None else keys).groupBy(*key).agg(F.count("*").alias("rows"))
+    several = scratch.table(counted.filter("rows > 1").select(*key), "several")
+    count = several.count()
+    if not count:
+        return docs.select(*key, "text", F.lit(False).alias("copied")), several
+    bound = 16 * len(key) * count
     repeated = docs.join(small(several, bound), key, "left_semi")
     once = scratch.table(
         repeated.groupBy(*key).agg(F.min("text").alias("text"), F.lit(True).alias("copied")), "texts"

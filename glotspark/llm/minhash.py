@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch
@@ -141,15 +141,30 @@ def described(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     return df.mapInArrow(run, keys + ", n_shingles long, digest binary, keys array<long>")
 
 
-def texts_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
+def node_of(seed: int) -> Column:
+    """The number of a row's text, from its ``KEY``."""
+    return F.xxhash64(F.lit(seed), *KEY)
+
+
+def clear_seed(rows: DataFrame) -> int:
+    """A seed by which no two keys of ``rows`` have the same number: the first one, almost always."""
+    seed = 0
+    while True:
+        key = F.struct(*KEY)
+        ends = rows.groupBy(node_of(seed).alias("node")).agg(
+            F.min(key).alias("first"), F.max(key).alias("last")
+        )
+        if not ends.filter("first != last").limit(1).count():
+            return seed
+        seed += 1
+
+
+def texts_of(texts: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
     """``wanted``, at most ``count`` rows with a ``node``, each with the text of its class."""
-    keys = classes.select("node", *KEY)
-    return texts.join(small(small(wanted, 64 * count).join(keys, "node"), 96 * count), KEY)
+    return texts.join(small(wanted, 64 * count), F.col("text_node") == F.col("node"))
 
 
-def confirmed(
-    texts: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch
-) -> DataFrame:
+def confirmed(texts: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
     """``(centre, member, shared, total)`` of ``pairs (centre, member)``, from the full sets.
 
     Members are dealt to groups of bounded size, each with a copy of its centre, so that a centre
@@ -171,7 +186,7 @@ def confirmed(
     )
     # A member and at most one more copy of a centre per pair.
     dealt = (
-        texts_of(texts, classes, members.union(copies), 2 * pairs.count())
+        texts_of(texts, members.union(copies), 2 * pairs.count())
         .select("centre", "part", "is_member", "node", "text")
         .repartition("centre", "part")
         .sortWithinPartitions("centre", "part", "is_member", "node")
@@ -281,8 +296,12 @@ def placed_rows(
     )
     rows = scratch.table(described(texts, percent), "signatures")
     with Scratch(df.sparkSession) as inner:
-        once, _ = one_each(texts.filter("doc_id IS NOT NULL"), KEY, inner)
-        of_class = scratch.table(_components_of_classes(once, rows, inner, percent), "classes")
+        known = "doc_id IS NOT NULL"
+        seed = clear_seed(rows.filter(known))
+        once, _ = one_each(texts.filter(known), KEY, inner, rows.filter(known))
+        numbered = once.select(node_of(seed).alias("text_node"), "text")
+        found = _components_of_classes(numbered, rows, seed, inner, percent)
+        of_class = scratch.table(found, "classes")
     takes_part = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     return rows.select(*KEY, "n_shingles", "digest").join(of_class, "digest", "left").select(
         *KEY,
@@ -293,43 +312,44 @@ def placed_rows(
 
 
 def _components_of_classes(
-    texts: DataFrame, rows: DataFrame, scratch: Scratch, percent: int
+    texts: DataFrame, rows: DataFrame, seed: int, scratch: Scratch, percent: int
 ) -> DataFrame:
     """``(digest, component, least_id)`` of every class of equal sets."""
-    # The numbers are fixed once the table is written.
     classes = scratch.table(
         rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
         .agg(F.min(F.struct(*KEY, "n_shingles", "keys")).alias("row"))
-        .select("digest", "row.*", F.monotonically_increasing_id().alias("node")),
+        .select("digest", "row.*")
+        .withColumn("node", node_of(seed)),
         "classes",
     )
     buckets = scratch.table(_buckets(classes, scratch), "buckets")
-    spokes = buckets.filter("node != least")
-    first = spokes.groupBy("node").agg(F.min("least").alias("centre"))
-    hubs = first.select("centre", F.col("node").alias("member"))
-    compared = confirmed(texts, classes, hubs, scratch)
+    spokes = buckets.filter("node != least").filter(_sizes_allow(percent))
+    first = spokes.groupBy("node").agg(F.min(F.struct("least_id", "least")).alias("first"))
+    hubs = first.select(F.col("first.least").alias("centre"), F.col("node").alias("member"))
+    compared = confirmed(texts, hubs, scratch)
     links = _linked(compared, percent)
     found = scratch.table(components(links, scratch), "components")
 
     apart = scratch.table(_apart(buckets, found), "apart")
-    further = apart.filter("component != least_component").select(
+    unlike = apart.filter("component != least_component").filter(_sizes_allow(percent))
+    further = unlike.select(
         F.col("least").alias("centre"), F.col("node").alias("member")
     )
     further = scratch.table(
         further.distinct().join(compared, ["centre", "member"], "left_anti"), "pairs"
     )
     if further.limit(1).count():
-        more = confirmed(texts, classes, further, scratch)
+        more = confirmed(texts, further, scratch)
         links = links.union(_linked(more, percent))
         found = scratch.table(components(links, scratch), "components")
 
     apart = _apart(apart, found)
     pairs = scratch.table(
-        _open_pairs(texts, classes, apart, scratch, percent).distinct(), "pairs"
+        _open_pairs(texts, apart, scratch, percent).distinct(), "pairs"
     )
     if pairs.limit(1).count():
-        links = links.union(_linked(confirmed(texts, classes, pairs, scratch), percent))
+        links = links.union(_linked(confirmed(texts, pairs, scratch), percent))
         found = scratch.table(components(links, scratch), "components")
 
     placed = scratch.table(
@@ -346,17 +366,32 @@ def _components_of_classes(
 
 
 def _buckets(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(key, node, least, n_shingles)`` of the buckets with more than one class."""
-    keyed = classes.select(F.explode("keys").alias("key"), "node", "n_shingles")
+    """``(key, node, n_shingles, least, least_id, least_n)`` of the buckets with more than one class; the
+    least of a bucket is the class with the least id, its centre, ``least_n`` the size of its set."""
+    keyed = classes.select(F.explode("keys").alias("key"), "node", "doc_id", "n_shingles")
     # A table of its own, so that the join can split a bucket with many members.
     shared = scratch.table(
         keyed.groupBy("key")
-        .agg(F.min("node").alias("least"), F.count("*").alias("members"))
+        .agg(
+            F.min(F.struct("doc_id", "node", "n_shingles")).alias("first"),
+            F.count("*").alias("members"),
+        )
         .filter("members > 1")
-        .select("key", "least"),
+        .select(
+            "key",
+            F.col("first.node").alias("least"),
+            F.col("first.doc_id").alias("least_id"),
+            F.col("first.n_shingles").alias("least_n"),
+        ),
         "shared",
     )
-    return keyed.join(shared, "key").select("key", "node", "least", "n_shingles")
+    return keyed.join(shared, "key").drop("doc_id")
+
+
+def _sizes_allow(percent: int) -> Column:
+    """Whether a class and the least of its bucket can be linked, by the sizes of their sets alone."""
+    own, other = F.col("n_shingles"), F.col("least_n")
+    return (100 * own >= percent * other) & (100 * other >= percent * own)
 
 
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
@@ -370,7 +405,7 @@ def _apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
     of_node = found.select("node", "component")
     of_least = found.select(F.col("node").alias("least"), F.col("component").alias("shared"))
     placed = (
-        buckets.select("key", "node", "least", "n_shingles")
+        buckets.select("key", "node", "least", "n_shingles", "least_n")
         .join(of_node, "node", "left")
         .join(of_least, "least", "left")
         .select(
@@ -378,6 +413,7 @@ def _apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
             "node",
             "least",
             "n_shingles",
+            "least_n",
             F.coalesce("component", "node").alias("component"),
             F.coalesce("shared", "least").alias("least_component"),
         )
@@ -386,9 +422,7 @@ def _apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(mixed, "key", "left_semi")
 
 
-def _signed(
-    texts: DataFrame, classes: DataFrame, nodes: DataFrame, percent: int
-) -> DataFrame:
+def _signed(texts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """``(node, signature)``: one byte per value of the signature of some texts, and their keys."""
     schema = pa.schema([("node", pa.int64()), ("signature", pa.binary())])
 
@@ -411,12 +445,12 @@ def _signed(
                 schema=schema,
             )
 
-    wanted = texts_of(texts, classes, nodes, nodes.count())
+    wanted = texts_of(texts, nodes, nodes.count())
     return wanted.select("node", "text").mapInArrow(run, "node long, signature binary")
 
 
 def _open_pairs(
-    texts: DataFrame, classes: DataFrame, apart: DataFrame, scratch: Scratch, percent: int
+    texts: DataFrame, apart: DataFrame, scratch: Scratch, percent: int
 ) -> DataFrame:
     """``(centre, member)``: pairs of a bucket in different components that could be links.
 
@@ -424,7 +458,7 @@ def _open_pairs(
     by nothing but the sum of all tasks' work. A pair is returned by the first bucket that it shares.
     """
     nodes = scratch.table(apart.select("node").distinct(), "nodes")
-    signed = _signed(texts, classes, nodes, percent)
+    signed = _signed(texts, nodes, percent)
     counts = apart.groupBy("key").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
     rows = (
         apart.join(counts, "key")
