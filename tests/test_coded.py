@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch
 from glotspark.operators import coded, hashed
-from glotspark.operators.coded import counted_in_tasks
+from glotspark.operators.coded import counted_in_tasks, grams_by_block, in_blocks
 from glotspark.operators.features import apply_pipeline, language_pipeline
-from glotspark.operators.gram_model import predict_by_join
+from glotspark.operators.gram_model import predict_by_join, score_by_join
 from glotspark.operators.profiles import build_profile, fit_guesser
 
 POOL = "abcé ß日\U0001f600\0x"
@@ -94,3 +94,27 @@ def test_join_plans_do_not_move_texts_or_places(spark):
     for limit in (1 << 28, 0):
         got = predict_by_join(df, "id", "t", "out", model, limit=limit).collect()
         assert {r.id: r.out for r in got} == {1: "en", 2: "unknown", 3: "unknown"}
+
+
+def test_join_plans_shuffle_a_row_per_block_and_gram(spark, monkeypatch):
+    """Not one per text and gram; several blocks, null and repeated keys give the scores of one block."""
+    docs = spark.createDataFrame([("en", "the day"), ("de", "der tag")], "lang string, text string")
+    model = fit_guesser(build_profile(docs))
+    rows = [(i % 150, f"the day {'tag' * (i % 7)}") for i in range(200)] + [(None, "der tag"), (None, None)]
+    df = spark.createDataFrame(rows, "id int, t string").coalesce(2)
+    whole = score_by_join(df, "id", "t", model, limit=0).collect()
+    with Scratch(spark) as scratch:
+        texts = scratch.table(in_blocks(df.withColumnRenamed("t", "text")), "texts")
+        found = grams_by_block(texts, (1, 2, 3)).collect()
+        blocks = texts.select("block").distinct().count()
+    kinds = {row.gram for row in found}
+    assert blocks <= 2 and len(found) <= 2 * len(kinds)
+    assert sum(row.texts for row in found if row.gram == "the") == 200
+    monkeypatch.setattr(coded, "BLOCK_BYTES", 100)
+    with Scratch(spark) as scratch:
+        texts = scratch.table(in_blocks(df.withColumnRenamed("t", "text")), "texts")
+        assert texts.select("block").distinct().count() > 10
+    for limit, heavy in ((0, 3), (0, 1 << 30), (1 << 28, 1)):
+        assert sorted(score_by_join(df, "id", "t", model, limit, heavy).collect(), key=str) == sorted(
+            whole, key=str
+        )
