@@ -118,3 +118,17 @@ def test_join_plans_shuffle_a_row_per_block_and_gram(spark, monkeypatch):
         assert sorted(score_by_join(df, "id", "t", model, limit, heavy).collect(), key=str) == sorted(
             whole, key=str
         )
+
+
+def test_pieces_shrink_with_the_numbers_of_a_place():
+    """What a piece holds stays of one size for models of a whole grid."""
+    texts = pa.array(["x" * 1000] * 200)
+    for width in (1, 31, 310):
+        sizes = []
+
+        def score(points, starts):
+            sizes.append(len(points) * width)
+            return np.zeros((len(starts), width))
+
+        (found,) = coded.scores_of(iter([texts]), score, width, pa.float64())
+        assert len(found) == 200 and max(sizes) <= 1.01 * coded.PIECE_BYTES
