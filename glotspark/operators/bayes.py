@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glotspark import columns as C
-from glotspark.functions import char_ngrams
 from glotspark.functions.storage import Scratch
 
+from .coded import counted_in_tasks
 from .gram_model import GramModel, micro, save_gram_model
 
 
@@ -71,16 +71,16 @@ def fit_gram_bayes(
     n: int = 3,
     smoothing: float = 1.0,
 ) -> GramBayes:
-    """One pass over the text counts grams and documents together."""
-    grams = df.filter(F.col(label).isNotNull()).select(
-        F.col(label).alias("label"),
-        F.posexplode_outer(char_ngrams(F.col(text), n, spaced=False)).alias("position", "gram"),
+    """One pass over the text counts grams and documents together, in the tasks that read it."""
+    rows = df.filter(F.col(label).isNotNull()).select(
+        F.col(label).alias("label"), F.col(text).alias("bayes_text")
     )
+    # Every text has a row without a gram.
+    found = counted_in_tasks(rows, "bayes_text", [n], ["label"], every=True)
     # The returned frames read this table.
     counted = Scratch(df.sparkSession).until_exit().table(
-        grams.groupBy("label", "gram").agg(
-            F.count("position").alias("count"),
-            F.count_if(F.coalesce(F.col("position"), F.lit(0)) == 0).alias("starts"),
+        found.groupBy("label", "gram").agg(
+            F.sum("freq").alias("count"), F.count_if(F.col("gram").isNull()).alias("starts")
         ),
         "bayes",
     )

@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch
-from glotspark.operators import coded, hashed
+from glotspark.operators import bayes, coded, hashed
 from glotspark.operators.coded import counted_in_tasks, grams_by_block, in_blocks
 from glotspark.operators.features import apply_pipeline, language_pipeline
 from glotspark.operators.gram_model import predict_by_join, score_by_join
@@ -132,3 +132,23 @@ def test_pieces_shrink_with_the_numbers_of_a_place():
 
         (found,) = coded.scores_of(iter([texts]), score, width, pa.float64())
         assert len(found) == 200 and max(sizes) <= 1.01 * coded.PIECE_BYTES
+
+
+def test_bayes_counts_in_tasks(spark, monkeypatch):
+    """Grams of a text leave a task counted, not one row per place; texts without a gram are documents."""
+    seen = []
+
+    def watched(*args, **options):
+        seen.append(counted_in_tasks(*args, **options))
+        return seen[-1]
+
+    monkeypatch.setattr(bayes, "counted_in_tasks", watched)
+    rows = [("en", "AbAb" * 500), ("en", None), ("de", "ab"), ("de", ""), (None, "abc"), ("de", "a\nbab")]
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    fitted = bayes.fit_gram_bayes(df, "lang", "text")
+    assert seen[0].count() == 5 + 2 + 2  # a row per text, two grams of one, two of another
+    assert {(r.label, r.gram): r["count"] for r in fitted.counts.collect()} == {
+        ("en", "aba"): 999, ("en", "bab"): 999, ("de", "aba"): 1, ("de", "bab"): 1,
+    }
+    classes = {r.label: (r.docs, r.grams) for r in fitted.classes.collect()}
+    assert classes == {"de": (3, 2), "en": (2, 1998)}
