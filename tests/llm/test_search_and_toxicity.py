@@ -3,6 +3,7 @@ import math
 import numpy as np
 
 from glotspark.llm import topk, toxicity
+from glotspark.llm.arrow import utf8
 from glotspark.llm.queries import op9_toxicity
 from pyspark.sql import functions as F
 
@@ -131,6 +132,42 @@ def test_no_labels_at_all(spark):
     assert toxicity.score(docs, network).filter("score < 0.7").count() == 5
 
 
+def test_all_labelled_rows_are_learnt_from(spark):
+    """Toxic rows whose markers stand in five texts each: a third of the rows, drawn or not, misses most."""
+    rows, labels, draw = [], [], np.random.default_rng(9)
+    for i in range(9000):
+        words = [f"word{draw.integers(300)}" for _ in range(6)]
+        if i % 2:
+            words.append(f"{i // 2 % 900}vile")
+        rows.append((3 * i, " ".join(words), "en"))
+        labels.append((3 * i, i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    network = toxicity.fit(docs, marks)
+    asked = spark.createDataFrame([(i, f"{i}vile", "en") for i in range(900)], docs.schema)
+    hashes = toxicity.hashed_words(*utf8(asked.toArrow()["text"]))[0][:, 0]
+    known = np.count_nonzero(network.vocabulary.rows(hashes))
+    kept = {r.doc_id for r in marks.filter(~toxicity.held_out(F.col("doc_id"))).collect()}
+    often = np.bincount([(i // 2) % 900 for i in range(1, 9000, 2) if 3 * i in kept], minlength=900)
+    assert known >= 0.99 * np.count_nonzero(often >= toxicity.MIN_TEXTS)
+
+
+def test_parts_learn_together(spark):
+    docs, labels, truth = labelled(spark, 1500)
+    langs = toxicity.fit(docs, labels).thresholds
+    network = toxicity.fit(docs, labels, part=200)
+    scored = {r.doc_id: r.score for r in toxicity.score(docs, network).collect()}
+    hits = sum((scored[key] >= 0.7) == bool(toxic) for key, toxic in truth.items())
+    assert hits / len(truth) > 0.93 and network.thresholds.keys() == langs.keys() == {"en", "de"}
+    # Whatever the partitions were; odd rows don't matter.
+    odd = [(None, "vile1", "en", ""), (1, None, "en", "")]
+    other = docs.repartition(5).union(spark.createDataFrame(odd, docs.schema))
+    again = toxicity.score(docs, toxicity.fit(other, labels.repartition(3), part=200))
+    assert scored == {r.doc_id: r.score for r in again.collect()}
+    empty = docs.withColumn("text", F.lit(""))
+    assert toxicity.score(docs, toxicity.fit(empty, labels, part=200)).filter("score >= 0.7").count() == 0
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
