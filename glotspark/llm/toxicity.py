@@ -15,6 +15,7 @@ not fitted to.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -43,9 +44,9 @@ FILTERS = 8
 # toxic rows, are frequent and telling.
 MIN_TEXTS = 3
 
-# Labelled rows, and words of these, that are trained on in one place, on average.
+# Labelled rows, and bytes of these, that are trained on in one place, on average.
 PART = 8_000
-PART_WORDS = 8_000_000
+PART_BYTES = 48_000_000
 
 # What all toxic rows count in the loss, as a share of what all clean ones do, and how many times a
 # toxic row counts at most for that.
@@ -416,25 +417,23 @@ def fit(
             for piece, values, offsets in text_pieces(batches):
                 hashes, bounds = hashed_words(values, offsets)
                 known = shared.value.rows(hashes).astype(np.int32)
-                words = [known[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                words = [zlib.compress(known[a:b], 1) for a, b in zip(bounds[:-1], bounds[1:])]
                 columns = [piece.column(name) for name in LABELLED.names[:-1]]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(words, pa.binary())], schema=LABELLED
                 )
 
-        coded = scratch.table(
-            rows.mapInArrow(run, "doc_id long, toxic int, checks boolean, lang string, words binary"),
-            "coded",
+        coded = rows.mapInArrow(
+            run, "doc_id long, toxic int, checks boolean, lang string, words binary"
         )
         learning = ~F.col("checks")
-        count, learnt_rows, toxic_rows, words = coded.agg(
+        count, learnt_rows, toxic_rows, size = rows.agg(
             F.count("*"),
             F.count_if(learning),
             F.coalesce(F.sum(F.when(learning, F.col("toxic"))), F.lit(0)),
-            F.coalesce(F.sum(F.octet_length("words")), F.lit(0)),
+            F.coalesce(F.sum(F.octet_length("text")), F.lit(0)),
         ).first()
-        words //= 4 * (1 + len(STEMS))
-        parts = max(1, -(-count // part), -(-words // PART_WORDS))
+        parts = max(1, -(-count // part), -(-size // PART_BYTES))
         if parts > 1:
             return _fit_in_parts(coded, vocabulary, parts, learnt_rows, toxic_rows, learnt_rows < count)
         texts, toxic, checks, langs = _unpacked(coded.toArrow())
@@ -472,7 +471,7 @@ def _unpacked(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray
     table = table.sort_by("doc_id")
     width = 1 + len(STEMS)
     texts = [
-        np.frombuffer(each.as_buffer(), np.int32).reshape(-1, width)
+        np.frombuffer(zlib.decompress(each.as_buffer()), np.int32).reshape(-1, width)
         for each in table["words"]
     ]
     toxic = table["toxic"].to_numpy().astype(np.float64)
