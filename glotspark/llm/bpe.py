@@ -24,7 +24,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from .arrow import plain, strings
+from .arrow import plain, release_memory, strings
 
 # Texts above this many characters are cut before they are split by the pattern.
 CUT_CHARS = 1 << 16
@@ -117,6 +117,7 @@ def encode(
                     ],
                     schema=schema,
                 )
+        release_memory()
 
     return plain(df, key, text).mapInArrow(run, "doc_id long, ids array<int>, exact boolean")
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch
 
-from .arrow import text_pieces
+from .arrow import release_memory, text_pieces
 from .joins import positional, small
 from .words import LOWER, mix, prefix_hashes, span_hashes
 
@@ -517,6 +517,17 @@ def _restored(packed: np.ndarray, vocabulary: Vocabulary | None, rows: int) -> t
     return network, state
 
 
+def moved_rows(end: np.ndarray, start: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(places, moves)``: the first ``rows`` rows that moved by a unit at least, and all others.
+
+    A part moves the words of its own texts, so only their rows are held as wide numbers.
+    """
+    at = np.flatnonzero((end != start).any(axis=1) | (np.arange(len(end)) >= rows))
+    moves = np.rint((end[at].astype(np.float64) - start[at]) / MOVE_UNIT).astype(np.int64)
+    kept = moves.any(axis=1) | (at >= rows)
+    return at[kept], moves[kept]
+
+
 def _fit_in_parts(
     coded: DataFrame,
     vocabulary: Vocabulary,
@@ -561,14 +572,13 @@ def _fit_in_parts(
                 if turn < rounds:
                     order = np.random.default_rng([SEED, turn, number]).permutation(np.flatnonzero(~checks))
                     _epoch(own, state, texts, toxic, weights, order)
-                    moved = _packed(own, state).astype(np.float64) - start
-                    delta = np.rint(moved / MOVE_UNIT).astype(np.int64)
-                    other = np.arange(len(delta)) >= rows
-                    at = np.flatnonzero(delta.any(axis=1) | other)
-                    changed, moved = np.append(changed, at), np.concatenate((loss, delta[at]))
+                    at, delta = moved_rows(_packed(own, state), start, rows)
+                    changed, moved = np.append(changed, at), np.concatenate((loss, delta))
                 columns = [pa.array(changed.astype(np.int64))]
                 columns += [pa.array(np.ascontiguousarray(each)) for each in moved.T]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", *names])
+                texts = own = state = delta = moved = columns = None
+            release_memory()
 
         schema = "row long, " + ", ".join(f"{name} long" for name in names)
         sums = [F.sum(name).alias(name) for name in names]
@@ -601,6 +611,8 @@ def _fit_in_parts(
                 columns += [pa.array([[*map(int, each)] for each in side], pa.list_(pa.int64()))
                             for side in (chosen, hits)]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "toxic", "chosen", "hits"])
+                texts = own = None
+            release_memory()
 
         schema = "lang string, toxic long, chosen array<long>, hits array<long>"
         counted = placed.mapInArrow(run, schema).collect()  # a row per language and part

@@ -1,8 +1,13 @@
 import math
+import resource
+import sys
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
-from glotspark.llm import topk, toxicity
+from glotspark.llm import arrow, topk, toxicity
 from glotspark.llm.arrow import utf8
 from glotspark.llm.queries import op9_toxicity
 from pyspark.sql import functions as F
@@ -176,3 +181,43 @@ def test_held_out_accuracy(spark):
     wrong = sum(r.predicted for r in rows if not r.toxic)
     toxic = sum(r.toxic for r in rows)
     assert found / toxic >= 0.9 and wrong / max(1, found + wrong) < 0.1
+
+
+def test_moves_hold_only_the_rows_that_moved():
+    random = np.random.default_rng(5)
+    start = random.standard_normal((200_010, toxicity.WIDE + 1)).astype(np.float32)
+    end = start.copy()
+    end[random.integers(0, 200_000, 500)] += 0.25
+    # This one moves by less than a unit.
+    start[7], end[7] = 0, toxicity.MOVE_UNIT / 8
+    every = np.rint((end.astype(np.float64) - start) / toxicity.MOVE_UNIT).astype(np.int64)
+    own = np.flatnonzero(every.any(axis=1) | (np.arange(len(every)) >= 200_000))
+    tracemalloc.start()
+    at, moves = toxicity.moved_rows(end, start, 200_000)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert 7 not in at and np.array_equal(at, own) and np.array_equal(moves, every[own])
+    assert most < start.nbytes
+
+
+def test_pieces_give_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(arrow, "release_memory", lambda: given.append(True))
+    batches = [pa.record_batch({"text": ["ab", None, "c"]}), pa.record_batch({"text": ["d"]})]
+    read = [values.tobytes() for _, values, _ in arrow.text_pieces(iter(batches))]
+    assert read == [b"abc", b"d"] and given == [True]
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_memory_that_is_not_used_goes_back():
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * resource.getpagesize()
+
+    before = resident()
+    # Small blocks, all but every hundredth freed: the heap stays as large as they were.
+    held = [np.ones(8_000) for _ in range(2_000)]
+    full = resident()
+    held = held[::100]
+    arrow.release_memory()
+    assert full - before > 100_000_000 and resident() - before < (full - before) / 3
