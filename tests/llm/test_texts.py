@@ -320,6 +320,31 @@ def test_recall_and_precision_by_kind_of_key(spark):
     assert spans <= 0.002 * long, (spans, long)
 
 
+def test_every_key_of_a_run_is_found(spark):
+    """Keys joined by names: none is lost, on whichever side of a longer one it lies."""
+    # Capitals look random, whatever else is next to each other does not.
+    states = np.array([chr(c).isupper() for c in b"\0" + secrets._ALPHABET])
+    model = secrets.Markov(np.where(states[:, None] & states[None, :], 1.0, -1.0))
+    draw = random.Random(8)
+    texts, wanted = [], []
+    sizes = [(20, 40, 30), (30, 40, 20), (40, 20, 30), (16, 50, 16, 50, 16), (12, 40, 11, 17)]
+    some = [8, 12, *range(16, 60)]
+    sizes += [draw.choices(some, k=draw.randint(1, 40)) for _ in range(30)]
+    for keys in sizes:
+        text, spans = "é see /", []
+        for size in keys:
+            text += "_" + "".join(draw.choice("abcxyz") for _ in range(draw.randint(61, 90))) + "_"
+            if size >= 16:
+                spans.append((len(text), len(text) + size))
+            text += "".join(draw.choice("GHJKMN") for _ in range(size))
+        texts.append(text + "_end of it")
+        wanted.append(spans)
+    for row in secrets.scan(frame(spark, texts), model).collect():
+        assert [(s.start, s.end) for s in row.spans if s.kind == "markov"] == wanted[row.doc_id]
+    for row in secrets.redact(frame(spark, texts), model).collect():
+        assert row.text.count("[secret]") == sum(size >= 16 for size in sizes[row.doc_id])
+
+
 def test_redaction_keeps_everything_else(spark):
     df = frame(spark, SECRETS)
     got = {r.doc_id: r for r in secrets.redact(df, None).collect()}
