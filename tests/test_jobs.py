@@ -7,6 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from glotspark.functions.storage import Scratch, shared_dir
+from glotspark.operators import features
 from glotspark.operators.bayes import fit_gram_bayes
 from glotspark.operators.classifier import GramClassifier
 from glotspark.operators.clean import prepare
@@ -241,6 +242,41 @@ def test_predict_new_and_second_run(spark, tweets, step, tuned, tmp_path):
     assert unlabeled.filter("label is not null").count() == 0
 
 
+def test_new_rows_are_labelled_once_and_scored_by_sums(spark, tuned, tmp_path, monkeypatch):
+    """Texts get no feature vectors, and no text is labelled by more than one pass."""
+    begin, words = datetime(2024, 1, 1), ["the words of it", "der die das und", "le la les est", "ab"]
+    rows = [(str(i), begin, f"{words[i % 4]} @me {i % 9} " * (i % 5)) for i in range(200)]
+    rows += [("7", begin, "once more the same key"), (None, begin, words[0]), ("x", begin, None)]
+    rows = spark.createDataFrame(rows, "id string, created_at timestamp, text string")
+    calls, seen, sums = spark.sparkContext.accumulator(0), [], features.hashed_scores
+
+    @F.udf("string")
+    def first(text):
+        calls.add(1)
+        return text[:2]
+
+    def step(df):
+        return df.withColumn("label", first("filteredText"))
+
+    def spied(*given):
+        seen.append(given)
+        return sums(*given)
+
+    monkeypatch.setattr(features, "hashed_scores", spied)
+    path = str(tmp_path / "predicted")
+    predict_job(rows, path, tuned.model, step)
+    done = {row.id: row for row in read_predictions(spark, path).collect()}
+    assert len(seen) == 1 and calls.value == len(done)
+    stock = tuned.model.transform(prepare(rows)).filter("id is not null").collect()
+    assert set(done) == {row.id for row in stock}
+    for row in stock:
+        if row.id != "7":
+            assert done[row.id].prediction == row.prediction
+            assert done[row.id].label == row.filteredText[:2]
+    predict_job(rows, path, tuned.model, step)
+    assert read_predictions(spark, path).count() == len(done) and calls.value == len(done)
+
+
 def test_given_texts_are_neither_cleaned_nor_filtered(spark, tuned):
     texts = ["the @me", "", "heute ist ein tag"]
     scored = score_texts(inline_texts(spark, texts), tuned.model).collect()
