@@ -237,8 +237,9 @@ class ResultTable:
         if not files:
             return self._read([])
         size = F.octet_length(self.key) + F.lit(ROW_BYTES)
-        nbytes = found.select(self.key).distinct().agg(F.sum(size)).first()[0]
-        # Keys beyond the limit go in slices, each to the files of some buckets.
+        # A key that several folders may hold is sent, and counted, once for each: no shuffle finds the
+        # few that are. Keys beyond the limit go in slices, each to the files of some buckets.
+        nbytes = found.agg(F.sum(size)).first()[0]
         slices = max(1, -(-nbytes // limit))
         rows = []
         for number in range(slices):
@@ -249,8 +250,7 @@ class ResultTable:
             ]
             if paths:
                 mine = found.filter(F.pmod("bucket", F.lit(slices)) == number).select(self.key)
-                mine = F.broadcast(mine.distinct())
-                rows.append(self._read(paths).join(mine, self.key, "left_semi"))
+                rows.append(self._read(paths).join(F.broadcast(mine), self.key, "left_semi"))
         return reduce(DataFrame.union, rows)
 
     def fresh_keys(
